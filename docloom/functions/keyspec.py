@@ -5,6 +5,8 @@ All of it is Catalyst expressions over a string column, so specs can come from a
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,7 +27,6 @@ def split_key_spec(spec: Column) -> Column:
     The text is cut at every separator first; whether a piece continues the key before it follows from the
     quote parity and the last bracket of the earlier pieces, so the fold runs over pieces, not characters.
     """
-    pieces = F.split(spec, KEY_SEPARATOR)
     start = F.struct(
         F.lit(False).alias("quoted"),
         F.lit(False).alias("bracketed"),
@@ -46,16 +47,25 @@ def split_key_spec(spec: Column) -> Column:
             (state["i"] + 1).alias("i"),
         )
 
-    # 1-based piece number where each key begins; the key runs up to the next beginning.
-    starts = F.aggregate(pieces, start, step, lambda s: s["starts"])
+    def keys_of(pieces: Column) -> Column:
+        # starts: 1-based number of the piece each key begins with; a key runs up to the next beginning.
+        def keys(starts: Column) -> Column:
+            ends = F.concat(F.slice(starts, F.lit(2), F.size(starts)), F.array(F.size(pieces) + 1))
+            return F.zip_with(
+                starts, ends, lambda begin, end: F.array_join(F.slice(pieces, begin, end - begin), KEY_SEPARATOR)
+            )
+
+        def without_empty_last(keys: Column) -> Column:
+            return F.when(F.element_at(keys, -1) == "", F.slice(keys, F.lit(1), F.size(keys) - 1)).otherwise(keys)
+
+        return _bound(F.aggregate(pieces, start, step, lambda s: keys(s["starts"])), without_empty_last)
+
+    return _bound(F.split(spec, KEY_SEPARATOR), keys_of)
 
-    def key_at(begin: Column, end: Column) -> Column:
-        return F.array_join(F.slice(pieces, begin, end - begin), KEY_SEPARATOR)
 
-    ends = F.concat(F.slice(starts, F.lit(2), F.size(starts)), F.array(F.size(pieces) + 1))
-    keys = F.zip_with(starts, ends, key_at)
-    size = F.size(keys)
-    return F.when((size > 0) & (F.element_at(keys, -1) == ""), F.slice(keys, F.lit(1), size - 1)).otherwise(keys)
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` refers to it."""
+    return F.transform(F.array(value), use)[0]
 
 
 def key_range(key: Column) -> Column:
@@ -82,7 +92,7 @@ def key_range(key: Column) -> Column:
     )
 
 
-def range_member(parsed: Column, offset: Column) -> Column:
+def range_member(parsed: Column | Mapping[str, Column], offset: Column) -> Column:
     """The ``offset``-th key (from 0) of a parsed range, zero-padded when the bounds ask for it."""
     number = (parsed["low"] + offset).cast("string")
     padded = F.when(

@@ -20,37 +20,47 @@ def expand_keys(specs: DataFrame, spec: Column | str, *, num_chunks: Column | in
     """
     spec = F.col(spec) if isinstance(spec, str) else spec
     own = specs.columns
-    parsed = specs.withColumn("_keys", F.transform(split_key_spec(spec), key_range))
-    total = F.aggregate("_keys", F.lit(0).cast("bigint"), lambda a, k: a + k["n"])
+    split = specs.withColumn("_keys", split_key_spec(spec)).withColumn(
+        "_sizes", F.transform("_keys", lambda key: key_range(key)["n"])
+    )
+    total = F.aggregate("_sizes", F.lit(0).cast("bigint"), lambda a, n: a + n)
     chunks = total if num_chunks is None else (
         num_chunks if isinstance(num_chunks, Column) else F.lit(num_chunks)
     ).cast("bigint")
     offsets = F.aggregate(
-        "_keys",
+        "_sizes",
         F.array(F.lit(0).cast("bigint")),
-        lambda acc, k: F.array_append(acc, F.element_at(acc, -1) + k["n"]),
+        lambda acc, n: F.array_append(acc, F.element_at(acc, -1) + n),
     )
-    per_key = parsed.select(
+    per_key = split.select(
         *own,
         _chunk_size(total, chunks).alias("_per_chunk"),
         offsets.alias("_offsets"),
-        F.posexplode("_keys").alias("pos", "_key"),
-    ).where(F.col("_key.n") > 0)
-    blocks = per_key.select(
-        *own,
-        "_per_chunk",
-        F.element_at("_offsets", F.col("pos") + 1).alias("_offset"),
-        "pos",
-        "_key",
-        F.explode(
-            F.sequence(F.lit(0).cast("bigint"), F.col("_key.n") - 1, F.lit(_RANGE_BLOCK).cast("bigint"))
-        ).alias("_from"),
+        F.posexplode("_keys").alias("pos", "_raw"),
+    )
+    # The parsed fields become plain columns: a struct carried through the generators below would be
+    # pruned field by field, which Spark 4.1 does not survive.
+    fields = ("prefix", "low", "high", "width", "suffix", "n")
+    ranges = (
+        per_key.withColumn("_key", key_range(F.col("_raw")))
+        .select(
+            *own,
+            "_per_chunk",
+            F.element_at("_offsets", F.col("pos") + 1).alias("_offset"),
+            "pos",
+            *[F.col("_key")[f].alias(f"_{f}") for f in fields],
+        )
+        .where(F.col("_n") > 0)
+    )
+    blocks = ranges.withColumn(
+        "_from", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1, F.lit(_RANGE_BLOCK).cast("bigint")))
     )
-    last = F.least(F.col("_from") + _RANGE_BLOCK, F.col("_key.n")) - 1
+    last = F.least(F.col("_from") + _RANGE_BLOCK, F.col("_n")) - 1
+    parsed = {f: F.col(f"_{f}") for f in fields}
     return (
         blocks.withColumn("sub_pos", F.explode(F.sequence(F.col("_from"), last)))
         .withColumn("key_ord", F.col("_offset") + F.col("sub_pos"))
-        .withColumn("raw_key", range_member(F.col("_key"), F.col("sub_pos")))
+        .withColumn("raw_key", range_member(parsed, F.col("sub_pos")))
         .select(
             *own,
             "pos",
