@@ -47,9 +47,8 @@ TEXT_SPEC = '["en",((0-3))];["de",1];["de",1];["xx",0]'
 @query
 def key_split(spark, sf_dir):
     """Page sources with other brackets as key-spec texts: quotes, brackets and escapes everywhere."""
-    spec = F.translate("html", "{}/", "[]\\")
-    pages = t.load(spark, sf_dir, "pages")
-    return pages.select("page_id", F.posexplode(split_key_spec(spec)).alias("pos", "raw_key"))
+    pages = t.load(spark, sf_dir, "pages").select("page_id", F.translate("html", "{}/", "[]\\").alias("spec"))
+    return pages.selectExpr("page_id", f"posexplode({split_key_spec('spec')}) AS (pos, raw_key)")
 
 
 @query
@@ -60,8 +59,7 @@ def key_expand(spark, sf_dir):
 
 @query
 def key_chunks(spark, sf_dir):
-    chunks = (F.col("c_custkey") % 5).cast("int") + 1
-    keys = expand_keys(t.key_specs(spark, sf_dir), "spec", num_chunks=chunks)
+    keys = expand_keys(t.key_specs(spark, sf_dir), "spec", num_chunks="c_custkey % 5 + 1")
     return keys.groupBy("c_custkey", "chunk_id").agg(
         F.count(F.lit(1)).alias("n_keys"),
         F.min("key_ord").alias("first_key"),

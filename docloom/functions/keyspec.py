@@ -1,104 +1,76 @@
 """Key-spec strings: ``;``-separated JSON view keys, each with at most one expanded ``((a-b))`` range.
 
-All of it is Catalyst expressions over a string column, so specs can come from a literal or from a table.
+Specs are text columns, so they can come from a literal or from a table. The functions take column names or
+SQL expressions and return SQL expressions, for ``selectExpr`` and ``expr``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Fixed values of the key-spec format.
 KEY_SEPARATOR = ";"
 RANGE_PATTERN = r"\A(.*)\(\((\d+)-(\d+)\)\)(.*)\z"
 UNESCAPED_QUOTE = r'(?<!\\)"'
 LAST_UNESCAPED_BRACKET = r"(?s)\A.*(?<!\\)([\[\]])"
 
+RANGE_FIELDS = ("prefix", "low", "width", "suffix", "n")
 
-def split_key_spec(spec: Column) -> Column:
-    """Split a key spec into ``ARRAY<STRING>``.
+
+def split_key_spec(spec: str) -> str:
+    """SQL that splits a key spec into ``ARRAY<STRING>``.
 
     A separator counts only outside double quotes and outside square brackets; a backslash before a quote
     or bracket takes its meaning away. The bracket state is a flag (no nesting). Empty keys in the middle
     stay, an empty last key is dropped, nothing is trimmed.
 
-    The text is cut at every separator first; whether a piece continues the key before it follows from the
-    quote parity and the last bracket of the earlier pieces, so the fold runs over pieces, not characters.
+    The text is cut at every separator first. Whether a piece begins a key follows from the quote parity
+    and the last bracket of the earlier pieces, so the fold runs over pieces, not characters; it collects
+    the numbers of the pieces that begin a key. One-element arrays bind intermediate values once.
     """
-    start = F.struct(
-        F.lit(False).alias("quoted"),
-        F.lit(False).alias("bracketed"),
-        F.array().cast("array<int>").alias("starts"),
-        F.lit(0).alias("i"),
-    )
-
-    def step(state: Column, piece: Column) -> Column:
-        odd_quotes = (F.regexp_count(piece, F.lit(UNESCAPED_QUOTE)) % 2) == 1
-        bracket = F.regexp_extract(piece, LAST_UNESCAPED_BRACKET, 1)
-        begins_key = ~state["quoted"] & ~state["bracketed"]
-        return F.struct(
-            (state["quoted"] != odd_quotes).alias("quoted"),
-            F.when(bracket == "", state["bracketed"]).otherwise(bracket == "[").alias("bracketed"),
-            F.when(begins_key, F.array_append(state["starts"], state["i"] + 1))
-            .otherwise(state["starts"])
-            .alias("starts"),
-            (state["i"] + 1).alias("i"),
-        )
-
-    def keys_of(pieces: Column) -> Column:
-        # starts: 1-based number of the piece each key begins with; a key runs up to the next beginning.
-        def keys(starts: Column) -> Column:
-            ends = F.concat(F.slice(starts, F.lit(2), F.size(starts)), F.array(F.size(pieces) + 1))
-            return F.zip_with(
-                starts, ends, lambda begin, end: F.array_join(F.slice(pieces, begin, end - begin), KEY_SEPARATOR)
-            )
-
-        def without_empty_last(keys: Column) -> Column:
-            return F.when(F.element_at(keys, -1) == "", F.slice(keys, F.lit(1), F.size(keys) - 1)).otherwise(keys)
-
-        return _bound(F.aggregate(pieces, start, step, lambda s: keys(s["starts"])), without_empty_last)
-
-    return _bound(F.split(spec, KEY_SEPARATOR), keys_of)
-
-
-def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` computed once, however often ``use`` refers to it."""
-    return F.transform(F.array(value), use)[0]
-
-
-def key_range(key: Column) -> Column:
-    """Parse one key into ``struct(prefix, low, high, width, suffix, n)``.
+    return f"""
+        transform(array(split({spec}, '{KEY_SEPARATOR}')), pieces ->
+          transform(array(aggregate(
+              pieces,
+              named_struct('quoted', false, 'bracket', ']', 'starts', cast(array() AS array<int>), 'i', 1),
+              (state, piece) -> named_struct(
+                'quoted', state.quoted != (regexp_count(piece, r'{UNESCAPED_QUOTE}') % 2 = 1),
+                'bracket', coalesce(
+                  nullif(regexp_extract(piece, r'{LAST_UNESCAPED_BRACKET}', 1), ''), state.bracket),
+                'starts', if(state.quoted OR state.bracket = '[', state.starts, array_append(state.starts, state.i)),
+                'i', state.i + 1),
+              state -> zip_with(
+                state.starts,
+                concat(slice(state.starts, 2, size(state.starts)), array(size(pieces) + 1)),
+                (begin, end) -> array_join(slice(pieces, begin, end - begin), '{KEY_SEPARATOR}')))),
+            keys -> if(element_at(keys, -1) = '', slice(keys, 1, size(keys) - 1), keys))[0])[0]
+        """
+
+
+def key_range(key: str) -> str:
+    """SQL that parses one key into ``struct(prefix, low, high, width, suffix, n)``.
 
     Only the last range of a key is expanded; an earlier one stays literal. Without a range, ``low`` is
     null and ``n`` is 1. ``width`` is the zero-padding width, 0 when the bounds differ in length.
     ``low > high`` gives ``n = 0``. Bounds must fit an int; larger ones fail the cast.
     """
-    low_text = F.regexp_extract(key, RANGE_PATTERN, 2)
-    high_text = F.regexp_extract(key, RANGE_PATTERN, 3)
-    has_range = low_text != ""
-    low = F.when(has_range, low_text.cast("int"))
-    high = F.when(has_range, high_text.cast("int"))
-    return F.struct(
-        F.when(has_range, F.regexp_extract(key, RANGE_PATTERN, 1)).otherwise(key).alias("prefix"),
-        low.alias("low"),
-        high.alias("high"),
-        F.when(F.length(low_text) == F.length(high_text), F.length(high_text)).otherwise(0).alias("width"),
-        F.when(has_range, F.regexp_extract(key, RANGE_PATTERN, 4)).otherwise("").alias("suffix"),
-        F.when(~has_range, F.lit(1).cast("bigint"))
-        .otherwise(F.greatest(high.cast("bigint") - low + 1, F.lit(0).cast("bigint")))
-        .alias("n"),
-    )
-
 
-def range_member(parsed: Column | Mapping[str, Column], offset: Column) -> Column:
-    """The ``offset``-th key (from 0) of a parsed range, zero-padded when the bounds ask for it."""
-    number = (parsed["low"] + offset).cast("string")
-    padded = F.when(
-        parsed["width"] > F.length(number),
-        F.concat(F.repeat(F.lit("0"), parsed["width"] - F.length(number)), number),
-    ).otherwise(number)
-    return F.when(parsed["low"].isNull(), parsed["prefix"]).otherwise(
-        F.concat(parsed["prefix"], padded, parsed["suffix"])
+    def group(i: int) -> str:
+        return f"regexp_extract({key}, r'{RANGE_PATTERN}', {i})"
+
+    return f"""
+        transform(array(array({group(1)}, {group(2)}, {group(3)}, {group(4)})), g ->
+          if(g[1] = '',
+             named_struct('prefix', {key}, 'low', cast(null AS int), 'high', cast(null AS int), 'width', 0,
+                          'suffix', '', 'n', 1L),
+             named_struct('prefix', g[0], 'low', cast(g[1] AS int), 'high', cast(g[2] AS int),
+                          'width', if(length(g[1]) = length(g[2]), length(g[2]), 0), 'suffix', g[3],
+                          'n', greatest(cast(g[2] AS int) - cast(cast(g[1] AS int) AS bigint) + 1, 0L))))[0]
+        """
+
+
+def range_member(prefix: str, low: str, width: str, suffix: str, offset: str) -> str:
+    """SQL for the ``offset``-th key (from 0) of a parsed range, zero-padded when the bounds ask for it."""
+    number = f"cast({low} + {offset} AS string)"
+    return (
+        f"if({low} IS NULL, {prefix}, "
+        f"concat({prefix}, repeat('0', greatest({width} - length({number}), 0)), {number}, {suffix}))"
     )

@@ -2,73 +2,56 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.functions.jsonkeys import canonical_key
-from docloom.functions.keyspec import key_range, range_member, split_key_spec
+from docloom.functions.keyspec import RANGE_FIELDS, key_range, range_member, split_key_spec
 
 _RANGE_BLOCK = 65_536  # keys made from one array, so a huge range never becomes one huge array
 
 
-def expand_keys(specs: DataFrame, spec: Column | str, *, num_chunks: Column | int | None = None) -> DataFrame:
+def expand_keys(specs: DataFrame, spec: str, *, num_chunks: str | int | None = None) -> DataFrame:
     """Expand the spec of every row of ``specs`` into its keys.
 
-    Adds ``pos`` (place of the key in the list), ``sub_pos`` (place within its range), ``key_ord`` (place
-    among all expanded keys of the spec), ``raw_key``, ``view_key`` (canonical) and ``chunk_id``. Keys
-    listed twice give two rows. Everything is computed inside the row, without a shuffle.
+    ``spec`` (and ``num_chunks``, if not a number) is a column name or SQL expression. Adds ``pos`` (place
+    of the key in the list), ``sub_pos`` (place within its range), ``key_ord`` (place among all expanded
+    keys of the spec), ``raw_key``, ``view_key`` (canonical) and ``chunk_id``. Keys listed twice give two
+    rows. Everything is computed inside the row, without a shuffle.
     """
-    spec = F.col(spec) if isinstance(spec, str) else spec
     own = specs.columns
-    split = specs.withColumn("_keys", split_key_spec(spec)).withColumn(
-        "_sizes", F.transform("_keys", lambda key: key_range(key)["n"])
-    )
-    total = F.aggregate("_sizes", F.lit(0).cast("bigint"), lambda a, n: a + n)
-    chunks = total if num_chunks is None else (
-        num_chunks if isinstance(num_chunks, Column) else F.lit(num_chunks)
-    ).cast("bigint")
-    offsets = F.aggregate(
-        "_sizes",
-        F.array(F.lit(0).cast("bigint")),
-        lambda acc, n: F.array_append(acc, F.element_at(acc, -1) + n),
-    )
-    per_key = split.select(
-        *own,
-        _chunk_size(total, chunks).alias("_per_chunk"),
-        offsets.alias("_offsets"),
-        F.posexplode("_keys").alias("pos", "_raw"),
-    )
-    # The parsed fields become plain columns: a struct carried through the generators below would be
-    # pruned field by field, which Spark 4.1 does not survive.
-    fields = ("prefix", "low", "high", "width", "suffix", "n")
+    chunks = "_total" if num_chunks is None else f"greatest(cast({num_chunks} AS bigint), 1L)"
+    split = specs.selectExpr(*own, f"{split_key_spec(spec)} AS _keys")
+    # How many keys come before each listed key; the last number is the count of all keys.
+    counted = split.selectExpr(
+        "*",
+        f"""aggregate(_keys, array(0L), (acc, key) ->
+              array_append(acc, element_at(acc, -1) + {key_range("key")}.n)) AS _offsets""",
+    ).selectExpr("*", "element_at(_offsets, -1) AS _total")
+    # The parsed fields become plain columns: a struct carried through two generators would be pruned
+    # field by field, which Spark 4.1 does not survive.
     ranges = (
-        per_key.withColumn("_key", key_range(F.col("_raw")))
-        .select(
+        counted.selectExpr(
             *own,
-            "_per_chunk",
-            F.element_at("_offsets", F.col("pos") + 1).alias("_offset"),
-            "pos",
-            *[F.col("_key")[f].alias(f"_{f}") for f in fields],
+            f"greatest(cast(ceil(_total / {chunks}) AS bigint), 1L) AS _per_chunk",
+            "_offsets",
+            "posexplode(_keys) AS (pos, _raw)",
         )
-        .where(F.col("_n") > 0)
+        .selectExpr(*own, "_per_chunk", "_offsets[pos] AS _offset", "pos", f"{key_range('_raw')} AS _key")
+        .selectExpr(*own, "_per_chunk", "_offset", "pos", *[f"_key.{f} AS _{f}" for f in RANGE_FIELDS])
+        .where("_n > 0")
     )
-    blocks = ranges.withColumn(
-        "_from", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1, F.lit(_RANGE_BLOCK).cast("bigint")))
-    )
-    last = F.least(F.col("_from") + _RANGE_BLOCK, F.col("_n")) - 1
-    parsed = {f: F.col(f"_{f}") for f in fields}
     return (
-        blocks.withColumn("sub_pos", F.explode(F.sequence(F.col("_from"), last)))
-        .withColumn("key_ord", F.col("_offset") + F.col("sub_pos"))
-        .withColumn("raw_key", range_member(parsed, F.col("sub_pos")))
-        .select(
+        ranges.selectExpr("*", f"explode(sequence(0L, _n - 1, {_RANGE_BLOCK}L)) AS _from")
+        .selectExpr("*", f"explode(sequence(_from, least(_from + {_RANGE_BLOCK}L, _n) - 1)) AS sub_pos")
+        .selectExpr("*", f"{range_member('_prefix', '_low', '_width', '_suffix', 'sub_pos')} AS raw_key")
+        .selectExpr(
             *own,
             "pos",
             "sub_pos",
-            "key_ord",
+            "_offset + sub_pos AS key_ord",
             "raw_key",
-            canonical_key(F.col("raw_key")).alias("view_key"),
-            F.floor(F.col("key_ord") / F.col("_per_chunk")).alias("chunk_id"),
+            "coalesce(to_json(try_parse_json(raw_key)), raw_key) AS view_key",
+            "floor((_offset + sub_pos) / _per_chunk) AS chunk_id",
         )
     )
 
@@ -77,19 +60,17 @@ def plan_keys(spark: SparkSession, key_spec: str, *, num_chunks: int | None = No
     """Key plan of one literal spec; ``num_chunks`` defaults to one chunk per key."""
     if num_chunks is not None and num_chunks < 1:
         raise ValueError("num_chunks must be at least 1")
-    return expand_keys(spark.range(1, numPartitions=1).select(), F.lit(key_spec), num_chunks=num_chunks)
+    return expand_keys(
+        spark.range(1, numPartitions=1).select(F.lit(key_spec).alias("key_spec")), "key_spec", num_chunks=num_chunks
+    ).drop("key_spec")
 
 
 def assign_chunks(keys: DataFrame, n_keys: int, num_chunks: int, *, order: str = "key_ord") -> DataFrame:
     """Number contiguous chunks of ``ceil(n_keys / num_chunks)`` keys; there may be fewer than asked for."""
-    per_chunk = _chunk_size(F.lit(n_keys).cast("bigint"), F.lit(num_chunks).cast("bigint"))
+    per_chunk = max(-(-n_keys // max(num_chunks, 1)), 1)
     return keys.withColumn("chunk_id", F.floor(F.col(order) / per_chunk))
 
 
-def _chunk_size(n_keys: Column, chunks: Column) -> Column:
-    return F.greatest(F.ceil(n_keys / F.greatest(chunks, F.lit(1).cast("bigint"))), F.lit(1).cast("bigint"))
-
-
 def place_by_chunk(df: DataFrame, num_chunks: int, *, chunk: str = "chunk_id") -> DataFrame:
     """One Spark partition per chunk, for sinks where the chunk decides the output file."""
     return df.repartitionById(num_chunks, F.col(chunk).cast("int"))
