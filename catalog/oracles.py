@@ -492,3 +492,35 @@ UNION ALL SELECT 'EXISTENT_KEYS', 0
 UNION ALL SELECT 'NON_EXISTENT_TOUCHED_KEYS', 0
 UNION ALL SELECT 'LINES_WITH_WRONG_COLUMNS_COUNT', count(*) FROM lines WHERE kind IN (1, 2, 3, 4)
 """
+
+# --- larger feeds ------------------------------------------------------------------------------------
+
+LINE_FEED = """
+stored AS (SELECT 'o' || o_orderkey AS doc_id, o_orderstatus || '/' || o_orderpriority AS value FROM orders),
+feed AS (
+  SELECT 'o' || l_orderkey AS doc_id,
+         CAST(l_linenumber AS BIGINT) * 1099511627776 + l_partkey * 1048576 + l_suppkey AS seq,
+         'q' || CAST(max(l_quantity) AS BIGINT) AS v, l_linenumber % 9 AS kind
+  FROM lineitem GROUP BY l_orderkey, l_linenumber, l_partkey, l_suppkey)
+"""
+ORACLES["apply_line_feed"] = f"""
+WITH {LINE_FEED}, newest AS (SELECT doc_id, arg_max(v, seq) AS v FROM feed GROUP BY doc_id)
+SELECT coalesce(s.doc_id, n.doc_id) AS doc_id, coalesce(n.v, s.value) AS value, CAST(NULL AS BIGINT) AS expires_epoch
+FROM stored s FULL OUTER JOIN newest n ON n.doc_id = s.doc_id
+"""
+ORACLES["apply_line_feed_mixed"] = f"""
+WITH RECURSIVE {LINE_FEED},
+steps AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY seq) AS rn FROM feed WHERE kind <> 8),
+run AS (
+  SELECT k.doc_id, CAST(0 AS BIGINT) AS rn, s.doc_id IS NOT NULL AS present, s.value AS value
+  FROM (SELECT DISTINCT doc_id FROM steps) k LEFT JOIN stored s ON s.doc_id = k.doc_id
+  UNION ALL
+  SELECT r.doc_id, t.rn, CASE WHEN kind IN (0, 1) THEN TRUE WHEN kind = 5 THEN FALSE ELSE present END,
+         CASE WHEN kind = 0 OR (kind = 1 AND NOT present) OR (kind = 2 AND present) THEN t.v
+              WHEN kind = 3 AND present THEN r.value || t.v WHEN kind = 4 AND present THEN t.v || r.value
+              WHEN kind = 5 THEN NULL ELSE r.value END
+  FROM run r JOIN steps t ON t.doc_id = r.doc_id AND t.rn = r.rn + 1),
+final AS (SELECT doc_id, arg_max(present, rn) AS present, arg_max(coalesce(value, ''), rn) AS value FROM run GROUP BY doc_id)
+SELECT doc_id, value, CAST(NULL AS BIGINT) AS expires_epoch FROM stored WHERE doc_id NOT IN (SELECT doc_id FROM final)
+UNION ALL SELECT doc_id, value, CAST(NULL AS BIGINT) FROM final WHERE present
+"""

@@ -511,3 +511,23 @@ def job_save_actions(spark, sf_dir):
     write_snapshot(t.profile_store(spark, sf_dir), root)
     save_actions(t.action_feed(spark, sf_dir), root, t.AS_OF)
     return t.store_rows(current_store(spark, root))
+
+
+# --- larger feeds ------------------------------------------------------------------------------------
+
+
+@query
+def apply_line_feed(spark, sf_dir):
+    """The last line of each order becomes its document."""
+    result = apply_operation(t.large_store(spark, sf_dir), t.line_feed(spark, sf_dir), A.SET, t.AS_OF)
+    return t.store_rows(result.store)
+
+
+@query
+def apply_line_feed_mixed(spark, sf_dir):
+    """Order lines as mixed actions: the line number decides the operation."""
+    number = (F.col("seq") / 2**40).cast("bigint")
+    op = F.element_at(F.array(*[F.lit(o) for o in A.OPERATIONS]), (number % 9).cast("int") + 1)
+    feed = t.line_feed(spark, sf_dir).select("doc_id", "seq", op.alias("op"), "value", F.lit(0).alias("expiry"))
+    result = apply_actions(t.large_store(spark, sf_dir), feed, t.AS_OF)
+    return t.store_rows(result.store)

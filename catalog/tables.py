@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.functions.actions import ADD, APPEND, DELETE, NONE, PREPEND, REPLACE, SET, TOUCH
-from docloom.functions.expiry import as_timestamp, epoch_yyyymmdd, expires_at, second_of_minute
+from docloom.functions.expiry import as_of_sql, epoch_yyyymmdd, expires_sql, second_of_minute
 from docloom.operators.views import define_view
 
 AS_OF = "2024-01-01T00:00:00"
@@ -14,23 +13,30 @@ PROFILED_SEGMENTS = ("BUILDING", "FURNITURE", "HOUSEHOLD")
 CLICK_ID = r"\Aclick::(\w+)::(\d+)\z"
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+SCHEMAS = {
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "pages": "page_id BIGINT, url STRING, html STRING",
+    "labels": "doc_id BIGINT, quality INT, toxic INT",
+    "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
+}
 
 
-def epoch_of(ts: Column) -> Column:
-    """UNIX seconds of a timestamp without zone, read as UTC."""
-    days = F.unix_date(F.to_date(ts)).cast("bigint")
-    return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table with its known schema, so that no job reads file footers first."""
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def event_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a document whose ID holds type, user and time."""
-    events = load(spark, sf_dir, "events")
-    doc_id = F.concat_ws(
-        "::", "event_type", F.concat(F.lit("u"), F.col("user_id")), epoch_of(F.col("ts")).cast("string")
+    seconds = "unix_date(cast(ts AS date)) * 86400L + hour(ts) * 3600 + minute(ts) * 60 + second(ts)"
+    return load(spark, sf_dir, "events").selectExpr(
+        f"concat(event_type, '::u', user_id, '::', {seconds}) AS doc_id", "props AS value"
     )
-    return events.select(doc_id.alias("doc_id"), F.col("props").alias("value"))
 
 
 def click_view(spark: SparkSession, sf_dir: str, partitions: int, *, include_docs: bool = False) -> DataFrame:
@@ -68,47 +74,39 @@ def text_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def profile_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers of some segments as user profiles; some expire, some have expired at ``AS_OF``."""
-    custkey = F.col("c_custkey")
-    expiry = F.when(custkey % 6 == 2, F.timestamp_seconds(F.lit(1704067200) + custkey)).when(
-        custkey % 14 == 4, F.timestamp_seconds(F.lit(1704067200) - custkey)
-    )
-    return load(spark, sf_dir, "customer").where(F.col("c_mktsegment").isin(*PROFILED_SEGMENTS)).select(
-        F.concat(F.lit("u"), custkey).alias("doc_id"), F.col("c_name").alias("value"), expiry.alias("expires_at")
+    return load(spark, sf_dir, "customer").where(F.col("c_mktsegment").isin(*PROFILED_SEGMENTS)).selectExpr(
+        "concat('u', c_custkey) AS doc_id",
+        "c_name AS value",
+        """CASE WHEN c_custkey % 6 = 2 THEN timestamp_seconds(1704067200 + c_custkey)
+                WHEN c_custkey % 14 = 4 THEN timestamp_seconds(1704067200 - c_custkey) END AS expires_at""",
     )
 
 
-def feed_op() -> Column:
-    kind, even = F.col("event_type"), F.col("event_id") % 2 == 0
-    return (
-        F.when(kind == "signup", ADD)
-        .when((kind == "purchase") & even, SET)
-        .when(kind == "purchase", REPLACE)
-        .when((kind == "click") & even, APPEND)
-        .when(kind == "click", PREPEND)
-        .when(kind == "view", TOUCH)
-        .when(F.col("event_id") % 3 == 0, NONE)
-        .otherwise(DELETE)
-    )
+FEED_OP = """
+  CASE WHEN event_type = 'signup' THEN 'ADD'
+       WHEN event_type = 'purchase' THEN if(event_id % 2 = 0, 'SET', 'REPLACE')
+       WHEN event_type = 'click' THEN if(event_id % 2 = 0, 'APPEND', 'PREPEND')
+       WHEN event_type = 'view' THEN 'TOUCH'
+       ELSE if(event_id % 3 = 0, 'NONE', 'DELETE') END"""
 
 
 def action_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as actions of every kind on user profiles."""
-    return load(spark, sf_dir, "events").select(
-        F.concat(F.lit("u"), F.col("user_id")).alias("doc_id"),
-        F.col("event_id").alias("seq"),
-        feed_op().alias("op"),
-        F.concat(F.lit("v"), F.col("event_id"), F.lit(";")).alias("value"),
-        (F.col("event_id") % 5).cast("int").alias("expiry"),
+    return load(spark, sf_dir, "events").selectExpr(
+        "concat('u', user_id) AS doc_id",
+        "event_id AS seq",
+        f"{FEED_OP} AS op",
+        "concat('v', event_id, ';') AS value",
+        "cast(event_id % 5 AS int) AS expiry",
     )
 
 
 def order_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as documents with an expiry of some hours, or none."""
-    hours = (F.col("o_orderkey") % 5).cast("int")
-    return load(spark, sf_dir, "orders").select(
-        F.concat(F.lit("o"), F.col("o_orderkey")).alias("doc_id"),
-        F.concat_ws("/", "o_orderstatus", "o_orderpriority").alias("value"),
-        expires_at(hours * 3600, as_timestamp(AS_OF)).alias("expires_at"),
+    return load(spark, sf_dir, "orders").selectExpr(
+        "concat('o', o_orderkey) AS doc_id",
+        "concat_ws('/', o_orderstatus, o_orderpriority) AS value",
+        f"{expires_sql('o_orderkey % 5 * 3600', as_of_sql(AS_OF))} AS expires_at",
     )
 
 
@@ -141,3 +139,23 @@ def key_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def store_rows(store: DataFrame) -> DataFrame:
     """A store with its expiry as UNIX seconds, for comparison."""
     return store.select("doc_id", "value", F.unix_seconds("expires_at").alias("expires_epoch"))
+
+
+def large_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order as a document without expiry."""
+    return load(spark, sf_dir, "orders").select(
+        F.concat(F.lit("o"), F.col("o_orderkey")).alias("doc_id"),
+        F.concat_ws("/", "o_orderstatus", "o_orderpriority").alias("value"),
+        F.lit(None).cast("timestamp").alias("expires_at"),
+    )
+
+
+def line_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as values for the documents of their orders, several per document; ``seq`` is unique."""
+    lines = load(spark, sf_dir, "lineitem")
+    number = F.col("l_linenumber").cast("bigint") * 2**40 + F.col("l_partkey") * 2**20 + F.col("l_suppkey")
+    return lines.groupBy("l_orderkey", number.alias("seq")).agg(F.max("l_quantity").alias("q")).select(
+        F.concat(F.lit("o"), F.col("l_orderkey")).alias("doc_id"),
+        "seq",
+        F.concat(F.lit("q"), F.col("q").cast("bigint")).alias("value"),
+    )

@@ -8,27 +8,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def as_timestamp(as_of: Column | dt.datetime | str) -> Column:
-    """A moment as a TIMESTAMP column; naive datetimes and texts without zone are read as UTC."""
-    if isinstance(as_of, Column):
-        return as_of.cast("timestamp")
+def as_of_sql(as_of: dt.datetime | str) -> str:
+    """SQL for a moment; naive datetimes and texts without zone are UTC."""
     moment = dt.datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of
     if moment.tzinfo is None:
         moment = moment.replace(tzinfo=dt.timezone.utc)
-    return F.timestamp_micros(F.lit(int(moment.timestamp()) * 1_000_000 + moment.microsecond))
+    micros = (moment - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) // dt.timedelta(microseconds=1)
+    return f"timestamp_micros({micros}L)"
 
 
-def expires_at(expiry_seconds: Column, as_of: Column) -> Column:
-    """Expiry in seconds from ``as_of``; 0 (or null) means never."""
-    seconds = expiry_seconds.cast("bigint")
-    return F.when(
-        seconds > 0, F.timestamp_micros(F.unix_micros(as_of) + seconds * F.lit(1_000_000).cast("bigint"))
-    )
+def expires_sql(expiry: str, as_of: str) -> str:
+    """SQL for the expiry moment: ``expiry`` seconds after ``as_of``, null (never) for 0 and null."""
+    return f"CASE WHEN {expiry} > 0 THEN timestamp_micros(unix_micros({as_of}) + {expiry} * 1000000L) END"
 
 
-def is_live(expires: Column, as_of: Column) -> Column:
-    """True for a document that never expires or expires after ``as_of``."""
-    return expires.isNull() | (expires > as_of)
+def live_sql(expires_at: str, as_of: str) -> str:
+    """SQL that is true for a document that never expires or expires after ``as_of``."""
+    return f"({expires_at} IS NULL OR {expires_at} > {as_of})"
 
 
 def epoch_yyyymmdd(epoch_seconds: Column) -> Column:

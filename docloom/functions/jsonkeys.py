@@ -6,13 +6,29 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def canonical_key(raw: Column) -> Column:
-    """One spelling per JSON value, so that equal keys are equal strings.
+# Text that is its own canonical form: a string without escapes, a short integer, or an array of those.
+_PLAIN_ITEM = r'(?:"[^"\\\x00-\x1f]*+"|0|-?[1-9]\d{0,17})'
+_PLAIN_KEY = rf"\A(?:{_PLAIN_ITEM}|\[{_PLAIN_ITEM}(?:,{_PLAIN_ITEM})*+\])\z"
+_MAYBE_JSON = r'\A\s*[\[{"\-0-9tfn]'
+
+
+def canonical_key_sql(raw: str) -> str:
+    """SQL for one spelling per JSON value, so that equal keys are equal strings.
 
     White space and object member order are normalised. Text that is not JSON is kept as it is, because
-    a plain word is a legal key too.
+    a plain word is a legal key too. Only text that needs it is parsed.
     """
-    return F.coalesce(F.to_json(F.try_parse_json(raw)), raw)
+    return (
+        f"CASE WHEN {raw} RLIKE r'{_PLAIN_KEY}' OR NOT {raw} RLIKE r'{_MAYBE_JSON}' THEN {raw} "
+        f"ELSE coalesce(to_json(try_parse_json({raw})), {raw}) END"
+    )
+
+
+def canonical_key(raw: Column) -> Column:
+    """:func:`canonical_key_sql` for a column."""
+    return F.when(raw.rlike(_PLAIN_KEY) | ~raw.rlike(_MAYBE_JSON), raw).otherwise(
+        F.coalesce(F.to_json(F.try_parse_json(raw)), raw)
+    )
 
 
 def is_json_document(value: Column) -> Column:

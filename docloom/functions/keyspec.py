@@ -56,14 +56,15 @@ def key_range(key: str) -> str:
     def group(i: int) -> str:
         return f"regexp_extract({key}, r'{RANGE_PATTERN}', {i})"
 
+    plain = f"""named_struct('prefix', {key}, 'low', cast(null AS int), 'high', cast(null AS int), 'width', 0,
+                            'suffix', '', 'n', 1L)"""
     return f"""
-        transform(array(array({group(1)}, {group(2)}, {group(3)}, {group(4)})), g ->
-          if(g[1] = '',
-             named_struct('prefix', {key}, 'low', cast(null AS int), 'high', cast(null AS int), 'width', 0,
-                          'suffix', '', 'n', 1L),
-             named_struct('prefix', g[0], 'low', cast(g[1] AS int), 'high', cast(g[2] AS int),
-                          'width', if(length(g[1]) = length(g[2]), length(g[2]), 0), 'suffix', g[3],
-                          'n', greatest(cast(g[2] AS int) - cast(cast(g[1] AS int) AS bigint) + 1, 0L))))[0]
+        if(NOT contains({key}, '(('), {plain},
+           transform(array(array({group(1)}, {group(2)}, {group(3)}, {group(4)})), g ->
+             if(g[1] = '', {plain},
+                named_struct('prefix', g[0], 'low', cast(g[1] AS int), 'high', cast(g[2] AS int),
+                             'width', if(length(g[1]) = length(g[2]), length(g[2]), 0), 'suffix', g[3],
+                             'n', greatest(cast(g[2] AS int) - cast(cast(g[1] AS int) AS bigint) + 1, 0L))))[0])
         """
 
 

@@ -18,15 +18,13 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docloom.functions import actions as A
-from docloom.functions.expiry import as_timestamp, expires_at, is_live
+from docloom.functions.expiry import as_of_sql, expires_sql, live_sql
 from docloom.operators.skew import (
     MAX_GROUP_ROWS,
-    GroupProfile,
     local_table,
     profile_groups,
     segment_bounds,
@@ -38,10 +36,13 @@ BROADCAST_BYTES = 32 << 20  # measured size up to which changes are broadcast to
 STORED, DELETED, TOUCHED = "stored", "deleted", "touched"
 ALREADY_EXISTS, MISSING, IGNORED, INVALID_KEY = "exists", "missing", "ignored", "invalid_key"
 
-_STARTING = (A.SET, A.ADD)
-_RESETTING = (A.SET, A.ADD, A.REPLACE, A.DELETE)
-_EXPIRING = (A.SET, A.ADD, A.REPLACE, A.TOUCH)
-_EFFECTIVE = (A.SET, A.ADD, A.REPLACE, A.APPEND, A.PREPEND, A.DELETE, A.TOUCH)
+VALID_KEY = "(doc_id IS NOT NULL AND doc_id != '')"
+_EFFECTIVE = f"""({VALID_KEY} AND coalesce(
+    op IN ('SET', 'ADD', 'REPLACE', 'APPEND', 'PREPEND', 'DELETE', 'TOUCH'), false))"""
+_MARK = "CASE WHEN op IN ('SET', 'ADD') THEN true WHEN op = 'DELETE' THEN false END"
+_RESET_SEQ = "CASE WHEN ok AND op IN ('SET', 'ADD', 'REPLACE', 'DELETE') THEN seq END"
+OUTCOME = f"""CASE WHEN NOT ok THEN if(op = 'ADD', '{ALREADY_EXISTS}', '{MISSING}')
+    WHEN op = 'DELETE' THEN '{DELETED}' WHEN op = 'TOUCH' THEN '{TOUCHED}' ELSE '{STORED}' END AS outcome"""
 
 
 @dataclass(frozen=True)
@@ -52,37 +53,27 @@ class ApplyResult:
     outcomes: DataFrame
 
 
-def live_documents(store: DataFrame, as_of: dt.datetime | str | Column) -> DataFrame:
+def live_documents(store: DataFrame, as_of: dt.datetime | str) -> DataFrame:
     """Documents that have not expired at ``as_of``."""
-    return store.where(is_live(F.col("expires_at"), as_timestamp(as_of)))
+    return store.where(live_sql("expires_at", as_of_sql(as_of)))
 
 
 def normalise(actions: DataFrame) -> DataFrame:
     """Actions with EXISTS renamed to TOUCH; a negative expiry is an error."""
-    expiry = F.coalesce(F.col("expiry"), F.lit(0))
-    return actions.select(
+    return actions.selectExpr(
         "doc_id",
-        F.col("seq").cast("bigint").alias("seq"),
-        F.when(F.col("op") == A.EXISTS, A.TOUCH).otherwise(F.col("op")).alias("op"),
+        "cast(seq AS bigint) AS seq",
+        "if(op = 'EXISTS', 'TOUCH', op) AS op",
         "value",
-        F.when(expiry < 0, F.raise_error(F.concat(F.lit("negative expiry "), expiry)).cast("int"))
-        .otherwise(expiry)
-        .alias("expiry"),
+        """CASE WHEN expiry < 0 THEN raise_error(concat('negative expiry ', expiry))
+                ELSE coalesce(expiry, 0) END AS expiry""",
     )
 
 
-def _valid_key() -> Column:
-    return F.col("doc_id").isNotNull() & (F.col("doc_id") != "")
-
-
-def _effective() -> Column:
-    return _valid_key() & F.col("op").isin(*_EFFECTIVE)
-
-
 def apply_actions(
     store: DataFrame,
     actions: DataFrame,
-    as_of: dt.datetime | str | Column,
+    as_of: dt.datetime | str,
     *,
     max_group_rows: int = MAX_GROUP_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
@@ -94,10 +85,10 @@ def apply_actions(
     are streamed and not shuffled; beyond ``broadcast_bytes`` both sides are shuffled by key. Keys with
     too many actions for one task are processed in ``seq`` segments.
     """
-    return _Application(store, actions, as_timestamp(as_of), max_group_rows, broadcast_bytes).result()
+    return _Application(store, actions, as_of_sql(as_of), max_group_rows, broadcast_bytes).result()
 
 
-def apply_to(store: DataFrame, as_of: dt.datetime | str | Column) -> Callable[[DataFrame], DataFrame]:
+def apply_to(store: DataFrame, as_of: dt.datetime | str) -> Callable[[DataFrame], DataFrame]:
     """For ``actions.transform(apply_to(store, as_of))``: the new store."""
     return lambda actions: apply_actions(store, actions, as_of).store
 
@@ -106,44 +97,44 @@ class _Application:
     """The steps of one :func:`apply_actions` call over its inputs."""
 
     def __init__(
-        self, store: DataFrame, actions: DataFrame, as_of: Column, max_group_rows: int, broadcast_bytes: int
+        self, store: DataFrame, actions: DataFrame, as_of: str, max_group_rows: int, broadcast_bytes: int
     ):
         self.store = store
         self.actions = normalise(actions)
         self.as_of = as_of
-        self.rows = self.actions.where(_effective())
-        self.profile: GroupProfile = profile_groups(
-            self.rows, "doc_id", "seq", max_group_rows=max_group_rows
-        )
+        self.rows = self.actions.where(_EFFECTIVE)
+        self.profile = profile_groups(self.rows, "doc_id", "seq", max_group_rows=max_group_rows)
         self.small = self.profile.bytes <= broadcast_bytes
 
     def result(self) -> ApplyResult:
-        cold, changes = self.cold_annotated, fold(self.cold_annotated)
-        outcomes = cold.select("doc_id", "seq", "op", outcome().alias("outcome"))
+        cold = self.cold_annotated
+        outcomes, changes = cold.selectExpr("doc_id", "seq", "op", OUTCOME), fold(cold)
         if self.profile.hot:
             hot = self.hot_annotated
-            outcomes = outcomes.union(hot.select("doc_id", "seq", "op", outcome().alias("outcome")))
+            outcomes = outcomes.union(hot.selectExpr("doc_id", "seq", "op", OUTCOME))
             changes = changes.union(fold(hot))
-        reason = F.when(~_valid_key() | F.col("doc_id").isNull(), INVALID_KEY).otherwise(IGNORED)
-        without_effect = self.actions.where(~F.coalesce(_effective(), F.lit(False)))
-        outcomes = outcomes.union(without_effect.select("doc_id", "seq", "op", reason.alias("outcome")))
-        return ApplyResult(
-            write_changes(self.store, changes, self.as_of, small=self.small), outcomes
+        without_effect = self.actions.where(f"NOT {_EFFECTIVE}").selectExpr(
+            "doc_id", "seq", "op", f"if({VALID_KEY}, '{IGNORED}', '{INVALID_KEY}') AS outcome"
         )
+        new_store = write_changes(self.store, changes, self.as_of, small=self.small)
+        return ApplyResult(new_store, outcomes.union(without_effect))
 
     @cached_property
     def cold_annotated(self) -> DataFrame:
         rows = self.rows
         if self.profile.hot:
-            rows = rows.join(self._hot_table([(k,) for k in self.profile.hot]), "doc_id", "left_anti")
+            rows = rows.join(self.hot_keys, "doc_id", "left_anti")
         state = store_state(self.store, self.as_of)
         if self.small:
             # Few keys are asked for: keep only their states before the join.
             state = state.join(F.broadcast(rows.select("doc_id").distinct()), "doc_id", "left_semi")
-        by_key = Window.partitionBy("doc_id").orderBy("seq")
-        annotated = annotate(rows.join(state, "doc_id", "left"), by_key, F.col("live"))
-        whole_key = Window.partitionBy("doc_id")
-        return annotated.withColumn("reset_seq", F.max(_reset_seq()).over(whole_key))
+        annotated = annotate(rows.join(state, "doc_id", "left"), "doc_id", "live")
+        return annotated.selectExpr("*", f"max({_RESET_SEQ}) OVER (PARTITION BY doc_id) AS reset_seq")
+
+    @cached_property
+    def hot_keys(self) -> DataFrame:
+        schema = T.StructType().add("doc_id", T.StringType())
+        return local_table(self.store.sparkSession, [(k,) for k in self.profile.hot], schema)
 
     @cached_property
     def hot_annotated(self) -> DataFrame:
@@ -153,75 +144,49 @@ class _Application:
         broadcast: the boundaries, the presence at the start of each segment, the last reset. Their
         number is bounded by the number of segments.
         """
+        spark = self.store.sparkSession
         bounds = segment_bounds(self.rows, "doc_id", "seq", self.profile)
-        state = (
-            store_state(self.store, self.as_of)
-            .join(self._hot_table([(k,) for k in self.profile.hot]), "doc_id", "left_semi")
-            .select("doc_id", "live")
-        )
+        state = store_state(self.store, self.as_of).join(self.hot_keys, "doc_id", "left_semi")
         present = {r["doc_id"]: r["live"] for r in state.collect()}
 
         rows = self.rows.join(bounds, "doc_id").withColumn("segment", segment_number("seq"))
         rows = rows.drop("_coarse", "_fine")
-        marked = F.when(_mark().isNotNull(), F.col("seq"))
-        last_marks = rows.groupBy("doc_id", "segment").agg(F.max_by(_mark(), marked).alias("mark")).collect()
+        last_mark = F.expr(f"max_by({_MARK}, CASE WHEN ({_MARK}) IS NOT NULL THEN seq END)").alias("mark")
+        marks = rows.groupBy("doc_id", "segment").agg(last_mark).collect()
         carried: list[tuple] = []
         key, presence = None, False
-        for r in sorted(last_marks, key=lambda r: (r["doc_id"], r["segment"])):
+        for r in sorted(marks, key=lambda r: (r["doc_id"], r["segment"])):
             if r["doc_id"] != key:
                 key, presence = r["doc_id"], bool(present.get(r["doc_id"]))
             carried.append((key, r["segment"], presence, present.get(key)))
             presence = presence if r["mark"] is None else r["mark"]
-        schema = (
-            T.StructType()
-            .add("doc_id", T.StringType())
-            .add("segment", T.IntegerType())
-            .add("_carry", T.BooleanType())
-            .add("live", T.BooleanType())
-        )
-        rows = rows.join(local_table(self.store.sparkSession, carried, schema), ["doc_id", "segment"])
-        in_segment = Window.partitionBy("doc_id", "segment").orderBy("seq")
-        annotated = annotate(rows, in_segment, F.col("_carry")).drop("_carry")
-        resets = annotated.groupBy("doc_id").agg(F.max(_reset_seq()).alias("reset_seq")).collect()
-        schema = T.StructType().add("doc_id", T.StringType()).add("reset_seq", T.LongType())
-        resets = local_table(self.store.sparkSession, [tuple(r) for r in resets], schema)
-        return annotated.join(resets, "doc_id", "left").drop("segment")
+        schema = "doc_id STRING, segment INT, _carry BOOLEAN, live BOOLEAN"
+        rows = rows.join(local_table(spark, carried, schema), ["doc_id", "segment"])
+        annotated = annotate(rows, "doc_id, segment", "_carry").drop("_carry", "segment")
+        resets = annotated.groupBy("doc_id").agg(F.expr(f"max({_RESET_SEQ})").alias("reset_seq")).collect()
+        resets = local_table(spark, [tuple(r) for r in resets], "doc_id STRING, reset_seq BIGINT")
+        return annotated.join(resets, "doc_id", "left")
 
-    def _hot_table(self, keys: list[tuple]) -> DataFrame:
-        return local_table(self.store.sparkSession, keys, T.StructType().add("doc_id", T.StringType()))
 
-
-def store_state(store: DataFrame, as_of: Column) -> DataFrame:
+def store_state(store: DataFrame, as_of: str) -> DataFrame:
     """``(doc_id, live)`` of every stored document; reads two narrow columns."""
-    return store.select("doc_id", is_live(F.col("expires_at"), as_of).alias("live"))
-
-
-def _mark() -> Column:
-    """Presence an action leaves behind, null if it does not decide it."""
-    return F.when(F.col("op").isin(*_STARTING), True).when(F.col("op") == A.DELETE, False)
-
-
-def _reset_seq() -> Column:
-    return F.when(F.col("ok") & F.col("op").isin(*_RESETTING), F.col("seq"))
-
-
-def annotate(rows: DataFrame, ordered: Window, initial: Column) -> DataFrame:
-    """Add ``ok``: whether each action succeeds, given the presence before the window starts."""
-    earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    present = F.coalesce(F.last(_mark(), ignorenulls=True).over(earlier), initial, F.lit(False))
-    tie = F.lag("seq").over(ordered) == F.col("seq")
-    message = F.concat(F.lit("two actions of key "), F.col("doc_id"), F.lit(" have the same seq"))
-    ok = F.when(tie, F.raise_error(message).cast("boolean")).otherwise(
-        F.when(F.col("op") == A.SET, True).when(F.col("op") == A.ADD, ~present).otherwise(present)
-    )
-    return rows.withColumn("ok", ok)
-
-
-def outcome() -> Column:
-    """Outcome name of an annotated action."""
-    failed = F.when(F.col("op") == A.ADD, ALREADY_EXISTS).otherwise(MISSING)
-    return F.when(~F.col("ok"), failed).otherwise(
-        F.when(F.col("op") == A.DELETE, DELETED).when(F.col("op") == A.TOUCH, TOUCHED).otherwise(STORED)
+    return store.selectExpr("doc_id", f"{live_sql('expires_at', as_of)} AS live")
+
+
+def annotate(rows: DataFrame, partition: str, initial: str) -> DataFrame:
+    """Add ``ok``: whether each action succeeds, given the presence before the partition's first action."""
+    window = f"PARTITION BY {partition} ORDER BY seq"
+    return rows.selectExpr(
+        "*",
+        f"""coalesce(
+              last({_MARK}, true) OVER ({window} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+              {initial}, false) AS _present""",
+        f"lag(seq) OVER ({window}) AS _previous",
+    ).selectExpr(
+        *rows.columns,
+        """CASE WHEN _previous = seq
+                THEN raise_error(concat('two actions of key ', doc_id, ' have the same seq'))
+                WHEN op = 'SET' THEN true WHEN op = 'ADD' THEN NOT _present ELSE _present END AS ok""",
     )
 
 
@@ -231,35 +196,30 @@ def fold(annotated: DataFrame) -> DataFrame:
     Only pieces that are part of the final document are gathered; everything else is a maximum with
     partial results.
     """
-    op, seq, ok = F.col("op"), F.col("seq"), F.col("ok")
-    kept = F.coalesce(seq > F.col("reset_seq"), F.lit(True)) & ok
-    reset = F.struct(op.alias("op"), F.col("value").alias("value"))
 
-    def pieces(kind: str) -> Column:
-        piece = F.struct(seq.alias("seq"), F.coalesce("value", F.lit("")).alias("value"))
-        return F.collect_list(F.when(kept & (op == kind), piece))
+    def pieces(op: str, newest_first: bool) -> str:
+        piece = f"CASE WHEN op = '{op}' AND seq > coalesce(reset_seq, seq - 1) THEN struct(seq, coalesce(value, '')) END"
+        ordered = f"sort_array(collect_list({piece}), {not newest_first})"
+        return f"array_join(transform({ordered}, p -> p.col2), '')"
 
+    expiring = "op IN ('SET', 'ADD', 'REPLACE', 'TOUCH')"
     return (
-        annotated.where(ok)
+        annotated.where("ok")
         .groupBy("doc_id")
         .agg(
-            F.first("live").alias("live"),
-            F.max_by(reset, _reset_seq()).alias("reset"),
-            F.max_by("expiry", F.when(op.isin(*_EXPIRING), seq)).alias("expiry"),
-            F.max(op.isin(*_EXPIRING)).alias("expires"),
-            _joined(pieces(A.APPEND), newest_first=False).alias("tail"),
-            _joined(pieces(A.PREPEND), newest_first=True).alias("head"),
+            F.expr("first(live) AS live"),
+            F.expr(f"max_by(struct(op, value), {_RESET_SEQ}) AS reset"),
+            F.expr(f"max_by(expiry, CASE WHEN {expiring} THEN seq END) AS expiry"),
+            F.expr(f"max({expiring}) AS expires"),
+            F.expr(f"{pieces('APPEND', newest_first=False)} AS tail"),
+            F.expr(f"{pieces('PREPEND', newest_first=True)} AS head"),
         )
-        .select(
+        .selectExpr(
             "doc_id",
-            F.col("live").isNotNull().alias("present"),
-            (
-                F.when(F.col("reset").isNull(), F.coalesce("live", F.lit(False))).otherwise(
-                    F.col("reset.op") != A.DELETE
-                )
-            ).alias("exists"),
-            F.col("reset").isNotNull().alias("based"),
-            F.col("reset.value").alias("base"),
+            "live IS NOT NULL AS present",
+            "if(reset IS NULL, coalesce(live, false), reset.op != 'DELETE') AS remains",
+            "reset IS NOT NULL AS based",
+            "reset.value AS base",
             "expires",
             "expiry",
             "tail",
@@ -268,56 +228,49 @@ def fold(annotated: DataFrame) -> DataFrame:
     )
 
 
-def _joined(pieces: Column, *, newest_first: bool) -> Column:
-    ordered = F.sort_array(pieces, asc=not newest_first)
-    return F.array_join(F.transform(ordered, lambda p: p["value"]), "")
-
-
 def write_changes(
-    store: DataFrame,
-    changes: DataFrame,
-    as_of: Column,
-    *,
-    small: bool,
-    applies: Callable[[Column], Column] | None = None,
-    inserts: bool = True,
+    store: DataFrame, changes: DataFrame, as_of: str, *, small: bool, applies: str = "true", inserts: bool = True
 ) -> DataFrame:
     """Merge one change row per key into the store (see :func:`fold` for the columns).
 
-    ``applies`` maps "the stored document is live" to "the change takes effect"; without it all do.
-    ``inserts`` tells whether changes may bring new keys. Small changes go to the documents by broadcast
-    and new keys are appended; otherwise it is one join on the key.
+    ``applies`` is the condition on ``live`` (the document is stored and has not expired) under which a
+    change takes effect. ``inserts`` tells whether changes may bring new keys. Small changes go to the
+    documents by broadcast and new keys are appended; otherwise it is one join on the key.
     """
-    stored = F.coalesce("s.stored", F.lit(False))
-    live = stored & is_live(F.col("s.expires_at"), as_of)
-    changed = F.col("c.exists").isNotNull() & (applies(live) if applies else F.lit(True))
-    base = F.when(F.col("c.based"), F.col("c.base")).otherwise(F.col("s.value"))
-    extended = (F.col("c.head") != "") | (F.col("c.tail") != "")
-    value = F.when(
-        extended, F.concat(F.col("c.head"), F.coalesce(base, F.lit("")), F.col("c.tail"))
-    ).otherwise(base)
-    expires = F.when(F.col("c.expires"), expires_at(F.col("c.expiry"), as_of)).otherwise(
-        F.col("s.expires_at")
-    )
 
     def new_rows(joined: DataFrame) -> DataFrame:
-        return joined.where(F.when(changed, F.col("c.exists")).otherwise(stored)).select(
-            "doc_id",
-            F.when(changed, value).otherwise(F.col("s.value")).alias("value"),
-            F.when(changed, expires).otherwise(F.col("s.expires_at")).alias("expires_at"),
+        return (
+            joined.selectExpr("*", f"coalesce(stored, false) AND {live_sql('expires_at', as_of)} AS live")
+            .selectExpr("*", f"remains IS NOT NULL AND ({applies}) AS changed")
+            .where("if(changed, remains, coalesce(stored, false))")
+            .selectExpr(
+                "doc_id",
+                """CASE WHEN NOT changed THEN value
+                        WHEN head = '' AND tail = '' THEN if(based, base, value)
+                        ELSE concat(head, coalesce(if(based, base, value), ''), tail) END AS value""",
+                f"if(changed AND expires, {expires_sql('expiry', as_of)}, expires_at) AS expires_at",
+            )
         )
 
-    documents = store.select("doc_id", "value", "expires_at", F.lit(True).alias("stored"))
+    fields = ("remains", "based", "base", "expires", "expiry", "tail", "head")
+    documents = store.selectExpr("doc_id", "value", "expires_at", "true AS stored")
+    changed = changes.select("doc_id", *fields)
     if not small:
         how = "full_outer" if inserts else "left"
-        return new_rows(documents.alias("s").join(changes.alias("c"), "doc_id", how))
-    kept = new_rows(documents.alias("s").join(F.broadcast(changes).alias("c"), "doc_id", "left"))
+        return new_rows(documents.join(changed, "doc_id", how))
+    kept = new_rows(documents.join(F.broadcast(changed), "doc_id", "left"))
     if not inserts:
         return kept
     if "present" in changes.columns:
-        fresh = changes.where(~F.col("present"))
+        fresh = changes.where("NOT present")
     else:
         seen = store.select("doc_id").join(F.broadcast(changes.select("doc_id")), "doc_id", "left_semi")
         fresh = changes.join(seen, "doc_id", "left_anti")
-    nothing = documents.where(F.lit(False))
-    return kept.union(new_rows(fresh.alias("c").join(nothing.alias("s"), "doc_id", "left")))
+    # A new key starts from nothing, so its change is its document.
+    return kept.union(
+        fresh.where("remains").selectExpr(
+            "doc_id",
+            "if(head = '' AND tail = '', base, concat(head, coalesce(base, ''), tail)) AS value",
+            f"if(expires, {expires_sql('expiry', as_of)}, cast(null AS timestamp)) AS expires_at",
+        )
+    )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docloom.functions.jsonkeys import canonical_key_sql
 from docloom.functions.keyspec import RANGE_FIELDS, key_range, range_member, split_key_spec
 
 _RANGE_BLOCK = 65_536  # keys made from one array, so a huge range never becomes one huge array
@@ -50,7 +51,7 @@ def expand_keys(specs: DataFrame, spec: str, *, num_chunks: str | int | None = N
             "sub_pos",
             "_offset + sub_pos AS key_ord",
             "raw_key",
-            "coalesce(to_json(try_parse_json(raw_key)), raw_key) AS view_key",
+            f"{canonical_key_sql('raw_key')} AS view_key",
             "floor((_offset + sub_pos) / _per_chunk) AS chunk_id",
         )
     )

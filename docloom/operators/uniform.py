@@ -9,11 +9,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions import actions as A
-from docloom.functions.expiry import as_timestamp
+from docloom.functions.expiry import as_of_sql
 from docloom.operators import apply as P
 from docloom.operators.skew import measured_bytes
 
@@ -22,7 +22,7 @@ def apply_operation(
     store: DataFrame,
     docs: DataFrame,
     op: str | None,
-    as_of: dt.datetime | str | Column,
+    as_of: dt.datetime | str,
     *,
     expiry: int | str | None = None,
     broadcast_bytes: int = P.BROADCAST_BYTES,
@@ -31,12 +31,11 @@ def apply_operation(
 
     ``value`` may be missing for DELETE and TOUCH. ``seq`` must be unique per key.
     """
-    op, expiry, as_of = A.parse_operation(op), A.parse_expiry(expiry), as_timestamp(as_of)
-    docs = docs if "value" in docs.columns else docs.withColumn("value", F.lit(None).cast("string"))
-    docs = docs.select("doc_id", F.col("seq").cast("bigint").alias("seq"), "value")
-    valid = F.coalesce(F.col("doc_id") != "", F.lit(False))
-    invalid = _with_outcome(docs.where(~valid), op, P.INVALID_KEY)
-    rows = docs.where(valid)
+    op, expiry, as_of = A.parse_operation(op), A.parse_expiry(expiry), as_of_sql(as_of)
+    value = "value" if "value" in docs.columns else "cast(null AS string) AS value"
+    docs = docs.selectExpr("doc_id", "cast(seq AS bigint) AS seq", value)
+    invalid = _with_outcome(docs.where(f"NOT {P.VALID_KEY}"), op, P.INVALID_KEY)
+    rows = docs.where(P.VALID_KEY)
     if op == A.NONE:
         return P.ApplyResult(store, _with_outcome(rows, op, P.IGNORED).union(invalid))
 
@@ -45,77 +44,63 @@ def apply_operation(
     if small:
         state = state.join(F.broadcast(rows.select("doc_id").distinct()), "doc_id", "left_semi")
 
+    changing = rows
     if op in (A.APPEND, A.PREPEND) and not small:
         # Do not gather pieces for keys that are not there.
         changing = rows.join(state.where("live").select("doc_id"), "doc_id", "left_semi")
-    else:
-        changing = rows
     new_store = P.write_changes(
         store,
         _changes(changing, op, expiry),
         as_of,
         small=small,
-        applies=_applies(op),
+        applies="true" if op == A.SET else "NOT live" if op == A.ADD else "live",
         inserts=op in (A.SET, A.ADD),
     )
     return P.ApplyResult(new_store, _outcomes(rows, state, op).union(invalid))
 
 
 def _with_outcome(rows: DataFrame, op: str, outcome: str) -> DataFrame:
-    return rows.select("doc_id", "seq", F.lit(op).alias("op"), F.lit(outcome).alias("outcome"))
-
-
-def _applies(op: str):
-    if op == A.SET:
-        return None
-    return (lambda live: ~live) if op == A.ADD else (lambda live: live)
+    return rows.selectExpr("doc_id", "seq", f"'{op}' AS op", f"'{outcome}' AS outcome")
 
 
 def _changes(rows: DataFrame, op: str, expiry: int) -> DataFrame:
-    per_key = rows.groupBy("doc_id")
-    nothing, no_text = F.lit(None).cast("string"), F.lit("")
-    base, head, tail = nothing, no_text, no_text
-    if op in (A.SET, A.REPLACE):
-        reduced = per_key.agg(F.max_by("value", "seq").alias("v"))
-        base = F.col("v")
-    elif op == A.ADD:
-        reduced = per_key.agg(F.min_by("value", "seq").alias("v"))
-        base = F.col("v")
-    elif op in (A.APPEND, A.PREPEND):
-        pieces = F.collect_list(F.struct("seq", F.coalesce("value", F.lit("")).alias("value")))
-        ordered = F.sort_array(pieces, asc=op == A.APPEND)
-        reduced = per_key.agg(F.array_join(F.transform(ordered, lambda p: p["value"]), "").alias("v"))
-        head, tail = (no_text, F.col("v")) if op == A.APPEND else (F.col("v"), no_text)
+    joined = "array_join(transform(sort_array(collect_list(struct(seq, coalesce(value, ''))), {}), p -> p.col2), '')"
+    reduced = {
+        A.SET: "max_by(value, seq)",
+        A.REPLACE: "max_by(value, seq)",
+        A.ADD: "min_by(value, seq)",
+        A.APPEND: joined.format("true"),
+        A.PREPEND: joined.format("false"),
+    }
+    if op in reduced:
+        per_key = rows.groupBy("doc_id").agg(F.expr(reduced[op]).alias("v"))
     else:
-        reduced = rows.select("doc_id").distinct()
-    return reduced.select(
+        per_key = rows.select("doc_id").distinct()
+    based = op in (A.SET, A.ADD, A.REPLACE)
+    return per_key.selectExpr(
         "doc_id",
-        F.lit(op != A.DELETE).alias("exists"),
-        F.lit(op in (A.SET, A.ADD, A.REPLACE, A.DELETE)).alias("based"),
-        base.alias("base"),
-        F.lit(op in (A.SET, A.ADD, A.REPLACE, A.TOUCH)).alias("expires"),
-        F.lit(expiry).alias("expiry"),
-        tail.alias("tail"),
-        head.alias("head"),
+        f"{op != A.DELETE} AS remains",
+        f"{based or op == A.DELETE} AS based",
+        f"{'v' if based else 'cast(null AS string)'} AS base",
+        f"{based or op == A.TOUCH} AS expires",
+        f"{expiry} AS expiry",
+        f"{'v' if op == A.APPEND else repr('')} AS tail",
+        f"{'v' if op == A.PREPEND else repr('')} AS head",
     )
 
 
 def _outcomes(rows: DataFrame, state: DataFrame, op: str) -> DataFrame:
     if op == A.SET:
         return _with_outcome(rows, op, P.STORED)
+    ok = "coalesce(live, false)"
     if op in (A.ADD, A.DELETE):
         # Only the first action of a key can succeed.
-        state = (
-            rows.groupBy("doc_id").agg(F.min("seq").alias("first_seq")).join(state, "doc_id", "left")
-        )
-        first = F.col("seq") == F.col("first_seq")
-        live = F.coalesce("live", F.lit(False))
-        ok = first & (~live if op == A.ADD else live)
-    else:
-        ok = F.coalesce("live", F.lit(False))
+        firsts = rows.groupBy("doc_id").agg(F.min("seq").alias("first_seq"))
+        state = firsts.join(state, "doc_id", "left")
+        ok = f"seq = first_seq AND {'NOT ' if op == A.ADD else ''}coalesce(live, false)"
     return (
-        rows.select("doc_id", "seq", F.lit(op).alias("op"))
+        rows.select("doc_id", "seq")
         .join(state, "doc_id", "left")
-        .withColumn("ok", ok)
-        .select("doc_id", "seq", "op", P.outcome().alias("outcome"))
+        .selectExpr("doc_id", "seq", f"'{op}' AS op", f"{ok} AS ok")
+        .selectExpr("doc_id", "seq", "op", P.OUTCOME)
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docloom.functions import actions as A
-from docloom.functions.expiry import as_timestamp, expires_at, is_live
+from docloom.functions.expiry import as_of_sql, live_sql
 from docloom.operators.apply import BROADCAST_BYTES
 from docloom.operators.skew import (
     GroupProfile,
@@ -38,18 +38,18 @@ class UpdateResult:
     summary: DataFrame
 
 
-def lookup_documents(rows: DataFrame, store: DataFrame, as_of: dt.datetime | str | Column) -> DataFrame:
+def lookup_documents(rows: DataFrame, store: DataFrame, as_of: dt.datetime | str) -> DataFrame:
     """Add ``existing``, the live document of each row's ``doc_id``, null where there is none.
 
     Rows are kept as they are, copies included. Adaptive execution chooses the join and splits keys that
     hold too many rows.
     """
-    live = store.where(is_live(F.col("expires_at"), as_timestamp(as_of)))
-    return rows.join(live.select("doc_id", F.col("value").alias("existing")), "doc_id", "left")
+    live = store.where(live_sql("expires_at", as_of_sql(as_of)))
+    return rows.join(live.selectExpr("doc_id", "value AS existing"), "doc_id", "left")
 
 
 def merge_actions(
-    rows: DataFrame, store: DataFrame, merge: Merge, as_of: dt.datetime | str | Column, *, seq: str = "seq"
+    rows: DataFrame, store: DataFrame, merge: Merge, as_of: dt.datetime | str, *, seq: str = "seq"
 ) -> DataFrame:
     """Actions from ``rows(doc_id, seq, payload...)``: ``merge(payload, existing)`` for each row.
 
@@ -68,7 +68,7 @@ def update_documents(
     store: DataFrame,
     source: DataFrame,
     merge: Merge,
-    as_of: dt.datetime | str | Column,
+    as_of: dt.datetime | str,
     *,
     transform: Callable[[DataFrame], DataFrame] | None = None,
     order_by: str | None = None,
@@ -88,7 +88,7 @@ def update_documents(
     Merging in order is serial per key by nature; a key with more than ``max_folded_rows`` rows is folded
     in rounds of bounded size, each continuing from the documents the round before wrote.
     """
-    as_of = as_timestamp(as_of)
+    as_of = as_of_sql(as_of)
     rows = transform(source) if transform else source
     rows = rows.where(F.col("doc_id") != "")
     payload = [c for c in rows.columns if c != "doc_id"]
@@ -119,54 +119,61 @@ def _items(rows: DataFrame, payload: list[str], order_by: str) -> DataFrame:
     return rows.groupBy("doc_id").agg(F.sort_array(F.collect_list(item)).alias("items"))
 
 
-def _fold_into(
-    store: DataFrame, items: DataFrame, merge: Merge, as_of: Column, small: bool
-) -> DataFrame:
-    """Join the items of each key to the store and fold them: ``(doc_id, touched, state)``."""
-    stored = F.coalesce("s.stored", F.lit(False))
-    live = stored & is_live(F.col("s.expires_at"), as_of)
+_COUNTS = ("stored", "already_exists", "missing", "missing_touched", "ignored")
+
+
+def _state_sql(exists: str, value: str, expires_at: str) -> str:
+    counts = ", ".join(f"'{c}', 0L" for c in _COUNTS)
+    return f"named_struct('exists', {exists}, 'value', {value}, 'expires_at', {expires_at}, {counts})"
+
+
+def _fold_into(store: DataFrame, items: DataFrame, merge: Merge, as_of: str, small: bool) -> DataFrame:
+    """Join the items of each key to the store and fold them: ``(doc_id, touched, state)``.
+
+    An expired document of a touched key counts as absent and is dropped.
+    """
+    documents = store.selectExpr(
+        "doc_id",
+        f"{_state_sql('true', 'value', 'expires_at')} AS kept",
+        f"{live_sql('expires_at', as_of)} AS live",
+    )
+    absent = _state_sql("false", "cast(null AS string)", "cast(null AS timestamp)")
 
     def folded(joined: DataFrame) -> DataFrame:
-        touched = F.col("c.items").isNotNull()
-        untouched = _state(stored, F.col("s.value"), F.col("s.expires_at"))
-        begin = _state(
-            live, F.when(live, F.col("s.value")), F.when(live, F.col("s.expires_at"))
-        )
-        end = F.aggregate("c.items", begin, lambda state, item: _step(state, item, merge, as_of))
-        return joined.select(
-            "doc_id", touched.alias("touched"), F.when(touched, end).otherwise(untouched).alias("state")
+        begun = joined.selectExpr("doc_id", "items", "kept", f"if(live, kept, {absent}) AS begin")
+        end = F.aggregate("items", F.col("begin"), lambda state, item: _step(state, item, merge, as_of))
+        return begun.select("doc_id", "kept", "items", end.alias("end")).selectExpr(
+            "doc_id", "items IS NOT NULL AS touched", "if(items IS NULL, kept, end) AS state"
         )
 
-    documents = store.select("doc_id", "value", "expires_at", F.lit(True).alias("stored"))
     if not small:
-        return folded(documents.alias("s").join(items.alias("c"), "doc_id", "full_outer"))
-    kept = folded(documents.alias("s").join(F.broadcast(items).alias("c"), "doc_id", "left"))
+        return folded(documents.join(items, "doc_id", "full_outer"))
+    kept = folded(documents.join(F.broadcast(items), "doc_id", "left"))
     seen = store.select("doc_id").join(F.broadcast(items.select("doc_id")), "doc_id", "left_semi")
     fresh = items.join(seen, "doc_id", "left_anti")
-    nothing = documents.where(F.lit(False))
-    return kept.union(folded(fresh.alias("c").join(nothing.alias("s"), "doc_id", "left")))
-
-
-_COUNTS = ("stored", "already_exists", "missing", "missing_touched", "ignored")
+    nothing = "cast(null AS boolean) AS live"
+    kept_type = documents.schema["kept"].dataType
+    return kept.union(
+        folded(fresh.select("doc_id", "items", F.lit(None).cast(kept_type).alias("kept"), F.expr(nothing)))
+    )
 
 
-def _state(exists: Column, value: Column, expires: Column, counts: dict[str, Column] | None = None) -> Column:
-    zero = F.lit(0).cast("bigint")
+def _state(exists: Column, value: Column, expires: Column, counts: dict[str, Column]) -> Column:
     return F.struct(
         exists.alias("exists"),
         value.cast("string").alias("value"),
         expires.cast("timestamp").alias("expires_at"),
-        *[(counts[c] if counts else zero).alias(c) for c in _COUNTS],
+        *[counts[c].alias(c) for c in _COUNTS],
     )
 
 
-def _step(state: Column, item: Column, merge: Merge, as_of: Column) -> Column:
+def _step(state: Column, item: Column, merge: Merge, as_of: str) -> Column:
     """State after one merged action. The one-element transform binds the action once."""
     merged = merge(item, F.when(state["exists"], state["value"]))
     return F.transform(F.array(merged), lambda action: _apply_one(state, action, as_of))[0]
 
 
-def _apply_one(state: Column, action: Column, as_of: Column) -> Column:
+def _apply_one(state: Column, action: Column, as_of: str) -> Column:
     present = state["exists"]
     op = F.when(action["op"] == A.EXISTS, A.TOUCH).otherwise(F.coalesce(action["op"], F.lit(A.NONE)))
     known = op.isin(*[o for o in A.OPERATIONS if o not in (A.NONE, A.EXISTS)])
@@ -181,7 +188,9 @@ def _apply_one(state: Column, action: Column, as_of: Column) -> Column:
     )
     expiry = F.coalesce(action["expiry"], F.lit(0))
     expiry = F.when(expiry < 0, F.raise_error(F.lit("negative expiry")).cast("int")).otherwise(expiry)
-    expires = F.when(op.isin(A.SET, A.ADD, A.REPLACE, A.TOUCH), expires_at(expiry, as_of)).when(
+    begin = F.unix_micros(F.expr(as_of))
+    moment = F.when(expiry > 0, F.timestamp_micros(begin + expiry * F.lit(1_000_000).cast("bigint")))
+    expires = F.when(op.isin(A.SET, A.ADD, A.REPLACE, A.TOUCH), moment).when(
         op != A.DELETE, state["expires_at"]
     )
 
@@ -219,7 +228,7 @@ def _update_in_rounds(
     rows: DataFrame,
     payload: list[str],
     merge: Merge,
-    as_of: Column,
+    as_of: str,
     order_by: str,
     profile: GroupProfile,
 ) -> UpdateResult:
