@@ -84,7 +84,7 @@ feed AS (
 SPECS = """
 specs AS (SELECT c_custkey, c_nationkey AS lo, c_custkey % 15 AS hi FROM customer),
 expanded AS (
-  SELECT c_custkey, 0 AS pos, i AS sub_pos, '["c' || c_custkey || '",' || lpad(CAST(i AS VARCHAR), 2, '0') || ']' AS raw_key
+  SELECT c_custkey, 0 AS pos, i AS sub_pos, '["c' || c_custkey || '","' || lpad(CAST(i AS VARCHAR), 2, '0') || '"]' AS raw_key
   FROM specs, range(0, 13) AS t(i)
   UNION ALL SELECT c_custkey, 1, 0, '"a;' || lo || '"' FROM specs
   UNION ALL

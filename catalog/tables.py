@@ -130,7 +130,7 @@ def key_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A key spec per customer: a padded range, a plain key with a separator in it, a data-driven range."""
     number, nation = F.col("c_custkey"), F.col("c_nationkey").cast("string")
     spec = F.concat(
-        F.lit('["c'), number, F.lit('",((00-12))];"a;'), nation, F.lit('";k(('), nation, F.lit("-"), number % 15,
+        F.lit('["c'), number, F.lit('","((00-12))"];"a;'), nation, F.lit('";k(('), nation, F.lit("-"), number % 15,
         F.lit("))"),
     )
     return load(spark, sf_dir, "customer").select(number, spec.alias("spec"))

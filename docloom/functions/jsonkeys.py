@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-
+from pyspark.sql import types as T
 
 # Text that is its own canonical form: a string without escapes, a short integer, or an array of those.
 _PLAIN_ITEM = r'(?:"[^"\\\x00-\x1f]*+"|0|-?[1-9]\d{0,17})'
@@ -36,12 +38,19 @@ def is_json_document(value: Column) -> Column:
     return F.try_parse_json(value).isNotNull()
 
 
-def json_scalar(part: Column) -> Column:
-    """JSON text of one string, integer or boolean column (null becomes ``null``)."""
+def json_scalar(part: Column, kind: T.DataType | None = None) -> Column:
+    """JSON text of one column (null becomes ``null``). Knowing its type saves the JSON writer."""
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
+        return F.coalesce(part.cast("string"), F.lit("null"))
     wrapped = F.to_json(F.array(part), {"ignoreNullFields": "false"})
-    return F.substring(wrapped, F.lit(2), F.length(wrapped) - F.lit(2))
+    written = F.substring(wrapped, F.lit(2), F.length(wrapped) - F.lit(2))
+    if not isinstance(kind, T.StringType):
+        return written
+    plain = ~part.rlike(r'["\\\x00-\x1f]')
+    return F.when(plain, F.concat(F.lit('"'), part, F.lit('"'))).otherwise(written)
 
 
-def json_array_key(*parts: Column) -> Column:
+def json_array_key(parts: Sequence[Column], kinds: Sequence[T.DataType] | None = None) -> Column:
     """JSON array text ``[a,b,...]`` built from columns of different types."""
-    return F.concat(F.lit("["), F.concat_ws(",", *[json_scalar(p) for p in parts]), F.lit("]"))
+    items = [json_scalar(p, k) for p, k in zip(parts, kinds or [None] * len(parts))]
+    return F.concat(F.lit("["), F.concat_ws(",", *items), F.lit("]"))

@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from docloom.functions.expiry import as_of_sql, expires_sql, live_sql
 from docloom.operators.skew import (
     MAX_GROUP_ROWS,
+    fits_broadcast,
     local_table,
     profile_groups,
     segment_bounds,
@@ -104,7 +105,7 @@ class _Application:
         self.as_of = as_of
         self.rows = self.actions.where(_EFFECTIVE)
         self.profile = profile_groups(self.rows, "doc_id", "seq", max_group_rows=max_group_rows)
-        self.small = self.profile.bytes <= broadcast_bytes
+        self.small = fits_broadcast(self.rows, broadcast_bytes, self.profile.rows)
 
     def result(self) -> ApplyResult:
         cold = self.cold_annotated

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from docloom.functions.jsonkeys import canonical_key_sql
 from docloom.functions.keyspec import RANGE_FIELDS, key_range, range_member, split_key_spec
 
+MAX_LOCAL_KEYS = 10_000
 _RANGE_BLOCK = 65_536  # keys made from one array, so a huge range never becomes one huge array
 
 
@@ -58,12 +59,17 @@ def expand_keys(specs: DataFrame, spec: str, *, num_chunks: str | int | None = N
 
 
 def plan_keys(spark: SparkSession, key_spec: str, *, num_chunks: int | None = None) -> DataFrame:
-    """Key plan of one literal spec; ``num_chunks`` defaults to one chunk per key."""
+    """Key plan of one literal spec; ``num_chunks`` defaults to one chunk per key.
+
+    A plan of ordinary size is computed once and becomes a local table, which later plans read without
+    expanding the spec again; a larger one stays an expression.
+    """
     if num_chunks is not None and num_chunks < 1:
         raise ValueError("num_chunks must be at least 1")
-    return expand_keys(
-        spark.range(1, numPartitions=1).select(F.lit(key_spec).alias("key_spec")), "key_spec", num_chunks=num_chunks
-    ).drop("key_spec")
+    spec = spark.range(1, numPartitions=1).select(F.lit(key_spec).alias("key_spec"))
+    keys = expand_keys(spec, "key_spec", num_chunks=num_chunks).drop("key_spec")
+    listed = keys.limit(MAX_LOCAL_KEYS + 1).toArrow()
+    return keys if listed.num_rows > MAX_LOCAL_KEYS else spark.createDataFrame(listed, keys.schema)
 
 
 def assign_chunks(keys: DataFrame, n_keys: int, num_chunks: int, *, order: str = "key_ord") -> DataFrame:

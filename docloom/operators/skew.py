@@ -23,30 +23,33 @@ _FINE = 64
 
 @dataclass(frozen=True)
 class GroupProfile:
-    """Exact size of a table and its oversized groups with estimated row counts."""
+    """Row count of a table and its oversized groups with estimated row counts."""
 
     rows: int
-    bytes: int
     group_limit: int
     hot: dict[Any, int] = field(default_factory=dict)
 
 
-def row_bytes(df: DataFrame) -> Column:
-    """Size of a row's data: text and binary by length, nested values by their JSON text, others 16."""
-    width = F.lit(16).cast("bigint")
+def row_bytes(df: DataFrame) -> str:
+    """SQL for the size of a row: text and binary by length, nested values by their JSON text, plus 16
+    per column and row."""
+    lengths = [f"{16 * (1 + len(df.columns))}L"]
     for f in df.schema.fields:
-        column = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            width = width + F.coalesce(F.octet_length(column), F.lit(0))
+            lengths.append(f"coalesce(octet_length(`{f.name}`), 0)")
         elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
-            width = width + F.coalesce(F.octet_length(F.to_json(column)), F.lit(0))
-        width = width + 16
-    return width
+            lengths.append(f"coalesce(octet_length(to_json(`{f.name}`)), 0)")
+    return " + ".join(lengths)
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Exact total of :func:`row_bytes`; runs one aggregation."""
-    return df.agg(F.sum(row_bytes(df)).alias("b")).first()["b"] or 0
+def fits_broadcast(df: DataFrame, limit: int, rows: int | None = None) -> bool:
+    """Whether the data of ``df`` measures at most ``limit`` bytes; a limit of 0 asks nothing.
+
+    With a known row count, the bytes are summed only if so many rows could fit at all.
+    """
+    if limit <= 0 or (rows is not None and rows * 16 * (1 + len(df.columns)) > limit):
+        return False
+    return (df.agg(F.expr(f"sum({row_bytes(df)}) AS b")).first()["b"] or 0) <= limit
 
 
 def profile_groups(
@@ -58,15 +61,14 @@ def profile_groups(
     than about ``2 * MAX_SEGMENTS`` of them. Detection counts a fixed hash sample; a table with no more
     rows than ``max_group_rows`` needs no second pass.
     """
-    size = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(df)).alias("bytes")).first()
-    rows, n_bytes = size["rows"], size["bytes"] or 0
+    rows = df.count()
     limit = max(max_group_rows, rows // MAX_SEGMENTS)
     if rows <= max_group_rows:
-        return GroupProfile(rows, n_bytes, limit)
+        return GroupProfile(rows, limit)
     every = max(1, limit // 1000)
     counted = df.where(_in_sample(F.lit(every), group, order)).groupBy(group).count()
     found = counted.where(F.col("count") * every > limit // 2).collect()
-    return GroupProfile(rows, n_bytes, limit, {r[group]: r["count"] * every for r in found})
+    return GroupProfile(rows, limit, {r[group]: r["count"] * every for r in found})
 
 
 def _in_sample(every: Column, *names: str) -> Column:

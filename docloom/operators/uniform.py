@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from docloom.functions import actions as A
 from docloom.functions.expiry import as_of_sql
 from docloom.operators import apply as P
-from docloom.operators.skew import measured_bytes
+from docloom.operators.skew import fits_broadcast
 
 
 def apply_operation(
@@ -39,7 +39,8 @@ def apply_operation(
     if op == A.NONE:
         return P.ApplyResult(store, _with_outcome(rows, op, P.IGNORED).union(invalid))
 
-    small = measured_bytes(rows) <= broadcast_bytes
+    # Counting first keeps a large feed from being read in full just to be measured.
+    small = fits_broadcast(rows, broadcast_bytes, rows.count() if broadcast_bytes else 0)
     state = P.store_state(store, as_of)
     if small:
         state = state.join(F.broadcast(rows.select("doc_id").distinct()), "doc_id", "left_semi")

@@ -15,8 +15,8 @@ from docloom.functions.expiry import as_of_sql, live_sql
 from docloom.operators.apply import BROADCAST_BYTES
 from docloom.operators.skew import (
     GroupProfile,
+    fits_broadcast,
     local_table,
-    measured_bytes,
     profile_groups,
     segment_bounds,
     segment_number,
@@ -106,11 +106,11 @@ def update_documents(
         items = once.select("doc_id", F.array(item).alias("items"))
     else:
         profile = profile_groups(rows, "doc_id", order_by, max_group_rows=max_folded_rows)
-        small = profile.bytes <= broadcast_bytes
+        small = fits_broadcast(rows, broadcast_bytes, profile.rows)
         if profile.hot:
             return _update_in_rounds(store, rows, payload, merge, as_of, order_by, profile)
         return _finish(_fold_into(store, _items(rows, payload, order_by), merge, as_of, small))
-    small = measured_bytes(items) <= broadcast_bytes
+    small = fits_broadcast(items, broadcast_bytes)
     return _finish(_fold_into(store, items, merge, as_of, small))
 
 

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docloom.functions.jsonkeys import canonical_key, is_json_document, json_array_key
+from docloom.operators.skew import fits_broadcast
 
-MAX_BROADCAST_KEYS = 1_000_000
 MAX_BROADCAST_KEY_BYTES = 64 << 20
+MAX_LITERAL_KEYS = 1000
 _EXACT_JSON = (T.StringType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)
 
 
@@ -39,9 +40,9 @@ def define_view(
         view_key = canonical_key(F.col(key) if isinstance(key, str) else key)
     else:
         parts = list(key)
-        view_key = json_array_key(*parts)
-        kinds = docs.select(*[p.alias(f"k{i}") for i, p in enumerate(parts)]).schema
-        if not all(isinstance(f.dataType, _EXACT_JSON) for f in kinds):
+        kinds = [f.dataType for f in docs.select(*[p.alias(f"k{i}") for i, p in enumerate(parts)]).schema]
+        view_key = json_array_key(parts, kinds)
+        if not all(isinstance(kind, _EXACT_JSON) for kind in kinds):
             view_key, parts = canonical_key(view_key), []
     return rows.select(
         view_key.alias("view_key"),
@@ -62,12 +63,12 @@ def scan_view(
     keys: DataFrame,
     store: DataFrame | None = None,
     *,
-    max_broadcast_keys: int = MAX_BROADCAST_KEYS,
+    broadcast_bytes: int = MAX_BROADCAST_KEY_BYTES,
 ) -> DataFrame:
     """All view rows of every key in the list, one set per listed key.
 
-    The key list is counted (up to the limit) and broadcast only if it is small, so the view is neither
-    shuffled nor sorted, and a view stored by key parts is pruned to the partitions of the listed keys; a
+    The key list is measured and broadcast only if it is small, so the view is neither
+    shuffled nor sorted, and a view stored by key parts is pruned to the partitions of the listed keys. A
     longer list becomes a shuffled join, where adaptive execution splits a key that is too large. With
     ``store``, documents are looked up by ID and a missing document gives a null ``value``.
     """
@@ -79,7 +80,8 @@ def scan_view(
         "*",
         *[F.coalesce(F.get_json_object("view_key", f"$[{p[1:]}]"), F.lit("null")).alias(p) for p in parts],
     )
-    if _fits_broadcast(wanted, max_broadcast_keys):
+    if fits_broadcast(wanted, broadcast_bytes):
+        view = view.where(_listed(wanted.select("view_key", *parts)))
         wanted = F.broadcast(wanted)
     rows = view.join(wanted, ["view_key", *parts])
     if store is None:
@@ -88,13 +90,19 @@ def scan_view(
     return (rows.drop("value") if "value" in rows.columns else rows).join(documents, "doc_id", "left")
 
 
-def _fits_broadcast(keys: DataFrame, max_rows: int) -> bool:
-    size = (
-        keys.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("view_key")).alias("b"))
-        .first()
-    )
-    return size["n"] <= max_rows and (size["b"] or 0) <= MAX_BROADCAST_KEY_BYTES
+def _listed(keys: DataFrame) -> Column:
+    """Filter that a view row can pass only if its key may be listed.
+
+    Up to ``MAX_LITERAL_KEYS`` distinct keys become literals, which reach the partition filter and the
+    file scan of a stored view; beyond that nothing is filtered here and the join decides.
+    """
+    rows = keys.distinct().limit(MAX_LITERAL_KEYS + 1).collect()
+    if len(rows) > MAX_LITERAL_KEYS:
+        return F.lit(True)
+    condition = F.lit(True)
+    for i, name in enumerate(keys.columns):
+        condition = condition & F.col(name).isin(sorted({r[i] for r in rows if r[i] is not None}))
+    return condition
 
 
 def sample_view(view: DataFrame, part: str, parts_to_read: int) -> DataFrame:

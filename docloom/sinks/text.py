@@ -67,5 +67,11 @@ def write_pages(
 
     A page is bounded by the page size, so bringing each page into one task cannot overload it.
     """
-    placed = pages.repartition("page_no").sortWithinPartitions("page_no", "doc_id")
-    page_lines(placed, separator=separator, escape=escape).write.mode(mode).partitionBy("page").text(path)
+    lines = pages.select(
+        F.format_string(PAGE_NAME, F.col("page_no")).alias("page"),
+        kv_line(F.col("doc_id"), F.col("value"), separator=separator, escape=escape).alias("value"),
+        "doc_id",
+    )
+    # The order starts with the folder column, so the writer keeps it.
+    placed = lines.repartition("page").sortWithinPartitions("page", "doc_id")
+    placed.select("page", "value").write.mode(mode).partitionBy("page").text(path)
