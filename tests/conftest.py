@@ -5,7 +5,11 @@ import sys
 import pytest
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+_TESTS = os.path.dirname(os.path.abspath(__file__))
+_REPO = os.path.dirname(_TESTS)
+sys.path.insert(0, _REPO)
+# Python workers import the package and the clients defined in tests.
+os.environ["PYTHONPATH"] = os.pathsep.join([_REPO, _TESTS, os.environ.get("PYTHONPATH", "")])
 
 AS_OF = "2024-01-01T00:00:00"
 AS_OF_TIME = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)

@@ -112,14 +112,28 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def exchanges_above_scan_of(plan, column):
+    """Exchanges on the path from the scan that reads ``column`` up to the root of a plan text."""
+    lines = plan.splitlines()
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line and column in line.split("Batched")[0])
+    found, depth = [], lines[scan].index("FileScan")
+    for line in reversed(lines[:scan]):
+        start = len(line) - len(line.lstrip(" :+-"))
+        if start < depth:
+            depth = start
+            found += [line.strip()] if "Exchange" in line else []
+    return found
+
+
 def test_small_feed_does_not_shuffle_the_documents(spark, tmp_path):
     path = str(tmp_path / "store")
     spark.createDataFrame([(f"k{i}", "v" * 50, None) for i in range(100)], STORE).write.parquet(path)
     s = spark.read.schema(STORE).parquet(path)
     a = spark.createDataFrame([("k1", 1, "SET", "n", 0)], ACTIONS)
-    plan = plan_of(apply_actions(s, a, AS_OF).store)
-    wide = [line for line in plan.splitlines() if "FileScan" in line and "value" in line.split("Batched")[0]]
-    assert wide and "BroadcastHashJoin" in plan and "SortMergeJoin [doc_id#" not in plan.split("Union")[1].split("FileScan")[0]
+    for result in (apply_actions(s, a, AS_OF), apply_operation(s, a, "SET", AS_OF)):
+        assert exchanges_above_scan_of(plan_of(result.store), "value#") == []
+    big = plan_of(apply_operation(s, a, "SET", AS_OF, broadcast_bytes=0).store)
+    assert len(exchanges_above_scan_of(big, "value#")) == 1
 
 
 def test_bucketed_store_is_not_shuffled(spark):
