@@ -31,6 +31,7 @@ from docloom.operators.skew import (
     segment_bounds,
     segment_number,
 )
+from docloom.sources.tables import materialize
 
 BROADCAST_BYTES = 32 << 20  # measured size up to which changes are broadcast to the store
 
@@ -41,7 +42,9 @@ VALID_KEY = "(doc_id IS NOT NULL AND doc_id != '')"
 _EFFECTIVE = f"""({VALID_KEY} AND coalesce(
     op IN ('SET', 'ADD', 'REPLACE', 'APPEND', 'PREPEND', 'DELETE', 'TOUCH'), false))"""
 _MARK = "CASE WHEN op IN ('SET', 'ADD') THEN true WHEN op = 'DELETE' THEN false END"
-_RESET_SEQ = "CASE WHEN ok AND op IN ('SET', 'ADD', 'REPLACE', 'DELETE') THEN seq END"
+# Last successful action of a key that sets its value, and that sets its expiry.
+_LAST_RESET = "max(CASE WHEN ok AND op IN ('SET', 'ADD', 'REPLACE', 'DELETE') THEN seq END)"
+_LAST_EXPIRY = "max(CASE WHEN ok AND op IN ('SET', 'ADD', 'REPLACE', 'TOUCH') THEN seq END)"
 OUTCOME = f"""CASE WHEN NOT ok THEN if(op = 'ADD', '{ALREADY_EXISTS}', '{MISSING}')
     WHEN op = 'DELETE' THEN '{DELETED}' WHEN op = 'TOUCH' THEN '{TOUCHED}' ELSE '{STORED}' END AS outcome"""
 
@@ -109,7 +112,7 @@ class _Application:
 
     def result(self) -> ApplyResult:
         cold = self.cold_annotated
-        outcomes, changes = cold.selectExpr("doc_id", "seq", "op", OUTCOME), fold(cold)
+        outcomes, changes = cold.selectExpr("doc_id", "seq", "op", OUTCOME), fold(self.cold_marked)
         if self.profile.hot:
             hot = self.hot_annotated
             outcomes = outcomes.union(hot.selectExpr("doc_id", "seq", "op", OUTCOME))
@@ -129,8 +132,14 @@ class _Application:
         if self.small:
             # Few keys are asked for: keep only their states before the join.
             state = state.join(F.broadcast(rows.select("doc_id").distinct()), "doc_id", "left_semi")
-        annotated = annotate(rows.join(state, "doc_id", "left"), "doc_id", "live")
-        return annotated.selectExpr("*", f"max({_RESET_SEQ}) OVER (PARTITION BY doc_id) AS reset_seq")
+        return annotate(rows.join(state, "doc_id", "left"), "doc_id", "live")
+
+    @property
+    def cold_marked(self) -> DataFrame:
+        whole_key = "OVER (PARTITION BY doc_id)"
+        return self.cold_annotated.where("ok").selectExpr(
+            "*", f"{_LAST_RESET} {whole_key} AS reset_seq", f"{_LAST_EXPIRY} {whole_key} AS expiry_seq"
+        )
 
     @cached_property
     def hot_keys(self) -> DataFrame:
@@ -163,10 +172,11 @@ class _Application:
             presence = presence if r["mark"] is None else r["mark"]
         schema = "doc_id STRING, segment INT, _carry BOOLEAN, live BOOLEAN"
         rows = rows.join(local_table(spark, carried, schema), ["doc_id", "segment"])
-        annotated = annotate(rows, "doc_id, segment", "_carry").drop("_carry", "segment")
-        resets = annotated.groupBy("doc_id").agg(F.expr(f"max({_RESET_SEQ})").alias("reset_seq")).collect()
-        resets = local_table(spark, [tuple(r) for r in resets], "doc_id STRING, reset_seq BIGINT")
-        return annotated.join(resets, "doc_id", "left")
+        # Three readers follow (resets, outcomes, fold); each reads its columns of the written rows.
+        annotated = materialize(annotate(rows, "doc_id, segment", "_carry").drop("_carry", "segment"), "hot-actions")
+        lasts = annotated.groupBy("doc_id").agg(F.expr(f"{_LAST_RESET} AS r"), F.expr(f"{_LAST_EXPIRY} AS e")).collect()
+        lasts = local_table(spark, [tuple(r) for r in lasts], "doc_id STRING, reset_seq BIGINT, expiry_seq BIGINT")
+        return annotated.join(lasts, "doc_id", "left")
 
 
 def store_state(store: DataFrame, as_of: str) -> DataFrame:
@@ -191,27 +201,27 @@ def annotate(rows: DataFrame, partition: str, initial: str) -> DataFrame:
     )
 
 
-def fold(annotated: DataFrame) -> DataFrame:
+def fold(marked: DataFrame) -> DataFrame:
     """One row per changed key: base value, pieces to add around it, expiry.
 
-    Only pieces that are part of the final document are gathered; everything else is a maximum with
-    partial results.
+    ``marked`` rows know the last reset and the last expiry of their key, so only the rows that make up
+    the final document reach the aggregation.
     """
 
     def pieces(op: str, newest_first: bool) -> str:
-        piece = f"CASE WHEN op = '{op}' AND seq > coalesce(reset_seq, seq - 1) THEN struct(seq, coalesce(value, '')) END"
+        piece = f"CASE WHEN op = '{op}' THEN struct(seq, coalesce(value, '')) END"
         ordered = f"sort_array(collect_list({piece}), {not newest_first})"
         return f"array_join(transform({ordered}, p -> p.col2), '')"
 
-    expiring = "op IN ('SET', 'ADD', 'REPLACE', 'TOUCH')"
+    piece = "op IN ('APPEND', 'PREPEND') AND (reset_seq IS NULL OR seq > reset_seq)"
     return (
-        annotated.where("ok")
+        marked.where(f"ok AND (seq = reset_seq OR seq = expiry_seq OR {piece})")
         .groupBy("doc_id")
         .agg(
             F.expr("first(live) AS live"),
-            F.expr(f"max_by(struct(op, value), {_RESET_SEQ}) AS reset"),
-            F.expr(f"max_by(expiry, CASE WHEN {expiring} THEN seq END) AS expiry"),
-            F.expr(f"max({expiring}) AS expires"),
+            F.expr("max(CASE WHEN seq = reset_seq THEN struct(op, value) END) AS reset"),
+            F.expr("max(CASE WHEN seq = expiry_seq THEN expiry END) AS expiry"),
+            F.expr("max(expiry_seq IS NOT NULL) AS expires"),
             F.expr(f"{pieces('APPEND', newest_first=False)} AS tail"),
             F.expr(f"{pieces('PREPEND', newest_first=True)} AS head"),
         )
