@@ -20,12 +20,12 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from docloom.functions.expiry import as_of_sql, expires_sql, live_sql
 from docloom.operators.skew import (
     MAX_GROUP_ROWS,
     fits_broadcast,
+    hot_table,
     local_table,
     profile_groups,
     segment_bounds,
@@ -143,8 +143,7 @@ class _Application:
 
     @cached_property
     def hot_keys(self) -> DataFrame:
-        schema = T.StructType().add("doc_id", T.StringType())
-        return local_table(self.store.sparkSession, [(k,) for k in self.profile.hot], schema)
+        return hot_table(self.rows, "doc_id", self.profile)
 
     @cached_property
     def hot_annotated(self) -> DataFrame:

@@ -53,20 +53,25 @@ def fits_broadcast(df: DataFrame, limit: int, rows: int | None = None) -> bool:
 
 
 def profile_groups(
-    df: DataFrame, group: str, order: str, *, max_group_rows: int = MAX_GROUP_ROWS
+    df: DataFrame, group: str, order: str | None = None, *, max_group_rows: int = MAX_GROUP_ROWS
 ) -> GroupProfile:
     """Measure a table before choosing how to process it (runs one or two narrow aggregations).
 
     A group is oversized beyond ``max(max_group_rows, rows / MAX_SEGMENTS)`` rows, so there are never more
-    than about ``2 * MAX_SEGMENTS`` of them. Detection counts a fixed hash sample; a table with no more
-    rows than ``max_group_rows`` needs no second pass.
+    than about ``2 * MAX_SEGMENTS`` of them. Detection counts a sample: a fixed one by hash where ``order``
+    tells the rows of a group apart, else a random one, since copies of one row share their hash. A table
+    with no more rows than ``max_group_rows`` needs no second pass.
     """
     rows = df.count()
     limit = max(max_group_rows, rows // MAX_SEGMENTS)
     if rows <= max_group_rows:
         return GroupProfile(rows, limit)
     every = max(1, limit // 1000)
-    counted = df.where(_in_sample(F.lit(every), group, order)).groupBy(group).count()
+    if order is None:
+        sample = df.select(group).sample(fraction=1 / every, seed=1)
+    else:
+        sample = df.where(_in_sample(F.lit(every), group, order))
+    counted = sample.groupBy(group).count()
     found = counted.where(F.col("count") * every > limit // 2).collect()
     return GroupProfile(rows, limit, {r[group]: r["count"] * every for r in found})
 
@@ -80,6 +85,12 @@ def local_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) ->
     return F.broadcast(spark.createDataFrame(rows, schema))
 
 
+def hot_table(df: DataFrame, group: str, profile: GroupProfile) -> DataFrame:
+    """The oversized groups of a profile as a broadcast table of one column."""
+    schema = T.StructType().add(group, df.schema[group].dataType)
+    return local_table(df.sparkSession, [(key,) for key in profile.hot], schema)
+
+
 def segment_bounds(df: DataFrame, group: str, order: str, profile: GroupProfile) -> DataFrame:
     """Boundaries ``(group, _coarse, _fine)`` of every oversized group, as a small broadcast table.
 

@@ -8,15 +8,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from docloom.functions import actions as A
 from docloom.functions.expiry import as_of_sql, live_sql
 from docloom.operators.apply import BROADCAST_BYTES
 from docloom.operators.skew import (
+    MAX_GROUP_ROWS,
     GroupProfile,
     fits_broadcast,
-    local_table,
+    hot_table,
     profile_groups,
     segment_bounds,
     segment_number,
@@ -25,6 +25,8 @@ from docloom.sources.tables import materialize, scratch_dir
 
 Merge = Callable[[Column, Column], Column]
 MAX_FOLDED_ROWS = 200_000  # source rows of one key folded in one go
+HOT_DOCUMENT_BYTES = 128 << 20  # measured size up to which documents of oversized keys are broadcast
+LOOKUP_SALTS = 64
 
 
 @dataclass(frozen=True)
@@ -38,18 +40,43 @@ class UpdateResult:
     summary: DataFrame
 
 
-def lookup_documents(rows: DataFrame, store: DataFrame, as_of: dt.datetime | str) -> DataFrame:
+def lookup_documents(
+    rows: DataFrame,
+    store: DataFrame,
+    as_of: dt.datetime | str,
+    *,
+    max_group_rows: int = MAX_GROUP_ROWS,
+    broadcast_bytes: int = HOT_DOCUMENT_BYTES,
+) -> DataFrame:
     """Add ``existing``, the live document of each row's ``doc_id``, null where there is none.
 
-    Rows are kept as they are, copies included. Adaptive execution chooses the join and splits keys that
-    hold too many rows.
+    Rows are kept as they are, copies included. Keys with too many rows for one task get their few
+    documents by broadcast, so those rows stay where they are; should these documents measure too much
+    to broadcast, the rows are spread over copies of them. Rows without key are not joined at all.
     """
-    live = store.where(live_sql("expires_at", as_of_sql(as_of)))
-    return rows.join(live.selectExpr("doc_id", "value AS existing"), "doc_id", "left")
+    documents = store.where(live_sql("expires_at", as_of_sql(as_of))).selectExpr("doc_id", "value AS existing")
+    columns = [*rows.columns, "existing"]
+    keyless = rows.where("doc_id IS NULL").withColumn("existing", F.lit(None).cast("string"))
+    keyed = rows.where("doc_id IS NOT NULL")
+    profile = profile_groups(keyed, "doc_id", max_group_rows=max_group_rows)
+    if not profile.hot:
+        return keyed.join(documents, "doc_id", "left").select(columns).union(keyless)
+
+    hot_keys = hot_table(keyed, "doc_id", profile)
+    hot_rows = keyed.join(hot_keys, "doc_id", "left_semi")
+    hot_documents = documents.join(hot_keys, "doc_id", "left_semi")
+    if fits_broadcast(hot_documents, broadcast_bytes):
+        hot = hot_rows.join(F.broadcast(hot_documents), "doc_id", "left")
+    else:
+        salt = F.pmod(F.xxhash64(*rows.columns), F.lit(LOOKUP_SALTS)).cast("int")
+        copies = hot_documents.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(LOOKUP_SALTS - 1))))
+        hot = hot_rows.withColumn("_salt", salt).join(copies, ["doc_id", "_salt"], "left")
+    cold = keyed.join(hot_keys, "doc_id", "left_anti").join(documents, "doc_id", "left")
+    return cold.select(columns).union(hot.select(columns)).union(keyless)
 
 
 def merge_actions(
-    rows: DataFrame, store: DataFrame, merge: Merge, as_of: dt.datetime | str, *, seq: str = "seq"
+    rows: DataFrame, store: DataFrame, merge: Merge, as_of: dt.datetime | str, *, seq: str = "seq", **options
 ) -> DataFrame:
     """Actions from ``rows(doc_id, seq, payload...)``: ``merge(payload, existing)`` for each row.
 
@@ -58,7 +85,7 @@ def merge_actions(
     """
     payload = F.struct(*[c for c in rows.columns if c != "doc_id"])
     return (
-        lookup_documents(rows, store, as_of)
+        lookup_documents(rows, store, as_of, **options)
         .select("doc_id", F.col(seq).alias("seq"), merge(payload, F.col("existing")).alias("a"))
         .select("doc_id", "seq", "a.op", "a.value", "a.expiry")
     )
@@ -238,8 +265,7 @@ def _update_in_rounds(
     to the shared scratch folder, where the next round starts.
     """
     spark = store.sparkSession
-    schema = T.StructType().add("doc_id", T.StringType())
-    hot_keys = local_table(spark, [(k,) for k in profile.hot], schema)
+    hot_keys = hot_table(rows, "doc_id", profile)
     cold_store = store.join(hot_keys, "doc_id", "left_anti")
     cold_rows = rows.join(hot_keys, "doc_id", "left_anti")
     cold = _fold_into(cold_store, _items(cold_rows, payload, order_by), merge, as_of, small=False)

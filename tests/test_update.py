@@ -113,10 +113,19 @@ def test_row_by_row_merge_may_use_pandas(spark):
     assert contents(apply_actions(store_of(spark), actions, AS_OF).store)["a"] == "Ybase"
 
 
-def test_lookup_keeps_copies(spark):
-    rows = spark.createDataFrame([("a",), ("a",), ("zz",), (None,), ("dead",)], "doc_id string")
-    found = [(r["doc_id"], r["existing"]) for r in lookup_documents(rows, store_of(spark), AS_OF).collect()]
-    assert sorted(found, key=str) == sorted([("a", "base")] * 2 + [("zz", None), (None, None), ("dead", None)], key=str)
+@pytest.mark.parametrize(
+    "options",
+    [{}, {"max_group_rows": 10}, {"max_group_rows": 10, "broadcast_bytes": 0}],
+    ids=["join", "hot-broadcast", "hot-salted"],
+)
+def test_lookup_keeps_copies(spark, options):
+    keys = ["a"] * 40 + ["zz"] * 30 + [None] * 20 + ["dead", "b", "q"]
+    rows = spark.createDataFrame([(k, i // 2) for i, k in enumerate(keys)], "doc_id string, n int")
+    found = lookup_documents(rows, store_of(spark), AS_OF, **options).collect()
+    values = {"a": "base", "b": ""}
+    assert sorted(map(str, found)) == sorted(
+        f"Row(doc_id={k!r}, n={i // 2}, existing={values.get(k)!r})" for i, k in enumerate(keys)
+    )
 
 
 def test_existence(spark):
