@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from catalog import tables as t
 from docloom.functions import actions as A
 from docloom.functions.expiry import backoff_schedule
-from docloom.functions.jsonkeys import is_json_document
+from docloom.functions.jsonkeys import is_json_sql
 from docloom.functions.keyspec import split_key_spec
 from docloom.operators import metrics
 from docloom.operators.apply import ApplyResult, apply_actions, apply_to, live_documents
@@ -153,7 +153,7 @@ def import_profile(spark, sf_dir):
 @query
 def json_documents(spark, sf_dir):
     docs = t.event_docs(spark, sf_dir).union(t.text_docs(spark, sf_dir).select("doc_id", "value"))
-    return docs.groupBy(is_json_document(F.col("value")).alias("is_json")).agg(
+    return docs.groupBy(F.expr(is_json_sql("value")).alias("is_json")).agg(
         F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_doc")
     )
 

@@ -1,4 +1,7 @@
-"""JSON view keys and JSON documents as Catalyst expressions."""
+"""JSON view keys and JSON documents.
+
+``*_sql`` functions take a column name or SQL expression and return SQL.
+"""
 
 from __future__ import annotations
 
@@ -11,7 +14,27 @@ from pyspark.sql import types as T
 # Text that is its own canonical form: a string without escapes, a short integer, or an array of those.
 _PLAIN_ITEM = r'(?:"[^"\\\x00-\x1f]*+"|0|-?[1-9]\d{0,17})'
 _PLAIN_KEY = rf"\A(?:{_PLAIN_ITEM}|\[{_PLAIN_ITEM}(?:,{_PLAIN_ITEM})*+\])\z"
-_MAYBE_JSON = r'\A\s*[\[{"\-0-9tfn]'
+_MAYBE_JSON = r'\A\s*(?:[\[{"\-0-9]|true|false|null)'
+
+
+# The parser stops after one value and does not look at what follows it. Parsed as the first item of an array
+# whose second item is this mark, text counts as JSON only if it is one value and nothing else.
+_MARK = "docloom-end-of-value"
+
+
+def _strict_sql(raw: str, then: str) -> str:
+    """SQL: ``then`` over the parsed variant array ``v`` if ``raw`` is exactly one JSON value, else null.
+
+    Text that holds the mark itself is checked by closing it as an array and as an object: only a whole
+    value survives both.
+    """
+    marked = f"""transform(array(try_parse_json(concat('[', {raw}, ',"{_MARK}"]'))), v ->
+        if(try_variant_get(v, '$[1]', 'string') = '{_MARK}', {then}, NULL))[0]"""
+    closed_twice = f"""transform(array(try_parse_json(concat('[', {raw}, ']'))), v ->
+        if(v IS NOT NULL AND try_variant_get(v, '$[1]', 'variant') IS NULL
+           AND try_parse_json(concat('{{"a":', {raw}, '}}')) IS NOT NULL
+           AND try_parse_json({raw}) IS NOT NULL, {then}, NULL))[0]"""
+    return f"if(contains({raw}, '{_MARK}'), {closed_twice}, {marked})"
 
 
 def canonical_key_sql(raw: str) -> str:
@@ -20,22 +43,16 @@ def canonical_key_sql(raw: str) -> str:
     White space and object member order are normalised. Text that is not JSON is kept as it is, because
     a plain word is a legal key too. Only text that needs it is parsed.
     """
+    written = _strict_sql(raw, "to_json(try_variant_get(v, '$[0]', 'variant'))")
     return (
         f"CASE WHEN {raw} RLIKE r'{_PLAIN_KEY}' OR NOT {raw} RLIKE r'{_MAYBE_JSON}' THEN {raw} "
-        f"ELSE coalesce(to_json(try_parse_json({raw})), {raw}) END"
-    )
-
-
-def canonical_key(raw: Column) -> Column:
-    """:func:`canonical_key_sql` for a column."""
-    return F.when(raw.rlike(_PLAIN_KEY) | ~raw.rlike(_MAYBE_JSON), raw).otherwise(
-        F.coalesce(F.to_json(F.try_parse_json(raw)), raw)
+        f"ELSE coalesce({written}, {raw}) END"
     )
 
 
-def is_json_document(value: Column) -> Column:
-    """True where the document body is JSON text."""
-    return F.try_parse_json(value).isNotNull()
+def is_json_sql(raw: str) -> str:
+    """SQL that is true where the text is one JSON value."""
+    return f"({raw} RLIKE r'{_MAYBE_JSON}' AND coalesce({_strict_sql(raw, 'true')}, false))"
 
 
 def json_scalar(part: Column, kind: T.DataType | None = None) -> Column:

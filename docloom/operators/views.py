@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docloom.functions.jsonkeys import canonical_key, is_json_document, json_array_key
+from docloom.functions.jsonkeys import canonical_key_sql, is_json_sql, json_array_key
 from docloom.operators.skew import fits_broadcast
 
 MAX_BROADCAST_KEY_BYTES = 64 << 20
@@ -34,23 +34,30 @@ def define_view(
     """
     rows = docs if where is None else docs.where(where)
     if json_only:
-        rows = rows.where(is_json_document(F.col("value")))
+        rows = rows.where(is_json_sql("value"))
+
+    def guarded(part: Column) -> Column:
+        # The optimizer may test a key before ``where``; it must not fail on rows that are filtered out.
+        return part if where is None else F.when(where, part)
+
+    canonical = False
     if isinstance(key, (Column, str)):
         parts: list[Column] = []
-        view_key = canonical_key(F.col(key) if isinstance(key, str) else key)
+        view_key = guarded(F.col(key) if isinstance(key, str) else key)
     else:
-        parts = list(key)
+        parts = [guarded(part) for part in key]
         kinds = [f.dataType for f in docs.select(*[p.alias(f"k{i}") for i, p in enumerate(parts)]).schema]
         view_key = json_array_key(parts, kinds)
-        if not all(isinstance(kind, _EXACT_JSON) for kind in kinds):
-            view_key, parts = canonical_key(view_key), []
-    return rows.select(
+        canonical = all(isinstance(kind, _EXACT_JSON) for kind in kinds)
+        parts = parts if canonical else []
+    view = rows.select(
         view_key.alias("view_key"),
         *[F.coalesce(p.cast("string"), F.lit("null")).alias(f"k{i}") for i, p in enumerate(parts)],
         "doc_id",
         (F.lit(None) if emitted is None else emitted).cast("string").alias("emitted"),
         *(["value"] if include_docs else []),
     )
+    return view if canonical else view.withColumn("view_key", F.expr(canonical_key_sql("view_key")))
 
 
 def key_parts(view: DataFrame) -> list[str]:

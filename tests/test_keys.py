@@ -3,7 +3,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from docloom.functions.jsonkeys import canonical_key, json_array_key
+from docloom.functions.jsonkeys import canonical_key_sql, is_json_sql, json_array_key
 from docloom.functions.keyspec import split_key_spec
 from docloom.operators.keys import assign_chunks, plan_keys
 
@@ -100,14 +100,25 @@ def test_array_key_is_canonical(spark):
     df = spark.createDataFrame([(x, i - 4) for i, x in enumerate(texts)], "a string, b bigint")
     kinds = [f.dataType for f in df.schema]
     for key in (json_array_key([F.col("a"), F.col("b")], kinds), json_array_key([F.col("a"), F.col("b")])):
-        row = df.select(key.alias("k")).select("k", canonical_key(F.col("k")).alias("c"),
-                                              F.to_json(F.try_parse_json("k")).alias("p"))
+        row = df.select(key.alias("k")).select(
+            "k", F.expr(canonical_key_sql("k")).alias("c"), F.to_json(F.try_parse_json("k")).alias("p")
+        )
         assert all(r["k"] == r["c"] == r["p"] for r in row.collect())
 
 
-def test_plain_keys_skip_the_parser_with_the_same_result(spark):
-    keys = ["0", "-0", "00", "12", '"a"', '"a\\u0041"', "[]", "[1,2]", '["a", 1]', "[1.50]", "1e2", "true", "nul", "x",
-            " 1", "12345678901234567890", '{"b":1,"a":[1,  2]}', '["a",01]', "[1,]"]
-    df = spark.createDataFrame([(k,) for k in keys], "k string")
-    full = F.coalesce(F.to_json(F.try_parse_json("k")), F.col("k"))
-    assert df.where(canonical_key(F.col("k")) != full).count() == 0
+MARK = "docloom-end-of-value"
+# Text and its canonical form as JSON; None where it is not one JSON value.
+JSON_TEXTS = {
+    "0": "0", "12": "12", '"a"': '"a"', '"a\\u0041"': '"aA"', "[]": "[]", "[1,2]": "[1,2]", '["a", 1]': '["a",1]',
+    "true": "true", "null": "null", " 1 ": "1", '{"b":1,"a":[1,  2]}': '{"a":[1,2],"b":1}', f'["{MARK}", 1]': f'["{MARK}",1]',
+    "00": None, "nul": None, "x": None, "": None, '["a",01]': None, "[1,]": None, "1 x": None, "[1] x": None, '"a" b': None,
+    "1,2": None, "1],[2": None, f'1,"{MARK}"],[2': None, '1},{"b":2': None, f'1,"{MARK}"': None, "{}}": None, "truely": None,
+    f'1],["{MARK}"': None, f'1}},{{"{MARK}":2': None,
+}
+
+
+def test_only_whole_json_values_are_canonicalised(spark):
+    df = spark.createDataFrame([(k,) for k in JSON_TEXTS], "k string")
+    rows = df.selectExpr("k", f"{canonical_key_sql('k')} AS c", f"{is_json_sql('k')} AS j").collect()
+    assert {r["k"]: r["c"] for r in rows} == {k: k if c is None else c for k, c in JSON_TEXTS.items()}
+    assert {r["k"] for r in rows if r["j"]} == {k for k, c in JSON_TEXTS.items() if c is not None}
