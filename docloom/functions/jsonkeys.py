@@ -1,6 +1,7 @@
 """JSON view keys and JSON documents.
 
-``*_sql`` functions take a column name or SQL expression and return SQL.
+``*_sql`` functions take a column name or SQL expression and return SQL, in which one-element arrays bind a
+value that is needed several times.
 """
 
 from __future__ import annotations
@@ -43,16 +44,16 @@ def canonical_key_sql(raw: str) -> str:
     White space and object member order are normalised. Text that is not JSON is kept as it is, because
     a plain word is a legal key too. Only text that needs it is parsed.
     """
-    written = _strict_sql(raw, "to_json(try_variant_get(v, '$[0]', 'variant'))")
-    return (
-        f"CASE WHEN {raw} RLIKE r'{_PLAIN_KEY}' OR NOT {raw} RLIKE r'{_MAYBE_JSON}' THEN {raw} "
-        f"ELSE coalesce({written}, {raw}) END"
-    )
+    written = _strict_sql("text", "to_json(try_variant_get(v, '$[0]', 'variant'))")
+    return f"""transform(array({raw}), text ->
+        CASE WHEN text RLIKE r'{_PLAIN_KEY}' OR NOT text RLIKE r'{_MAYBE_JSON}' THEN text
+             ELSE coalesce({written}, text) END)[0]"""
 
 
 def is_json_sql(raw: str) -> str:
     """SQL that is true where the text is one JSON value."""
-    return f"({raw} RLIKE r'{_MAYBE_JSON}' AND coalesce({_strict_sql(raw, 'true')}, false))"
+    return f"""transform(array({raw}), text ->
+        text RLIKE r'{_MAYBE_JSON}' AND coalesce({_strict_sql("text", "true")}, false))[0]"""
 
 
 def json_scalar(part: Column, kind: T.DataType | None = None) -> Column:

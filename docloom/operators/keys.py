@@ -36,8 +36,11 @@ def expand_keys(specs: DataFrame, spec: str, *, num_chunks: str | int | None = N
             *own,
             f"greatest(cast(ceil(_total / {chunks}) AS bigint), 1L) AS _per_chunk",
             "_offsets",
-            "posexplode(_keys) AS (pos, _raw)",
+            # The outer form keeps the optimizer from splitting the specs of all source rows, early, only to
+            # test for empty lists.
+            "posexplode_outer(_keys) AS (pos, _raw)",
         )
+        .where("_raw IS NOT NULL")
         .selectExpr(*own, "_per_chunk", "_offsets[pos] AS _offset", "pos", f"{key_range('_raw')} AS _key")
         .selectExpr(*own, "_per_chunk", "_offset", "pos", *[f"_key.{f} AS _{f}" for f in RANGE_FIELDS])
         .where("_n > 0")

@@ -74,9 +74,9 @@ def scan_view(
 ) -> DataFrame:
     """All view rows of every key in the list, one set per listed key.
 
-    The key list is measured and broadcast only if it is small, so the view is neither
-    shuffled nor sorted, and a view stored by key parts is pruned to the partitions of the listed keys. A
-    longer list becomes a shuffled join, where adaptive execution splits a key that is too large. With
+    A short key list becomes literal filters too, so a view stored by key parts is read only in the
+    partitions of the listed keys. A list is broadcast only if it is short or measures little, and then the
+    view is neither shuffled nor sorted; a longer list becomes a shuffled join, where adaptive execution splits a key that is too large. With
     ``store``, documents are looked up by ID and a missing document gives a null ``value``.
     """
     extra = [c for c in keys.columns if c not in view.columns]
@@ -87,8 +87,10 @@ def scan_view(
         "*",
         *[F.coalesce(F.get_json_object("view_key", f"$[{p[1:]}]"), F.lit("null")).alias(p) for p in parts],
     )
-    if fits_broadcast(wanted, broadcast_bytes):
-        view = view.where(_listed(wanted.select("view_key", *parts)))
+    few = _few_keys(wanted.select("view_key", *parts)) if broadcast_bytes > 0 else None
+    if few is not None:
+        view = view.where(few)
+    if few is not None or fits_broadcast(wanted, broadcast_bytes):
         wanted = F.broadcast(wanted)
     rows = view.join(wanted, ["view_key", *parts])
     if store is None:
@@ -97,15 +99,15 @@ def scan_view(
     return (rows.drop("value") if "value" in rows.columns else rows).join(documents, "doc_id", "left")
 
 
-def _listed(keys: DataFrame) -> Column:
-    """Filter that a view row can pass only if its key may be listed.
+def _few_keys(keys: DataFrame) -> Column | None:
+    """Filter that a view row must pass to have a listed key, or None for a list that is not short.
 
-    Up to ``MAX_LITERAL_KEYS`` distinct keys become literals, which reach the partition filter and the
-    file scan of a stored view; beyond that nothing is filtered here and the join decides.
+    The literals of a short list (at most ``MAX_LITERAL_KEYS`` rows) reach the partition filter and the
+    file scan of a stored view.
     """
-    rows = keys.distinct().limit(MAX_LITERAL_KEYS + 1).collect()
+    rows = keys.limit(MAX_LITERAL_KEYS + 1).collect()
     if len(rows) > MAX_LITERAL_KEYS:
-        return F.lit(True)
+        return None
     condition = F.lit(True)
     for i, name in enumerate(keys.columns):
         condition = condition & F.col(name).isin(sorted({r[i] for r in rows if r[i] is not None}))
