@@ -75,9 +75,10 @@ def scan_view(
     """All view rows of every key in the list, one set per listed key.
 
     A short key list becomes literal filters too, so a view stored by key parts is read only in the
-    partitions of the listed keys. A list is broadcast only if it is short or measures little, and then the
-    view is neither shuffled nor sorted; a longer list becomes a shuffled join, where adaptive execution splits a key that is too large. With
-    ``store``, documents are looked up by ID and a missing document gives a null ``value``.
+    partitions of the listed keys. A list is broadcast only if it measures little, and then the view is
+    neither shuffled nor sorted; a longer list becomes a shuffled join, where adaptive execution splits a
+    key that is too large. With ``store``, documents are looked up by ID and a missing document gives a
+    null ``value``.
     """
     extra = [c for c in keys.columns if c not in view.columns]
     wanted = keys.select("view_key", *extra)
@@ -87,10 +88,12 @@ def scan_view(
         "*",
         *[F.coalesce(F.get_json_object("view_key", f"$[{p[1:]}]"), F.lit("null")).alias(p) for p in parts],
     )
-    few = _few_keys(wanted.select("view_key", *parts)) if broadcast_bytes > 0 else None
+    few = _few_keys(wanted.select("view_key", *parts), broadcast_bytes)
     if few is not None:
         view = view.where(few)
-    if few is not None or fits_broadcast(wanted, broadcast_bytes):
+    # The keys of a short list are measured already; other columns are too, if their size is fixed.
+    fixed = all(isinstance(keys.schema[c].dataType, (T.NumericType, T.BooleanType)) for c in extra)
+    if (few is not None and fixed) or fits_broadcast(wanted, broadcast_bytes):
         wanted = F.broadcast(wanted)
     rows = view.join(wanted, ["view_key", *parts])
     if store is None:
@@ -99,14 +102,16 @@ def scan_view(
     return (rows.drop("value") if "value" in rows.columns else rows).join(documents, "doc_id", "left")
 
 
-def _few_keys(keys: DataFrame) -> Column | None:
+def _few_keys(keys: DataFrame, max_bytes: int) -> Column | None:
     """Filter that a view row must pass to have a listed key, or None for a list that is not short.
 
-    The literals of a short list (at most ``MAX_LITERAL_KEYS`` rows) reach the partition filter and the
-    file scan of a stored view.
+    The literals of a short list (at most ``MAX_LITERAL_KEYS`` rows and ``max_bytes`` of text) reach the
+    partition filter and the file scan of a stored view.
     """
+    if max_bytes <= 0:
+        return None
     rows = keys.limit(MAX_LITERAL_KEYS + 1).collect()
-    if len(rows) > MAX_LITERAL_KEYS:
+    if len(rows) > MAX_LITERAL_KEYS or sum(4 * len(text or "") for r in rows for text in r) > max_bytes:
         return None
     condition = F.lit(True)
     for i, name in enumerate(keys.columns):
