@@ -28,9 +28,9 @@ def define_view(
     """Index ``docs(doc_id, value, ...)`` by a key: rows ``(view_key, k0.., doc_id, emitted[, value])``.
 
     A list of columns makes a JSON array key; if all are strings, integers or booleans, the parts are kept
-    as text columns ``k0, k1, ...`` too, for partitioned storage. A single column is JSON key text. ``where`` decides which documents are
-    indexed, ``json_only`` skips documents that are not JSON. With ``include_docs`` the view carries the
-    document, and scans need no join with the store.
+    as text columns ``k0, k1, ...`` too, for partitioned storage. A single column is JSON key text.
+    ``where`` decides which documents are indexed, ``json_only`` skips documents that are not JSON. With
+    ``include_docs`` the view carries the document, and scans need no join with the store.
     """
     rows = docs if where is None else docs.where(where)
     if json_only:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions import actions as A
-from docloom.operators.metrics import SUCCESS, TEMPORARY_FAILURE, TIMED_OUT
+from docloom.operators.metrics import TEMPORARY_FAILURE, TIMED_OUT
 from docloom.schemas import ATTEMPTS
 
 
