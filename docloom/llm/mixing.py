@@ -41,23 +41,23 @@ def source_targets(sizes: DataFrame, weights: list[float], most: int) -> DataFra
 
 
 def mix(
-    docs: DataFrame,
+    sized: DataFrame,
     weights: list[float],
     most: int = 3,
     source: str = "source",
-    text: str = "text",
+    size: str = "size",
     doc_id: str = "doc_id",
     seed: str = "mix",
 ) -> DataFrame:
     """
-    Every row of ``docs`` with ``copies`` (how often the mix holds it), ``size``, ``source_size`` and ``target``.
+    Every row with ``copies`` (how often the mix holds it), ``source_size`` and ``target``; ``size`` names its words.
 
     A source's documents all expect target / size copies. In each source they stand in order of size (then id), and a
     document gets a copy for each whole number that its stretch of the prefix sum, moved by one random offset per
     source, passes. By size, neighbours are alike, so the words taken come near the target. The offset depends on
     ``seed`` and the source only: reruns agree.
 
-    Null text has no words; a null source is a source of its own and comes last. Documents without words take copies
+    A null size is 0; a null source is a source of its own and comes last. Documents without words take copies
     like others of their source, none if their source has no words at all. Repeated rows are rows; between rows equal in
     id and size it is not said which gets the copy. An empty table stays empty. Input columns named like the new ones
     give way to them; others are kept.
@@ -65,10 +65,10 @@ def mix(
     A source of any size is spread over partitions of equal rows; a row's place in its source is its place in the whole
     order less that of the source's first row.
     """
-    rows = docs.select(
+    rows = sized.select(
         F.struct("*").alias("row"),
         F.col(source).alias("source"),
-        words(F.col(text)).alias("size"),
+        F.coalesce(F.col(size), F.lit(0)).cast("long").alias("size"),
         F.col(doc_id).alias("id"),
     )
     placed = in_order(rows, ["source", "size", "id"], "mix")
@@ -87,7 +87,6 @@ def mix(
     return with_columns(
         "row",
         joined.withColumn("number", number).withColumn("taken", passed(F.col("number") + 1) - passed(F.col("number"))),
-        size=F.col("size"),
         source_size=F.col("source_size"),
         target=F.col("target"),
         copies=F.col("taken"),

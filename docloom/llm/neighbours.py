@@ -98,7 +98,8 @@ def nearest(
     trees: int = 16,
     sample_rows: int = 16_384,
     leaf_rows: int = 64,
-    share: float = 0.7,
+    share: float = 0.6,
+    least_entries: int = 800,
     block_rows: int = 4096,
     vec_id: str = "vec_id",
     embedding: str = "embedding",
@@ -109,7 +110,7 @@ def nearest(
 
     The trees are grown on a bounded sample (the ``sample_rows`` vectors of smallest hash), with ``leaf_rows`` sample
     rows in a leaf. Every vector is then indexed under its leaf in each tree. A query opens leaves by one queue shared by
-    all trees until they hold ``share`` of all index entries of one tree; the vectors met there are ranked by exact
+    all trees until they hold ``share`` of the entries of one tree and ``least_entries`` more; the vectors met there are ranked by exact
     distance on the original components, ties by id. ``share`` is what recall costs: 64 independent dimensions have
     neighbours hardly nearer than others.
 
@@ -150,7 +151,7 @@ def nearest(
     for r in index.groupBy("leaf").count().collect():
         rows[r.leaf] = r["count"]
     counted = spark.sparkContext.broadcast(rows)
-    enough = max(share * rows.sum() / trees, trees * (k + 1))
+    enough = share * rows.sum() / trees + max(least_entries, trees * (k + 1))
 
     def probes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
