@@ -39,10 +39,10 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their shard and their place in it."""
-    text = F.col("text")
+    """Documents with their shard and their place in it; columns of these names give way."""
+    text, kept = F.col("text"), docs.drop("shard", "slot").columns
     keyed = docs.select(
-        F.struct("*").alias("doc"), "doc_id", sharding.text_key(text).alias("text_key"), sharding.byte_size(text).alias("size")
+        F.struct(*kept).alias("doc"), "doc_id", sharding.text_key(text).alias("text_key"), sharding.byte_size(text).alias("size")
     )
     return sharding.shard(keyed, SHARDS).select("doc.*", "shard", "slot")
 

@@ -12,12 +12,12 @@ from docloom.llm.sharding import text_key
 
 
 def _lines(text: Column) -> Column:
-    """The lines that are not blank, with their place in the text, two hashes and their words."""
+    """The lines that hold words, with their place in the text, two hashes and the number of words."""
     line = lambda x, i: F.struct(
         i.alias("i"),
         F.xxhash64(x).alias("h1"),
         F.xxhash64(F.lit(1), x).alias("h2"),
-        F.size(F.split(F.trim(x), r"\s+")).alias("w"),
+        F.regexp_count(x, F.lit(r"\S+")).alias("w"),
     )
     return F.filter(F.transform(F.split(text, "\n"), line), lambda x: x["w"] > 0)
 
