@@ -29,8 +29,9 @@ TEXTS = """
 indexed AS (
   SELECT '["' || lang || '",' || (doc_id % 4) || ']' AS view_key, CAST(doc_id AS VARCHAR) AS doc_id,
          source AS emitted
-  FROM documents),
-stored AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id, text AS value FROM documents WHERE source <> 'src0'),
+  FROM documents
+  UNION ALL SELECT '["en",' || (page_id % 4) || ']', 'p' || page_id, 'page' FROM pages),
+stored AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id, text AS value FROM documents),
 listed AS (
   SELECT i AS key_ord, '["en",' || i || ']' AS view_key FROM range(0, 4) AS t(i)
   UNION ALL SELECT 4, '["de",1]' UNION ALL SELECT 5, '["de",1]' UNION ALL SELECT 6, '["xx",0]')
@@ -64,13 +65,13 @@ profiles AS (
   SELECT 'u' || c_custkey AS doc_id, c_name AS value,
          CASE WHEN c_custkey % 6 = 2 THEN {AS_OF} + c_custkey
               WHEN c_custkey % 14 = 4 THEN {AS_OF} - c_custkey END AS e
-  FROM customer WHERE c_mktsegment IN ('BUILDING', 'FURNITURE', 'HOUSEHOLD')),
+  FROM customer),
 live AS (SELECT * FROM profiles WHERE e IS NULL OR e > {AS_OF})
 """
 
 FEED = """
 feed AS (
-  SELECT 'u' || user_id AS doc_id, event_id AS seq, 'v' || event_id || ';' AS v, event_id % 5 AS x,
+  SELECT 'u' || user_id * 20 AS doc_id, event_id AS seq, 'v' || event_id || ';' AS v, event_id % 5 AS x,
          CASE WHEN event_type = 'signup' THEN 'ADD'
               WHEN event_type = 'purchase' AND event_id % 2 = 0 THEN 'SET'
               WHEN event_type = 'purchase' THEN 'REPLACE'
@@ -215,7 +216,7 @@ FROM documents GROUP BY text
 
 LINES = """
 lines AS (
-  SELECT o_orderkey AS seq, 'o' || o_orderkey AS k, o_orderkey % 7 AS kind, o_orderstatus AS st FROM orders)
+  SELECT o_orderkey AS seq, 'o' || o_orderkey * 2 AS k, o_orderkey % 7 AS kind, o_orderstatus AS st FROM orders)
 """
 ORACLES["parse_lines"] = f"""
 WITH {LINES}
@@ -348,7 +349,7 @@ FROM outcomes GROUP BY seq % 20
 
 ORACLES["apply_dialogue"] = """
 SELECT 'c' || conv_id AS doc_id, string_agg(role || ': ' || text || chr(10), '' ORDER BY turn) AS value
-FROM conversations WHERE conv_id IN (SELECT conv_id FROM conversations WHERE turn = 0) GROUP BY conv_id
+FROM conversations GROUP BY conv_id
 """
 
 ORDERS = f"""
@@ -373,7 +374,7 @@ FROM (SELECT doc_id, count(*) AS n FROM feed GROUP BY doc_id) k LEFT JOIN live l
 ORACLES["update_profiles"] = f"""
 WITH {PROFILES},
 totals AS (
-  SELECT 'u' || user_id AS doc_id, 'n=' || count(*) || ',last=' || max(event_id) AS t
+  SELECT 'u' || user_id * 20 AS doc_id, 'n=' || count(*) || ',last=' || max(event_id) AS t
   FROM events WHERE event_type = 'purchase' GROUP BY user_id)
 SELECT doc_id, value, e AS expires_epoch FROM profiles WHERE doc_id NOT IN (SELECT doc_id FROM totals)
 UNION ALL
@@ -386,7 +387,7 @@ ORACLES["job_update"] = ORACLES["update_profiles"]
 SEQUENTIAL = f"""
 WITH RECURSIVE {PROFILES},
 steps AS (
-  SELECT 'u' || user_id AS doc_id, event_type AS kind, 'v' || event_id || ';' AS v,
+  SELECT 'u' || user_id * 20 AS doc_id, event_type AS kind, 'v' || event_id || ';' AS v,
          row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn
   FROM events),
 run AS (
@@ -416,11 +417,11 @@ FROM run GROUP BY doc_id
 """
 
 ORACLES["lookup_merge"] = """
-SELECT CAST(l.doc_id AS VARCHAR) AS doc_id, l.doc_id AS seq,
+SELECT CAST(l.doc_id * 2 AS VARCHAR) AS doc_id, l.doc_id AS seq,
        CASE WHEN d.doc_id IS NULL THEN 'NONE' WHEN l.toxic = 1 THEN 'DELETE' ELSE 'REPLACE' END AS op,
-       CASE WHEN d.doc_id IS NOT NULL AND l.toxic <> 1 THEN substring(d.text, 1, 40) || 'q' || l.quality END AS value,
+       CASE WHEN d.doc_id IS NOT NULL AND l.toxic <> 1 THEN d.text || 'q' || l.quality END AS value,
        0 AS expiry
-FROM labels l LEFT JOIN (SELECT * FROM documents WHERE source <> 'src0') d ON d.doc_id = l.doc_id
+FROM labels l LEFT JOIN documents d ON d.doc_id = l.doc_id * 2
 """
 
 ORACLES["batch_stats"] = """
@@ -478,7 +479,7 @@ FROM listed l JOIN indexed i USING (view_key) JOIN stored s ON s.doc_id = i.doc_
 """
 EXPORTED = f"""
 WITH {LINES}, {ORDERS},
-base AS (SELECT * FROM order_docs WHERE value NOT LIKE 'P%'),
+base AS (SELECT * FROM order_docs),
 alive AS (SELECT * FROM base WHERE e IS NULL OR e > {AS_OF}),
 pairs AS (SELECT k, CASE WHEN kind = 6 THEN '' ELSE st END AS v FROM lines WHERE kind IN (0, 6))
 """
@@ -499,9 +500,9 @@ LINE_FEED = """
 stored AS (SELECT 'o' || o_orderkey AS doc_id, o_orderstatus || '/' || o_orderpriority AS value FROM orders),
 feed AS (
   SELECT 'o' || l_orderkey AS doc_id,
-         CAST(l_linenumber AS BIGINT) * 1099511627776 + l_partkey * 1048576 + l_suppkey AS seq,
-         'q' || CAST(max(l_quantity) AS BIGINT) AS v, l_linenumber % 9 AS kind
-  FROM lineitem GROUP BY l_orderkey, l_linenumber, l_partkey, l_suppkey)
+         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS seq,
+         'q' || CAST(l_quantity AS BIGINT) AS v, l_linenumber % 9 AS kind
+  FROM lineitem)
 """
 ORACLES["apply_line_feed"] = f"""
 WITH {LINE_FEED}, newest AS (SELECT doc_id, arg_max(v, seq) AS v FROM feed GROUP BY doc_id)

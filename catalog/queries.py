@@ -274,7 +274,7 @@ def apply_dialogue(spark, sf_dir):
     """Conversation turns appended in order to the documents of their conversation."""
     turns = t.load(spark, sf_dir, "conversations")
     key = F.concat(F.lit("c"), F.col("conv_id"))
-    store = turns.where("turn = 0").select(
+    store = turns.select("conv_id").distinct().select(
         key.alias("doc_id"), F.lit("").alias("value"), F.lit(None).cast("timestamp").alias("expires_at")
     )
     feed = turns.select(
@@ -300,7 +300,7 @@ def key_existence_split(spark, sf_dir):
 
 
 def _purchases(events: DataFrame) -> DataFrame:
-    key = F.when(F.col("event_type") == "purchase", F.concat(F.lit("u"), F.col("user_id")))
+    key = F.when(F.col("event_type") == "purchase", F.expr(t.USER_KEY))
     return events.select(key.alias("doc_id"), "event_id", "props")
 
 
@@ -337,7 +337,7 @@ def _in_order(payload, existing):
 
 def _sequential(spark, sf_dir):
     source = t.load(spark, sf_dir, "events").select(
-        F.concat(F.lit("u"), F.col("user_id")).alias("doc_id"), "event_id", "event_type"
+        F.expr(t.USER_KEY).alias("doc_id"), "event_id", "event_type"
     )
     return update_documents(t.profile_store(spark, sf_dir), source, _in_order, t.AS_OF, order_by="event_id")
 
@@ -355,15 +355,15 @@ def update_summary(spark, sf_dir):
 
 @query
 def lookup_merge(spark, sf_dir):
-    """Labels merged row by row with the stored documents they belong to."""
+    """Labels merged row by row with stored documents; half of the keys are no document's."""
     labels = t.load(spark, sf_dir, "labels").select(
-        F.col("doc_id").cast("string").alias("doc_id"), F.col("doc_id").alias("seq"), "quality", "toxic"
+        (F.col("doc_id") * 2).cast("string").alias("doc_id"), F.col("doc_id").alias("seq"), "quality", "toxic"
     )
 
     def merge(payload, existing):
         label = F.concat(F.lit("q"), payload["quality"])
         return F.when(existing.isNull(), A.none()).when(payload["toxic"] == 1, A.delete()).otherwise(
-            A.replace(F.concat(F.substring(existing, 1, 40), label))
+            A.replace(F.concat(existing, label))
         )
 
     return merge_actions(labels, t.text_store(spark, sf_dir), merge, t.AS_OF)
@@ -476,7 +476,7 @@ def job_import_paged(spark, sf_dir):
 def job_export(spark, sf_dir):
     """Lines written to files, exported into a stored document store, and the new store read back."""
     root, lines = scratch_dir(spark, "store"), scratch_dir(spark, "lines")
-    write_snapshot(t.order_store(spark, sf_dir).where(~F.col("value").startswith("P")), root)
+    write_snapshot(t.order_store(spark, sf_dir), root)
     t.order_lines(spark, sf_dir).select("line").write.text(lines)
     jobs.export_lines(spark, lines, root, t.AS_OF, op="ADD", expiry=60)
     return t.store_rows(current_store(spark, root))
@@ -485,7 +485,7 @@ def job_export(spark, sf_dir):
 @query
 def job_export_counters(spark, sf_dir):
     root, lines = scratch_dir(spark, "store"), scratch_dir(spark, "lines")
-    write_snapshot(t.order_store(spark, sf_dir).where(~F.col("value").startswith("P")), root)
+    write_snapshot(t.order_store(spark, sf_dir), root)
     t.order_lines(spark, sf_dir).select("line").write.text(lines)
     return jobs.export_lines(spark, lines, root, t.AS_OF, op="REPLACE").counters
 
@@ -526,8 +526,7 @@ def apply_line_feed(spark, sf_dir):
 @query
 def apply_line_feed_mixed(spark, sf_dir):
     """Order lines as mixed actions: the line number decides the operation."""
-    number = (F.col("seq") / 2**40).cast("bigint")
-    op = F.element_at(F.array(*[F.lit(o) for o in A.OPERATIONS]), (number % 9).cast("int") + 1)
+    op = F.element_at(F.array(*[F.lit(o) for o in A.OPERATIONS]), F.col("number") % 9 + 1)
     feed = t.line_feed(spark, sf_dir).select("doc_id", "seq", op.alias("op"), "value", F.lit(0).alias("expiry"))
     result = apply_actions(t.large_store(spark, sf_dir), feed, t.AS_OF)
     return t.store_rows(result.store)

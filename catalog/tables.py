@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docloom.functions.expiry import as_of_sql, epoch_yyyymmdd, expires_sql, second_of_minute
 from docloom.operators.views import define_view
 
 AS_OF = "2024-01-01T00:00:00"
-PROFILED_SEGMENTS = ("BUILDING", "FURNITURE", "HOUSEHOLD")
 CLICK_ID = r"\Aclick::(\w+)::(\d+)\z"
 
 
@@ -57,24 +56,27 @@ def text_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents by language and the last digit of the ID, emitting the source."""
+    """Documents by language and a part of the ID, emitting the source; pages too, which the store lacks."""
+    docs = text_docs(spark, sf_dir).withColumn("part", F.col("doc_id").cast("bigint") % 4)
+    pages = load(spark, sf_dir, "pages").selectExpr(
+        "concat('p', page_id) AS doc_id", "html AS value", "'en' AS lang", "'page' AS source", "page_id % 4 AS part"
+    )
     return define_view(
-        text_docs(spark, sf_dir),
-        [F.col("lang"), F.col("doc_id").cast("bigint") % 4],
+        docs.unionByName(pages),
+        [F.col("lang"), F.col("part")],
         json_only=False,
         emitted=F.col("source"),
     )
 
 
 def text_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Document store that lacks the documents of one source."""
-    docs = text_docs(spark, sf_dir).where(F.col("source") != "src0")
-    return docs.select("doc_id", "value", F.lit(None).cast("timestamp").alias("expires_at"))
+    """Every document, none of which expires."""
+    return text_docs(spark, sf_dir).select("doc_id", "value", F.lit(None).cast("timestamp").alias("expires_at"))
 
 
 def profile_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers of some segments as user profiles; some expire, some have expired at ``AS_OF``."""
-    return load(spark, sf_dir, "customer").where(F.col("c_mktsegment").isin(*PROFILED_SEGMENTS)).selectExpr(
+    """Customers as user profiles; some expire, some have expired at ``AS_OF``."""
+    return load(spark, sf_dir, "customer").selectExpr(
         "concat('u', c_custkey) AS doc_id",
         "c_name AS value",
         """CASE WHEN c_custkey % 6 = 2 THEN timestamp_seconds(1704067200 + c_custkey)
@@ -82,6 +84,9 @@ def profile_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Half of these keys lie beyond the profiles.
+USER_KEY = "concat('u', user_id * 20)"
+
 FEED_OP = """
   CASE WHEN event_type = 'signup' THEN 'ADD'
        WHEN event_type = 'purchase' THEN if(event_id % 2 = 0, 'SET', 'REPLACE')
@@ -93,7 +98,7 @@ FEED_OP = """
 def action_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as actions of every kind on user profiles."""
     return load(spark, sf_dir, "events").selectExpr(
-        "concat('u', user_id) AS doc_id",
+        f"{USER_KEY} AS doc_id",
         "event_id AS seq",
         f"{FEED_OP} AS op",
         "concat('v', event_id, ';') AS value",
@@ -111,8 +116,8 @@ def order_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tab-separated lines of every arity: ``(line, seq)``."""
-    key = F.concat(F.lit("o"), F.col("o_orderkey"))
+    """Tab-separated lines of every arity: ``(line, seq)``; half of the keys are no order's."""
+    key = F.concat(F.lit("o"), F.col("o_orderkey") * 2)
     tab = F.lit("\t")
     line = (
         F.when(F.col("o_orderkey") % 7 == 0, F.concat(key, tab, "o_orderstatus", tab, "o_orderpriority"))
@@ -152,10 +157,10 @@ def large_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def line_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as values for the documents of their orders, several per document; ``seq`` is unique."""
-    lines = load(spark, sf_dir, "lineitem")
-    number = F.col("l_linenumber").cast("bigint") * 2**40 + F.col("l_partkey") * 2**20 + F.col("l_suppkey")
-    return lines.groupBy("l_orderkey", number.alias("seq")).agg(F.max("l_quantity").alias("q")).select(
+    place = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    return load(spark, sf_dir, "lineitem").select(
         F.concat(F.lit("o"), F.col("l_orderkey")).alias("doc_id"),
-        "seq",
-        F.concat(F.lit("q"), F.col("q").cast("bigint")).alias("value"),
+        F.row_number().over(place).cast("bigint").alias("seq"),
+        F.concat(F.lit("q"), F.col("l_quantity").cast("bigint")).alias("value"),
+        F.col("l_linenumber").alias("number"),
     )
