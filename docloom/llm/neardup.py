@@ -15,6 +15,10 @@ from docloom.llm.tokens import WordHashes, groups, mixed, plain_words, shingles
 
 #: Shingles looked at together.
 _TOGETHER = 200_000
+#: Members of a band that all others are compared with, round by round; in the last round each with each.
+_PIVOTS = (1, 8, None)
+#: One-bit registers of a fingerprint, and the standard deviations it may lie under what the threshold lets expect.
+_BITS, _SLACK = 1024, 3.2
 
 
 def signatures(sets: list[tuple[np.ndarray, np.ndarray]], size: int) -> np.ndarray:
@@ -69,6 +73,18 @@ def band_keys(texts: list[str | None], n: int, bands: int, rows: int, hashed: Wo
     return out
 
 
+def fingerprints(texts: list[str | None], n: int, hashed: WordHashes) -> list[np.ndarray]:
+    """One bit of each register of a large signature of the distinct shingles, packed into longs."""
+    words = [plain_words(t) for t in texts]
+    out: list[np.ndarray] = []
+    for run in groups([len(w) for w in words], _TOGETHER):
+        sets = [np.unique(shingles(hashed.of(words[i]), n)) for i in run]
+        found = signatures([(s, np.ones(len(s))) for s in sets], _BITS)
+        bits = (mixed(found) & np.uint64(1)).astype(np.uint8)
+        out += list(np.packbits(bits, axis=1).view(np.int64))
+    return out
+
+
 def similarity(left: str | None, right: str | None, n: int, hashed: WordHashes) -> float:
     """Jaccard similarity of the distinct shingles of two texts."""
     a, b = (np.unique(shingles(hashed.of(plain_words(t)), n)) for t in (left, right))
@@ -96,10 +112,13 @@ def near_duplicates(
     Jaccard similarity itself where no shingle repeats, and texts at 0.8 share one of 21 bands of 6 with probability
     0.998.
 
-    The texts that share a band are not paired with each other. In each round those that share most bands with others
-    are pivots, and every member is checked against them; then classes are formed, and a band whose members are in more
-    than one class gets eight times as many pivots. A round ends for a band when its members are one class or each was
-    compared with every other, so no link is lost, and a group of copies costs one comparison a member.
+    The texts that share a band are not paired with each other. First each band compares its members with one of them,
+    the one that shares most bands with others, and classes are formed; a group of copies is one class then, for one
+    comparison a member. Bands whose members are still in more than one class go on with eight such pivots, and what is
+    left after that with each member against each, but only between classes, in the first band that two texts share, and
+    if fingerprints of 1024 bits do not rule the similarity out (they err for one pair in 1,500 at the threshold). So a
+    pair that shares a band is either in one class already or compared, and only pairs that are nearly similar leave the
+    join. The join itself still looks at all pairs of different classes in a band.
 
     Words are what stands between ASCII white space, as written. Texts without words (null, empty, white space) are not
     similar to anything: equal ones are one class only if not null and equal as text, each null is a class alone. Class
@@ -126,50 +145,68 @@ def near_duplicates(
     texts = signed.groupBy("key").agg(F.min("id").alias("first_id"), F.count("*").alias("n"), F.first("bands").alias("bands"))
     texts = stored(texts, "neardup-texts")
 
-    banded = texts.select("key", F.explode("bands").alias("bucket"))
+    @F.pandas_udf("array<long>")
+    def bits_of(values: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        hashed = WordHashes()
+        for batch in values:
+            yield pd.Series(fingerprints(list(batch), shingle_words, hashed), dtype=object)
+
+    banded = texts.select("key", F.posexplode("bands").alias("band", "bucket"))
     shared = banded.groupBy("bucket").agg(F.count("*").alias("of")).where("of > 1")
-    members = stored(banded.join(shared, "bucket"), "neardup-members")
-    popular = members.groupBy("key").agg(F.sum("of").alias("shared"))
-    members_before = members
-    members = stored(members.join(popular, "key"), "neardup-members")
-    dropped(members_before)
+    counted = stored(banded.join(shared, "bucket"), "neardup-counted")
+    popular = counted.groupBy("key").agg(F.sum("of").alias("shared"))
+    members = stored(counted.join(popular, "key"), "neardup-members")
+    dropped(counted)
     firsts = texts.join(members.select("key").distinct(), "key", "left_semi").select("key", F.col("first_id").alias("id"))
     match = (given["key"] == firsts["key"]) & given["id"].eqNullSafe(firsts["id"])
     proposed = stored(given.join(firsts, match, "left_semi").select("key", text).dropDuplicates(["key"]), "neardup-proposed")
 
-    links, roots, tested = None, None, None
-    live, before, pivots = members, 0, 1
-    while True:
+    def pivots_of(live: DataFrame, most: int | None) -> DataFrame:
+        """The members of each band that share most bands with others."""
         order = Window.partitionBy("bucket").orderBy(F.desc("shared"), "key")
-        chosen = live.withColumn("place", F.row_number().over(order)).where(F.col("place") <= pivots)
-        chosen = chosen.where(F.col("place") > before).select("bucket", F.col("key").alias("pivot"))
-        pairs = live.join(chosen, "bucket").where("key <> pivot")
+        return live.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most) if most else live
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        """Pairs of a member and a pivot with their similarity, stored."""
+        left = proposed.select(F.col("key").alias("pivot"), F.col(text).alias("pivot_text"))
+        right = proposed.select(F.col("key").alias("member"), F.col(text).alias("member_text"))
+        found = pairs.join(left, "pivot").join(right, "member")
+        return stored(found.select("a", "b", similar("pivot_text", "member_text").alias("similarity")), "neardup-checked")
+
+    agreeing = threshold + (1 - threshold) / 2
+    differing = _BITS * (1 - agreeing) + _SLACK * (_BITS * agreeing * (1 - agreeing)) ** 0.5
+    not_ruled_out = " + ".join(f"bit_count(m.bits[{i}] ^ p.bits[{i}])" for i in range(_BITS // 64)) + f" <= {differing}"
+    first_shared = "array_position(zip_with(m.bands, p.bands, (x, y) -> x = y), true) = m.band + 1"
+    named = (F.least("member", "pivot").alias("a"), F.greatest("member", "pivot").alias("b"))
+
+    tested = links = roots = None
+    live = members
+    for most in _PIVOTS:
+        on = "m.bucket = p.bucket AND m.key <> p.key"
         if roots is not None:
-            of_pivot = roots.select(F.col("key").alias("pivot"), F.col("root").alias("pivot_root"))
-            pairs = pairs.join(of_pivot, "pivot", "left").where(
-                F.coalesce("root", "key") != F.coalesce("pivot_root", "pivot")
-            )
-        pairs = pairs.select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b"), "pivot").groupBy("a", "b")
-        pairs = pairs.agg(F.min("pivot").alias("pivot"))
+            on += f" AND m.root <> p.root AND {not_ruled_out} AND {first_shared}" + (" AND m.key < p.key" if not most else "")
+        pairs = live.alias("m").join(pivots_of(live, most).alias("p"), F.expr(on))
+        pairs = pairs.select(F.col("m.key").alias("member"), F.col("p.key").alias("pivot"))
+        pairs = pairs.groupBy(*named).agg(F.min(F.struct("pivot", "member")).alias("one")).select("a", "b", "one.*")
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = pairs.withColumn("member", F.when(F.col("a") == F.col("pivot"), F.col("b")).otherwise(F.col("a")))
-        left = proposed.select(F.col("key").alias("pivot"), F.col(text).alias("pivot_text"))
-        right = proposed.select(F.col("key").alias("member"), F.col(text).alias("member_text"))
-        checked = pairs.join(left, "pivot").join(right, "member")
-        checked = checked.select("a", "b", similar("pivot_text", "member_text").alias("similarity"))
-        checked = stored(checked, "neardup-checked")
-        tested = checked.select("a", "b") if tested is None else tested.unionByName(checked.select("a", "b"))
-        more = checked.where(F.col("similarity") >= threshold).select("a", "b")
-        links = more if links is None else links.unionByName(more)
+        more = checked(pairs)
+        tested = more.select("a", "b") if tested is None else tested.unionByName(more.select("a", "b"))
+        similar_pairs = more.where(F.col("similarity") >= threshold).select("a", "b")
+        links = similar_pairs if links is None else links.unionByName(similar_pairs)
         roots = components(links, "neardup-roots").select(F.col("id").alias("key"), "root")
-        open_members = members.where(F.col("of") > pivots + 1).join(roots, "key", "left")
-        root = F.coalesce("root", "key")
-        several = open_members.groupBy("bucket").agg(F.min(root).alias("low"), F.max(root).alias("high")).where("low <> high")
-        live = stored(open_members.join(several.select("bucket"), "bucket", "left_semi"), "neardup-live")
-        if live.isEmpty():
+        if not most:
             break
-        before, pivots = pivots, pivots * 8
+        unsettled = members.where(F.col("of") > most + 1).join(roots, "key", "left")
+        unsettled = unsettled.withColumn("root", F.coalesce("root", "key"))
+        several = unsettled.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        several = several.where("low <> high").select("bucket")
+        unsettled = stored(unsettled.join(several, "bucket", "left_semi"), "neardup-unsettled")
+        keys = unsettled.select("key").distinct()
+        bits = proposed.join(keys, "key", "left_semi").select("key", bits_of(text).alias("bits"))
+        told = bits.join(texts.select("key", "bands"), "key")
+        live = stored(unsettled.join(told, "key"), "neardup-live")
+        dropped(unsettled)
 
     grouped = texts.join(roots, "key", "left").select("key", "first_id", "n", F.coalesce("root", "key").alias("root"))
     least = F.min(F.struct(F.col("first_id").isNull().alias("none"), "first_id", "key")).alias("least")
