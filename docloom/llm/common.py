@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-import functools
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -117,18 +114,6 @@ def with_totals_before(placed: DataFrame, values: dict[str, Column], group: str
     return joined.select(*placed.columns, *[c.alias(n) for n, c in totals.items()])
 
 
-def arrow_map(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """``f`` on each Arrow batch, in the partitions as they are."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = f(batch)
-            if out is not None and out.num_rows:
-                yield out
-
-    return df.mapInArrow(run, schema)
-
-
 def components(links: DataFrame, name: str = "components") -> DataFrame:
     """
     ``id, root`` for every id of ``links(a, b)``: root is the smallest id that links lead to.
@@ -136,27 +121,24 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     Alternating star contraction: every neighbour of a node above (then below) it is tied to the smallest neighbour,
     until nothing changes. Each round is stored; a node with many neighbours is only ever grouped by a minimum.
     """
-    edges = stored(
-        links.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).where("hi <> lo").distinct(), name
-    )
-    while True:
+    first = links.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).where("hi <> lo").distinct()
+    edges, seen = stored(first, name), None
+    state = F.struct(F.count("*"), F.bit_xor(F.xxhash64("hi", "lo")))
+    while (now := edges.agg(state.alias("s")).first().s) != seen:
         both = edges.unionByName(edges.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
-        least = both.groupBy("hi").agg(F.min("lo").alias("m")).select(F.col("hi").alias("of"), F.least("hi", "m").alias("m"))
+        least = both.groupBy(F.col("hi").alias("of")).agg(F.min("lo").alias("m")).select("of", F.least("of", "m").alias("m"))
         # Large star: neighbours above a node go to its smallest neighbour.
-        large = edges.join(least, F.col("lo") == F.col("of")).select("hi", F.col("m").alias("lo")).where("hi <> lo").distinct()
+        large = edges.join(least, F.col("lo") == F.col("of")).select("hi", F.col("m").alias("lo"))
         # Small star: a node's neighbours below it go to the smallest of them, and so does the node.
         low = large.groupBy(F.col("hi").alias("of")).agg(F.min("lo").alias("m"))
         small = large.join(low, F.col("hi") == F.col("of"))
         small = small.select("lo", "m").where("lo <> m").unionByName(small.select(F.col("hi").alias("lo"), "m"))
         after = stored(small.select(F.col("lo").alias("hi"), F.col("m").alias("lo")).distinct(), name)
-        moved = after.join(edges, ["hi", "lo"], "left_anti").limit(1).count() + (after.count() != edges.count())
         dropped(edges)
-        edges = after
-        if not moved:
-            return edges.select(F.col("hi").alias("id"), F.col("lo").alias("root"))
+        edges, seen = after, now
+    return edges.select(F.col("hi").alias("id"), F.col("lo").alias("root"))
 
 
-@functools.lru_cache(maxsize=1)
 def fold_key() -> str:
     """SQL of the fold that held-out rows are told by: crc32 of the id's text, modulo 4."""
     return "crc32(cast(cast(doc_id AS string) AS binary)) % 4"
