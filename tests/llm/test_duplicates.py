@@ -4,7 +4,7 @@ import itertools
 
 import numpy as np
 import pytest
-from odd import empty, sentence
+from odd import empty, odd_documents, rng, sentence  # noqa: F401
 from pyspark.sql import functions as F
 
 from docloom.llm import common, decontaminate, lines, neardup

@@ -4,7 +4,7 @@ import zlib
 from collections import defaultdict
 
 import pytest
-from odd import empty
+from odd import empty, odd_documents, rng  # noqa: F401
 from pyspark.sql import functions as F
 
 from docloom.llm import mixing, sharding

@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+from odd import odd_documents, rng  # noqa: F401
 
 from docloom.llm import neighbours
 

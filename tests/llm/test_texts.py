@@ -7,7 +7,7 @@ import re
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from odd import empty, sentence
+from odd import empty, odd_documents, rng, sentence  # noqa: F401
 from pyspark.sql import functions as F
 
 from docloom.llm import chat, languages, pages, quality
