@@ -155,6 +155,16 @@ SELECT key_ord, view_key, doc_id, value FROM listed JOIN indexed USING (view_key
 """
 ORACLES["stored_view_scan"] = ORACLES["import_clicks"]
 
+ORACLES["stored_view_odd_keys"] = """
+WITH parts AS (
+  SELECT doc_id, lang, CASE doc_id % 7 WHEN 0 THEN '' WHEN 1 THEN 'a/b' WHEN 2 THEN 'k=v' WHEN 3 THEN 'it''s'
+         WHEN 4 THEN 'null' WHEN 5 THEN ' ' END AS part
+  FROM documents)
+SELECT '[' || coalesce('"' || part || '"', 'null') || ',"' || lang || '"]' AS view_key, coalesce(part, 'null') AS k0,
+       lang AS k1, CAST(doc_id AS VARCHAR) AS doc_id
+FROM parts
+"""
+
 ORACLES["view_scan"] = f"""
 WITH {TEXTS}
 SELECT l.key_ord, i.view_key, i.doc_id, i.emitted, s.value
@@ -334,6 +344,11 @@ UNION ALL
 SELECT r.doc_id, r.value, r.e FROM run r JOIN final f ON f.doc_id = r.doc_id AND f.rn = r.rn
 WHERE f.present AND r.doc_id IN (SELECT doc_id FROM changed)
 """
+ORACLES["apply_changes"] = f"""{MIXED}
+SELECT r.doc_id, CASE WHEN f.present THEN r.value END AS value, CASE WHEN f.present THEN r.e END AS expires_epoch,
+       NOT f.present AS deleted
+FROM run r JOIN final f ON f.doc_id = r.doc_id AND f.rn = r.rn WHERE r.doc_id IN (SELECT doc_id FROM changed)
+"""
 ORACLES["job_save_actions"] = ORACLES["apply_mixed"]
 ORACLES["mixed_outcomes"] = f"{MIXED} SELECT doc_id, seq, op, outcome FROM outcomes"
 ORACLES["outcome_counters"] = f"""{MIXED}
@@ -369,6 +384,13 @@ SELECT l.doc_id IS NOT NULL AS present, count(*) AS n_keys, CAST(sum(k.n) AS BIG
 FROM (SELECT doc_id, count(*) AS n FROM feed GROUP BY doc_id) k LEFT JOIN live l ON l.doc_id = k.doc_id GROUP BY 1
 """
 
+ORACLES["existing_feed_rows"] = f"""
+WITH {PROFILES}, {FEED} SELECT doc_id, seq, op FROM feed WHERE doc_id IN (SELECT doc_id FROM live)
+"""
+ORACLES["missing_feed_rows"] = f"""
+WITH {PROFILES}, {FEED} SELECT doc_id, seq, op FROM feed WHERE doc_id NOT IN (SELECT doc_id FROM live)
+"""
+
 # --- updates -----------------------------------------------------------------------------------------
 
 ORACLES["update_profiles"] = f"""

@@ -15,7 +15,7 @@ from docloom.functions.jsonkeys import is_json_sql
 from docloom.functions.keyspec import split_key_spec
 from docloom.operators import metrics
 from docloom.operators.apply import ApplyResult, apply_actions, apply_to, live_documents
-from docloom.operators.existence import existence_counts, key_existence
+from docloom.operators.existence import existence_counts, existing_keys, key_existence, missing_keys
 from docloom.operators.gate import failed_share
 from docloom.operators.keys import expand_keys, plan_keys
 from docloom.operators.paging import assign_batches, page_rows
@@ -41,6 +41,7 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
 # --- key specs ---------------------------------------------------------------------------------------
 
 CLICK_SPEC = '["202401((01-03))", 0];["20240101",1];["20240101",1]'
+ODD_PARTS = ("", "a/b", "k=v", "it's", "null", " ")
 TEXT_SPEC = '["en",((0-3))];["de",1];["de",1];["xx",0]'
 
 
@@ -96,6 +97,21 @@ def stored_view_scan(spark, sf_dir):
     return scan_view(read_view(spark, path), keys).select("key_ord", "view_key", "doc_id", "value")
 
 
+@query
+def stored_view_odd_keys(spark, sf_dir):
+    """A stored view whose parts are empty, missing or hold path and quote characters, read by all its keys."""
+    docs = t.load(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("doc_id"),
+        F.col("lang").alias("value"),
+        F.when(F.col("doc_id") % 7 < 6, F.get(F.array(*[F.lit(x) for x in ODD_PARTS]), (F.col("doc_id") % 7).cast("int"))).alias("part"),
+    )
+    view = define_view(docs, [F.col("part"), F.col("value")], json_only=False)
+    path = scratch_dir(spark, "view")
+    write_view(view, path)
+    keys = view.select("view_key").distinct()
+    return scan_view(read_view(spark, path), keys).select("view_key", "k0", "k1", "doc_id")
+
+
 @query
 def view_scan(spark, sf_dir):
     """Scan with document lookup; a document the store lacks is null."""
@@ -259,6 +275,14 @@ def apply_mixed(spark, sf_dir):
     return t.store_rows(mixed(spark, sf_dir).store)
 
 
+@query
+def apply_changes(spark, sf_dir):
+    """Only the documents that the feed changes, and the keys it deletes."""
+    return mixed(spark, sf_dir).changes.select(
+        "doc_id", "value", F.unix_seconds("expires_at").alias("expires_epoch"), "deleted"
+    )
+
+
 @query
 def mixed_outcomes(spark, sf_dir):
     return mixed(spark, sf_dir).outcomes
@@ -296,6 +320,20 @@ def key_existence_split(spark, sf_dir):
     return existence_counts(key_existence(feed, t.profile_store(spark, sf_dir), t.AS_OF))
 
 
+@query
+def existing_feed_rows(spark, sf_dir):
+    """Actions whose key has a live profile."""
+    feed = t.action_feed(spark, sf_dir).select("doc_id", "seq", "op")
+    return existing_keys(feed, t.profile_store(spark, sf_dir), t.AS_OF)
+
+
+@query
+def missing_feed_rows(spark, sf_dir):
+    """Actions whose key has none."""
+    feed = t.action_feed(spark, sf_dir).select("doc_id", "seq", "op")
+    return missing_keys(feed, t.profile_store(spark, sf_dir), t.AS_OF)
+
+
 # --- updates -----------------------------------------------------------------------------------------
 
 

@@ -34,6 +34,7 @@ from docloom.operators.skew import (
 from docloom.sources.tables import materialize
 
 BROADCAST_BYTES = 32 << 20  # measured size up to which changes are broadcast to the store
+KEY_BROADCAST_BYTES = 64 << 20  # measured size up to which the keys of larger changes are
 
 STORED, DELETED, TOUCHED = "stored", "deleted", "touched"
 ALREADY_EXISTS, MISSING, IGNORED, INVALID_KEY = "exists", "missing", "ignored", "invalid_key"
@@ -51,10 +52,24 @@ OUTCOME = f"""CASE WHEN NOT ok THEN if(op = 'ADD', '{ALREADY_EXISTS}', '{MISSING
 
 @dataclass(frozen=True)
 class ApplyResult:
-    """The new ``store`` and one row of ``outcomes(doc_id, seq, op, outcome)`` per input action."""
+    """The new ``store``, one row of ``outcomes(doc_id, seq, op, outcome)`` per input action, and the ``changes``.
+
+    ``changes(doc_id, value, expires_at, deleted)`` has one row per key that some action changed: all that a table with
+    row-level writes has to be told.
+    """
 
     store: DataFrame
     outcomes: DataFrame
+    changes: DataFrame
+
+
+def check_seq(rows: DataFrame) -> None:
+    """Raise if an action has no ``seq`` or two of one key have the same."""
+    repeated = rows.groupBy("doc_id", "seq").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR seq IS NULL")
+    found = repeated.limit(1).collect()
+    if found:
+        what = "no seq" if found[0]["seq"] is None else f"the same seq {found[0]['seq']} as another"
+        raise ValueError(f"an action of key {found[0]['doc_id']} has {what}")
 
 
 def live_documents(store: DataFrame, as_of: dt.datetime | str) -> DataFrame:
@@ -86,7 +101,8 @@ def apply_actions(
 
     ``seq`` must be unique per key (a tie is an error). Documents expired at ``as_of`` count as absent.
     The actions are measured first: a small feed is joined to the store by broadcast, so the documents
-    are streamed and not shuffled; beyond ``broadcast_bytes`` both sides are shuffled by key. Keys with
+    are streamed and not shuffled; beyond ``broadcast_bytes`` the documents that are named are shuffled by key,
+    and all of them only if the keys alone are too many to broadcast. Keys with
     too many actions for one task are processed in ``seq`` segments.
     """
     return _Application(store, actions, as_of_sql(as_of), max_group_rows, broadcast_bytes).result()
@@ -109,6 +125,7 @@ class _Application:
         self.rows = self.actions.where(_EFFECTIVE)
         self.profile = profile_groups(self.rows, "doc_id", "seq", max_group_rows=max_group_rows)
         self.small = fits_broadcast(self.rows, broadcast_bytes, self.profile.rows)
+        self.split = broadcast_bytes > 0
 
     def result(self) -> ApplyResult:
         cold = self.cold_annotated
@@ -120,8 +137,8 @@ class _Application:
         without_effect = self.actions.where(f"NOT {_EFFECTIVE}").selectExpr(
             "doc_id", "seq", "op", f"if({VALID_KEY}, '{IGNORED}', '{INVALID_KEY}') AS outcome"
         )
-        new_store = write_changes(self.store, changes, self.as_of, small=self.small)
-        return ApplyResult(new_store, outcomes.union(without_effect))
+        new_store, changed = write_changes(self.store, changes, self.as_of, self.rows, small=self.small, split_by_keys=self.split)
+        return ApplyResult(new_store, outcomes.union(without_effect), changed)
 
     @cached_property
     def cold_annotated(self) -> DataFrame:
@@ -194,7 +211,8 @@ def annotate(rows: DataFrame, partition: str, initial: str) -> DataFrame:
         f"lag(seq) OVER ({window}) AS _previous",
     ).selectExpr(
         *rows.columns,
-        """CASE WHEN _previous = seq
+        """CASE WHEN seq IS NULL THEN raise_error(concat('an action of key ', doc_id, ' has no seq'))
+                WHEN _previous = seq
                 THEN raise_error(concat('two actions of key ', doc_id, ' have the same seq'))
                 WHEN op = 'SET' THEN true WHEN op = 'ADD' THEN NOT _present ELSE _present END AS ok""",
     )
@@ -239,38 +257,61 @@ def fold(marked: DataFrame) -> DataFrame:
 
 
 def write_changes(
-    store: DataFrame, changes: DataFrame, as_of: str, *, small: bool, applies: str = "true", inserts: bool = True
-) -> DataFrame:
-    """Merge one change row per key into the store (see :func:`fold` for the columns).
-
-    ``applies`` is the condition on ``live`` (the document is stored and has not expired) under which a
-    change takes effect. ``inserts`` tells whether changes may bring new keys. Small changes go to the
-    documents by broadcast and new keys are appended; otherwise it is one join on the key.
+    store: DataFrame,
+    changes: DataFrame,
+    as_of: str,
+    rows: DataFrame,
+    *,
+    small: bool,
+    split_by_keys: bool,
+    applies: str = "true",
+    inserts: bool = True,
+) -> tuple[DataFrame, DataFrame]:
+    """Merge one change row per key into the store (see :func:`fold` for the columns): the new store, and what changed.
+
+    ``rows`` has the keys of the actions. ``applies`` is the condition on ``live`` (the document is stored and has not
+    expired) under which a change takes effect. ``inserts`` tells whether changes may bring new keys.
+
+    Small changes go to the documents by broadcast and new keys are appended. Of larger changes (with ``split_by_keys``)
+    the keys are measured, and if they can be broadcast, documents that no action names are streamed and only the others are joined; beyond that
+    it is one join of everything on the key.
     """
+    fields = ("remains", "based", "base", "expires", "expiry", "tail", "head")
+    documents = store.selectExpr("doc_id", "value", "expires_at", "true AS stored")
+    changed = changes.select("doc_id", *fields)
 
-    def new_rows(joined: DataFrame) -> DataFrame:
+    def merged(joined: DataFrame) -> DataFrame:
         return (
             joined.selectExpr("*", f"coalesce(stored, false) AND {live_sql('expires_at', as_of)} AS live")
             .selectExpr("*", f"remains IS NOT NULL AND ({applies}) AS changed")
-            .where("if(changed, remains, coalesce(stored, false))")
             .selectExpr(
                 "doc_id",
                 """CASE WHEN NOT changed THEN value
                         WHEN head = '' AND tail = '' THEN if(based, base, value)
                         ELSE concat(head, coalesce(if(based, base, value), ''), tail) END AS value""",
                 f"if(changed AND expires, {expires_sql('expiry', as_of)}, expires_at) AS expires_at",
+                "changed",
+                "if(changed, remains, coalesce(stored, false)) AS remains",
             )
         )
 
-    fields = ("remains", "based", "base", "expires", "expiry", "tail", "head")
-    documents = store.selectExpr("doc_id", "value", "expires_at", "true AS stored")
-    changed = changes.select("doc_id", *fields)
+    keys = rows.select("doc_id").distinct()
+    split = split_by_keys and not small and fits_broadcast(keys, KEY_BROADCAST_BYTES)
+    named = documents.join(F.broadcast(keys), "doc_id", "left_semi") if small or split else documents
+    touched = merged(named.join(changed, "doc_id", "full_outer" if inserts else "left"))
+    told = touched.where("changed").selectExpr(
+        "doc_id", "if(remains, value, null) AS value", "if(remains, expires_at, null) AS expires_at", "NOT remains AS deleted"
+    )
+
+    out = ("doc_id", "value", "expires_at")
+    if split:
+        untouched = documents.join(F.broadcast(keys), "doc_id", "left_anti")
+        return untouched.select(*out).union(touched.where("remains").select(*out)), told
     if not small:
-        how = "full_outer" if inserts else "left"
-        return new_rows(documents.join(changed, "doc_id", how))
-    kept = new_rows(documents.join(F.broadcast(changed), "doc_id", "left"))
+        return touched.where("remains").select(*out), told
+    kept = merged(documents.join(F.broadcast(changed), "doc_id", "left")).where("remains").select(*out)
     if not inserts:
-        return kept
+        return kept, told
     if "present" in changes.columns:
         fresh = changes.where("NOT present")
     else:
@@ -283,4 +324,4 @@ def write_changes(
             "if(head = '' AND tail = '', base, concat(head, coalesce(base, ''), tail)) AS value",
             f"if(expires, {expires_sql('expiry', as_of)}, cast(null AS timestamp)) AS expires_at",
         )
-    )
+    ), told

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_GROUP_ROWS = 2_000_000  # rows of one group that one task may sort
-MAX_SEGMENTS = 5_000  # bounds the number of boundaries over all groups
+MAX_BROADCAST_ROWS = 10_000  # rows of a driver-side table that is broadcast; a longer one is joined by shuffle
 _SAMPLES_PER_SEGMENT = 16
 _FINE = 64
 
@@ -57,13 +57,13 @@ def profile_groups(
 ) -> GroupProfile:
     """Measure a table before choosing how to process it (runs one or two narrow aggregations).
 
-    A group is oversized beyond ``max(max_group_rows, rows / MAX_SEGMENTS)`` rows, so there are never more
-    than about ``2 * MAX_SEGMENTS`` of them. Detection counts a sample: a fixed one by hash where ``order``
+    A group is oversized beyond ``max_group_rows`` rows, whatever the size of the table, so what one task gets
+    does not grow with it. There are at most ``2 * rows / max_group_rows`` such groups. Detection counts a sample: a fixed one by hash where ``order``
     tells the rows of a group apart, else a random one, since copies of one row share their hash. A table
     with no more rows than ``max_group_rows`` needs no second pass.
     """
     rows = df.count()
-    limit = max(max_group_rows, rows // MAX_SEGMENTS)
+    limit = max_group_rows
     if rows <= max_group_rows:
         return GroupProfile(rows, limit)
     every = max(1, limit // 1000)
@@ -81,8 +81,9 @@ def _in_sample(every: Column, *names: str) -> Column:
 
 
 def local_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
-    """A broadcast-hinted table of a few driver-side rows."""
-    return F.broadcast(spark.createDataFrame(rows, schema))
+    """A table of driver-side rows, one per oversized group or segment; broadcast if they are few."""
+    table = spark.createDataFrame(rows, schema)
+    return F.broadcast(table) if len(rows) <= MAX_BROADCAST_ROWS else table
 
 
 def hot_table(df: DataFrame, group: str, profile: GroupProfile) -> DataFrame:
@@ -94,8 +95,8 @@ def hot_table(df: DataFrame, group: str, profile: GroupProfile) -> DataFrame:
 def segment_bounds(df: DataFrame, group: str, order: str, profile: GroupProfile) -> DataFrame:
     """Boundaries ``(group, _coarse, _fine)`` of every oversized group, as a small broadcast table.
 
-    The boundaries are quantiles of a hash sample of the order column, collected once (at most about
-    ``2 * MAX_SEGMENTS`` values), so every later pass cuts at the same places.
+    The boundaries are quantiles of a hash sample of the order column, collected once (about one for
+    ``group_limit / 2`` rows of an oversized group), so every later pass cuts at the same places.
     """
     spark = df.sparkSession
     group_type, order_type = df.schema[group].dataType, df.schema[order].dataType
@@ -108,7 +109,8 @@ def segment_bounds(df: DataFrame, group: str, order: str, profile: GroupProfile)
     )
     sample = (
         df.select(group, order)
-        .join(local_table(spark, plan, schema), group)
+        .join(_named(local_table(spark, plan, schema), group), _same(group))
+        .drop("_of_group")
         .where(_in_sample(F.col("_every"), group, order))
         .groupBy(group)
         .agg(F.sort_array(F.collect_list(order)).alias("_s"), F.first("_segments").alias("_segments"))
@@ -134,6 +136,15 @@ def segment_bounds(df: DataFrame, group: str, order: str, profile: GroupProfile)
     return local_table(spark, rows, out)
 
 
+def _named(table: DataFrame, group: str) -> DataFrame:
+    return table.withColumnRenamed(group, "_of_group")
+
+
+def _same(group: str) -> Column:
+    """Equality of groups under which null is a group too."""
+    return F.col(group).eqNullSafe(F.col("_of_group"))
+
+
 def segment_number(order: str) -> Column:
     """Segment of a row joined with :func:`segment_bounds`: how many boundaries lie below it.
 
@@ -159,12 +170,12 @@ def number_rows(
         return df.withColumn(name, (F.row_number().over(in_group) - 1).cast("bigint"))
 
     spark = df.sparkSession
-    bounds = segment_bounds(df, group, order, profile)
+    bounds = _named(segment_bounds(df, group, order, profile), group)
     earlier = Window.partitionBy(group).orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
     # One row per segment of an oversized group: bounded by the number of boundaries.
     starts = (
         df.select(group, order)
-        .join(bounds, group)
+        .join(bounds, _same(group))
         .groupBy(group, segment_number(order).alias("_segment"))
         .count()
         .select(group, "_segment", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_start"))
@@ -175,16 +186,17 @@ def number_rows(
         .add("_segment", T.IntegerType())
         .add("_start", T.LongType())
     )
-    starts = local_table(spark, [tuple(r) for r in starts.collect()], schema)
+    starts = _named(local_table(spark, [tuple(r) for r in starts.collect()], schema), group)
+    starts = starts.withColumnRenamed("_segment", "_of_segment")
     in_segment = Window.partitionBy(group, "_segment").orderBy(order)
     return (
-        df.join(bounds, group, "left")
+        df.join(bounds, _same(group), "left")
         .withColumn("_segment", F.when(F.col("_fine").isNull(), 0).otherwise(segment_number(order)))
-        .drop("_coarse", "_fine")
+        .drop("_coarse", "_fine", "_of_group")
         .withColumn(name, (F.row_number().over(in_segment) - 1).cast("bigint"))
-        .join(starts, [group, "_segment"], "left")
+        .join(starts, _same(group) & (F.col("_segment") == F.col("_of_segment")), "left")
         .withColumn(name, F.col(name) + F.coalesce("_start", F.lit(0).cast("bigint")))
-        .drop("_segment", "_start")
+        .drop("_segment", "_start", "_of_group", "_of_segment")
     )
 
 

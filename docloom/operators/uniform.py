@@ -26,10 +26,12 @@ def apply_operation(
     *,
     expiry: int | str | None = None,
     broadcast_bytes: int = P.BROADCAST_BYTES,
+    unique_seq: bool = False,
 ) -> P.ApplyResult:
     """Apply ``op`` to ``docs(doc_id, seq, value)``; equal to ``apply_actions`` with that one operation.
 
-    ``value`` may be missing for DELETE and TOUCH. ``seq`` must be unique per key.
+    ``value`` may be missing for DELETE and TOUCH. ``seq`` must be given and unique per key: a narrow job
+    checks it and raises, unless ``unique_seq`` says that it is known.
     """
     op, expiry, as_of = A.parse_operation(op), A.parse_expiry(expiry), as_of_sql(as_of)
     value = "value" if "value" in docs.columns else "cast(null AS string) AS value"
@@ -37,8 +39,11 @@ def apply_operation(
     invalid = _with_outcome(docs.where(f"NOT {P.VALID_KEY}"), op, P.INVALID_KEY)
     rows = docs.where(P.VALID_KEY)
     if op == A.NONE:
-        return P.ApplyResult(store, _with_outcome(rows, op, P.IGNORED).union(invalid))
+        nothing = store.where("false").selectExpr("doc_id", "value", "expires_at", "false AS deleted")
+        return P.ApplyResult(store, _with_outcome(rows, op, P.IGNORED).union(invalid), nothing)
 
+    if not unique_seq:
+        P.check_seq(rows)
     # Counting first keeps a large feed from being read in full just to be measured.
     small = fits_broadcast(rows, broadcast_bytes, rows.count() if broadcast_bytes else 0)
     state = P.store_state(store, as_of)
@@ -49,15 +54,17 @@ def apply_operation(
     if op in (A.APPEND, A.PREPEND) and not small:
         # Do not gather pieces for keys that are not there.
         changing = rows.join(state.where("live").select("doc_id"), "doc_id", "left_semi")
-    new_store = P.write_changes(
+    new_store, changed = P.write_changes(
         store,
         _changes(changing, op, expiry),
         as_of,
+        rows,
         small=small,
+        split_by_keys=broadcast_bytes > 0,
         applies="true" if op == A.SET else "NOT live" if op == A.ADD else "live",
         inserts=op in (A.SET, A.ADD),
     )
-    return P.ApplyResult(new_store, _outcomes(rows, state, op).union(invalid))
+    return P.ApplyResult(new_store, _outcomes(rows, state, op).union(invalid), changed)
 
 
 def _with_outcome(rows: DataFrame, op: str, outcome: str) -> DataFrame:

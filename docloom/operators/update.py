@@ -21,6 +21,7 @@ from docloom.operators.skew import (
     segment_bounds,
     segment_number,
 )
+from docloom.operators.views import asked_for
 from docloom.sources.tables import materialize, scratch_dir
 
 Merge = Callable[[Column, Column], Column]
@@ -59,6 +60,7 @@ def lookup_documents(
     keyless = rows.where("doc_id IS NULL").withColumn("existing", F.lit(None).cast("string"))
     keyed = rows.where("doc_id IS NOT NULL")
     profile = profile_groups(keyed, "doc_id", max_group_rows=max_group_rows)
+    documents = asked_for(documents, keyed, broadcast_bytes)
     if not profile.hot:
         return keyed.join(documents, "doc_id", "left").select(columns).union(keyless)
 

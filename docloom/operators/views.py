@@ -78,7 +78,7 @@ def scan_view(
     partitions of the listed keys. A list is broadcast only if it measures little, and then the view is
     neither shuffled nor sorted; a longer list becomes a shuffled join, where adaptive execution splits a
     key that is too large. With ``store``, documents are looked up by ID and a missing document gives a
-    null ``value``.
+    null ``value``; the IDs are measured, and if they are few only their documents leave the store.
     """
     extra = [c for c in keys.columns if c not in view.columns]
     wanted = keys.select("view_key", *extra)
@@ -98,10 +98,21 @@ def scan_view(
     rows = view.join(wanted, ["view_key", *parts])
     if store is None:
         return rows
-    documents = store.select("doc_id", "value")
+    documents = asked_for(store.select("doc_id", "value"), rows, broadcast_bytes)
     return (rows.drop("value") if "value" in rows.columns else rows).join(documents, "doc_id", "left")
 
 
+def asked_for(documents: DataFrame, rows: DataFrame, broadcast_bytes: int = MAX_BROADCAST_KEY_BYTES) -> DataFrame:
+    """The documents whose ID occurs in ``rows``, or all of them if the distinct IDs measure too much to broadcast.
+
+    The filter stands before any shuffle, so a lookup of some IDs moves their documents only.
+    """
+    ids = rows.where(F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    if not fits_broadcast(ids, broadcast_bytes):
+        return documents
+    return documents.join(F.broadcast(ids), "doc_id", "left_semi")
+
+
 def _few_keys(keys: DataFrame, max_bytes: int) -> Column | None:
     """Filter that a view row must pass to have a listed key, or None for a list that is not short.
 
@@ -120,8 +131,11 @@ def _few_keys(keys: DataFrame, max_bytes: int) -> Column | None:
 
 
 def sample_view(view: DataFrame, part: str, parts_to_read: int) -> DataFrame:
-    """Sample by the partition component of the key: keep its first ``parts_to_read`` numbers."""
-    return view.where(F.col(part).cast("int") < parts_to_read)
+    """Sample by the partition component of the key: keep its first ``parts_to_read`` numbers.
+
+    A part that is not a number is in no sample.
+    """
+    return view.where(F.col(part).try_cast("int") < parts_to_read)
 
 
 def documents_of(rows: DataFrame) -> DataFrame:

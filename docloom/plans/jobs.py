@@ -13,7 +13,7 @@ from docloom.operators.metrics import outcome_counters, reject_counters, update_
 from docloom.operators.paging import page_rows
 from docloom.operators.uniform import apply_operation
 from docloom.operators.update import Merge, update_documents
-from docloom.operators.views import documents_of, missing_documents, scan_view, to_cells
+from docloom.operators.views import asked_for, documents_of, missing_documents, scan_view, to_cells
 from docloom.sinks.cells import write_cells
 from docloom.sinks.store import current_store, save_result
 from docloom.sinks.text import write_kv_text, write_pages
@@ -88,7 +88,8 @@ def import_view_paged(
     rows = scan_keys(view, key_spec, num_chunks=num_chunks)
     paged = page_rows(rows, page_size)
     if store is not None:
-        paged = paged.join(store.select("doc_id", "value"), "doc_id", "left")
+        documents = asked_for(store.select("doc_id", "value"), rows)
+        paged = paged.join(documents, "doc_id", "left")
     present = paged.where(paged["value"].isNotNull())
     write_pages(present, path, separator=separator, escape=escape)
     return ImportReport(paged, missing_documents(paged))
@@ -119,7 +120,7 @@ def export_lines(
         read_lines(spark, path), op, expiry, delimiter=delimiter, literal=literal, escaped=escaped
     )
     saved = save_result(
-        apply_operation(current_store(spark, root), lines.actions, op, as_of, expiry=expiry), root
+        apply_operation(current_store(spark, root), lines.actions, op, as_of, expiry=expiry, unique_seq=True), root
     )
     counters = outcome_counters(saved.outcomes).union(reject_counters(lines.rejects))
     return ExportReport(saved.version, saved.outcomes, lines.rejects, counters)

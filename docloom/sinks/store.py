@@ -6,6 +6,7 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from docloom.operators.apply import ApplyResult, apply_actions
 from docloom.schemas import STORE
@@ -38,21 +39,19 @@ def save_actions(actions: DataFrame, root: str, as_of: dt.datetime | str, **opti
 
 
 def merge_into_table(result: ApplyResult, table: str) -> None:
-    """Bring a catalog table that supports row-level changes to the new state of the store.
+    """Bring a catalog table that supports row-level writes to the new state of the store, by its changes only.
 
     Plain Parquet tables do not support this; write a snapshot for those.
     """
-    spark = result.store.sparkSession
-    target = spark.table(table).schema.names
-    source = result.store.select(*target)
+    values = {c: F.col(f"new.{c}") for c in STORE.names}
     (
-        source.alias("new")
-        .mergeInto(table, source["doc_id"] == spark.table(table)["doc_id"])
-        .whenMatched()
-        .updateAll()
-        .whenNotMatched()
-        .insertAll()
-        .whenNotMatchedBySource()
+        result.changes.alias("new")
+        .mergeInto(table, F.col(f"{table}.doc_id") == F.col("new.doc_id"))
+        .whenMatched(F.col("new.deleted"))
         .delete()
+        .whenMatched()
+        .update(values)
+        .whenNotMatched(~F.col("new.deleted"))
+        .insert(values)
         .merge()
     )

@@ -34,16 +34,25 @@ def write_kv_text(
 def parse_kv_lines(
     lines: DataFrame, line: str = "value", *, separator: str = "\t", escaped: bool = True
 ) -> DataFrame:
-    """``(doc_id, value)`` of key-value lines: the key ends at the first separator."""
+    """``(doc_id, value)`` of key-value lines: the key ends at the first separator.
+
+    A line without separator is no document; ``bad_kv_lines`` counts those.
+    """
     undo = unescape_text if escaped else (lambda c: c)
     at = F.instr(F.col(line), separator)
     end = F.length(line)
-    return lines.select(
+    return lines.where(at > 0).select(
         undo(F.substring(F.col(line), F.lit(1), at - 1)).alias("doc_id"),
         undo(F.substring(F.col(line), at + len(separator), end)).alias("value"),
     )
 
 
+def bad_kv_lines(lines: DataFrame, line: str = "value", *, separator: str = "\t") -> DataFrame:
+    """Count of lines without separator, as a metrics row."""
+    bad = F.count_if(~F.contains(F.col(line), F.lit(separator)))
+    return lines.agg(bad.alias("value")).select(F.lit("LINES_WITHOUT_SEPARATOR").alias("counter"), "value")
+
+
 def read_kv_text(
     spark: SparkSession, path: str, *, separator: str = "\t", escaped: bool = True
 ) -> DataFrame:

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docloom.operators.views import key_parts
@@ -16,15 +16,10 @@ _SNAPSHOT = re.compile(r"snapshot-(\d{8})")
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder under the cluster's shared ``spark.checkpoint.dir``.
-
-    Only a local session without that setting falls back to a temporary folder of this machine.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    """A new folder under the cluster's shared ``spark.checkpoint.dir``, or under the checkpoint folder set in code."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="docloom-")
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -45,27 +40,33 @@ def _hadoop_path(spark: SparkSession, path: str):
     return hadoop_path, hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def snapshot_versions(spark: SparkSession, root: str) -> list[int]:
-    """Numbers of the complete snapshots of a store, ascending."""
+def _snapshot_folders(spark: SparkSession, root: str) -> dict[int, bool]:
+    """Number of every snapshot folder, and whether the snapshot is complete."""
     path, fs = _hadoop_path(spark, root)
     if not fs.exists(path):
-        return []
-    versions = []
+        return {}
+    found = {}
     for status in fs.listStatus(path):
         match = _SNAPSHOT.fullmatch(status.getPath().getName())
-        if match and fs.exists(_hadoop_path(spark, f"{status.getPath().toString()}/_SUCCESS")[0]):
-            versions.append(int(match.group(1)))
-    return sorted(versions)
+        if match:
+            found[int(match.group(1))] = fs.exists(_hadoop_path(spark, f"{status.getPath().toString()}/_SUCCESS")[0])
+    return found
+
+
+def snapshot_versions(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the complete snapshots of a store, ascending."""
+    return sorted(n for n, complete in _snapshot_folders(spark, root).items() if complete)
 
 
 def write_snapshot(store: DataFrame, root: str) -> int:
     """Write a store as the next snapshot under ``root`` and return its number.
 
     A snapshot counts only once Spark has put its success marker, so readers never see half a store and
-    the snapshot the new one was computed from is never touched.
+    the snapshot the new one was computed from is never touched. The number of a write that broke off is
+    not used again.
     """
     spark = store.sparkSession
-    version = max(snapshot_versions(spark, root), default=0) + 1
+    version = max(_snapshot_folders(spark, root), default=0) + 1
     conform(store, STORE).write.mode("errorifexists").parquet(f"{root.rstrip('/')}/snapshot-{version:08d}")
     return version
 
@@ -93,13 +94,15 @@ def save_bucketed_store(store: DataFrame, table: str, buckets: int, *, mode: str
 def write_view(view: DataFrame, path: str, *, mode: str = "errorifexists") -> None:
     """Store a view, partitioned by its key parts if it has them.
 
-    The rows are brought together by partition, and by document within it, so that a partition is written
+    A folder name can be neither empty nor null, so a part is stored with a letter before it. The rows are brought together by partition, and by document within it, so that a partition is written
     in few files yet a large one is spread over many tasks.
     """
     parts = key_parts(view)
     if not parts:
         view.write.mode(mode).parquet(path)
         return
+    named = {p: F.when(F.col(p).isNull(), "n").otherwise(F.concat(F.lit("v"), p)) for p in parts}
+    view = view.withColumns(named)
     view.repartitionByRange(*parts, "doc_id").write.mode(mode).partitionBy(*parts).parquet(path)
 
 
@@ -109,7 +112,9 @@ def read_view(spark: SparkSession, path: str) -> DataFrame:
     schema = T.StructType(
         [T.StructField(f.name, T.StringType() if _is_part(f.name) else f.dataType) for f in found]
     )
-    return spark.read.schema(schema).parquet(path)
+    view = spark.read.schema(schema).parquet(path)
+    parts = [f.name for f in schema if _is_part(f.name)]
+    return view.withColumns({p: F.when(F.col(p) != "n", F.substring(p, 2, 1 << 30)) for p in parts})
 
 
 def _is_part(name: str) -> bool:

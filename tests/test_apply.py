@@ -151,3 +151,38 @@ def test_bucketed_store_is_not_shuffled(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange hashpartitioning") == 1
     assert "SortMergeJoin" in plan
+
+
+@pytest.mark.parametrize("op", ["SET", "ADD", "APPEND", "DELETE", None])
+def test_ties_and_missing_seq_are_errors(spark, op):
+    store = spark.createDataFrame([("a", "x", None)], STORE)
+    for seqs in ((3, 3), (None, 4)):
+        rows = [("a", s, op or "SET", "v", 0) for s in seqs]
+        actions = spark.createDataFrame(rows, ACTIONS)
+        for read in ("store", "outcomes"):
+            with pytest.raises(Exception, match="seq"):
+                done = apply_operation(store, actions, op, AS_OF) if op else apply_actions(store, actions, AS_OF)
+                getattr(done, read).collect()
+
+
+@pytest.mark.parametrize("limit", [0, 1, 1 << 20], ids=["shuffle", "split", "broadcast"])
+def test_changes_lead_from_the_old_store_to_the_new(spark, limit):
+    for seed in (1, 2):
+        old, actions = frames(spark, *random_case(seed))
+        results = [apply_actions(old, actions, AS_OF, broadcast_bytes=limit)]
+        per_key = actions.where("op = 'SET' AND doc_id != ''").dropDuplicates(["doc_id"])
+        results += [apply_operation(old, per_key, op, AS_OF, broadcast_bytes=limit) for op in ("SET", "ADD", "APPEND", "DELETE", "TOUCH")]
+        for result in results:
+            after = stored(old)
+            for r in result.changes.select("doc_id", "value", F.unix_seconds("expires_at").alias("e"), "deleted").collect():
+                after.pop(r["doc_id"], None)
+                if not r["deleted"]:
+                    after[r["doc_id"]] = (r["value"], r["e"])
+            assert after == stored(result.store)
+
+
+def test_documents_that_no_action_names_are_not_shuffled(spark):
+    store = spark.range(500).selectExpr("concat('k', id) AS doc_id", "'v' AS value", "cast(null AS timestamp) AS expires_at")
+    actions = spark.createDataFrame([(f"k{i}", i, "SET", "w", 0) for i in range(20)], ACTIONS)
+    plan = apply_actions(store, actions, AS_OF, broadcast_bytes=1).store._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "Union" in plan

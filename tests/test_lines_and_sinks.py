@@ -108,6 +108,9 @@ def test_snapshots(spark, tmp_path):
     assert read_snapshot(spark, root).first()["value"] == "x"
     with pytest.raises(FileNotFoundError):
         read_snapshot(spark, root, 2)
+    more = spark.createDataFrame([("b", 1, "SET", "y", 0)], ACTIONS)
+    assert save_actions(more, root, AS_OF).version == 3
+    assert snapshot_versions(spark, root) == [1, 3] and read_snapshot(spark, root).count() == 2
     with pytest.raises(ValueError):
         conform(actions, STORE)
 

@@ -9,7 +9,14 @@ from docloom.operators.keys import plan_keys
 from docloom.operators.metrics import import_profile
 from docloom.operators.paging import assign_batches, page_rows
 from docloom.operators.skew import number_rows, profile_groups, running_total
-from docloom.operators.views import define_view, documents_of, missing_documents, scan_view, to_cells
+from docloom.operators.views import (
+    define_view,
+    documents_of,
+    missing_documents,
+    sample_view,
+    scan_view,
+    to_cells,
+)
 from docloom.plans.jobs import import_view, import_view_paged, import_view_to_cells
 from docloom.schemas import STORE
 from docloom.sinks.cells import read_cells
@@ -26,14 +33,14 @@ def click_view(docs, **options):
 
 
 def test_click_document(spark):
-    body = '{"button":"Download","xCoord":23,"yCoord":46}'
+    body = '{"target":"menu","depth":3}'
     docs = spark.createDataFrame(
-        [("click::johnny::1404736126", body), ("click::j::1404736126", "no json"), ("x", body)],
+        [("click::ada::1583020801", body), ("click::j::1583020801", "no json"), ("x", body)],
         "doc_id string, value string",
     )
     rows = click_view(docs).collect()
     assert [(r["view_key"], r["k0"], r["k1"], r["doc_id"]) for r in rows] == [
-        ('["20140707",0]', "20140707", "0", "click::johnny::1404736126")
+        ('["20200301",1]', "20200301", "1", "click::ada::1583020801")
     ]
 
 
@@ -86,7 +93,7 @@ def test_stored_view_keeps_leading_zeros_and_is_pruned(spark, tmp_path):
     rows = scan_view(read_view(spark, path), keys)
     assert rows.count() == 10
     plan = rows._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(k0" in plan and "(k0#" in plan and "BroadcastHashJoin" in plan
+    assert "PartitionFilters: [CASE WHEN NOT (k0#" in plan and "BroadcastHashJoin" in plan
     files = {r[0] for r in rows.select(F.input_file_name()).collect()}
     assert len(files) == 1 and "k0=001" in files.pop()
 
@@ -199,3 +206,41 @@ def test_import_to_pages(spark, store, tmp_path, include_docs):
         lines = open(os.path.join(path, folder, files[0])).read().splitlines()
         assert len(lines) <= 16 and lines == sorted(lines)
     assert read_kv_text(spark, path).count() == report.rows.count()
+
+
+def test_stored_view_keeps_odd_parts(spark, tmp_path):
+    parts = ["", None, "null", "a/b", "k0=x", 'q"t', "v", "n", " ", "%20"]
+    docs = spark.createDataFrame([(f"d{i}", "1", p) for i, p in enumerate(parts)], "doc_id string, value string, p string")
+    view = define_view(docs, [F.col("p"), F.lit(1)])
+    write_view(view, str(tmp_path / "v"))
+    stored = read_view(spark, str(tmp_path / "v"))
+    columns = ["view_key", "k0", "k1", "doc_id"]
+    assert sorted(map(tuple, stored.select(columns).collect())) == sorted(map(tuple, view.select(columns).collect()))
+    keys = view.select("view_key")
+    for found in (scan_view(stored, keys), scan_view(stored, keys, broadcast_bytes=0)):
+        assert sorted(r["doc_id"] for r in found.collect()) == sorted(f"d{i}" for i in range(len(parts)))
+    null_part = view.withColumn("k0", F.lit(None).cast("string"))
+    write_view(null_part, str(tmp_path / "n"))
+    assert {r["k0"] for r in read_view(spark, str(tmp_path / "n")).collect()} == {None}
+
+
+def test_sample_leaves_out_what_is_no_number(spark):
+    view = spark.createDataFrame([("a", "1"), ("b", None), ("c", "null"), ("d", "7")], "doc_id string, k1 string")
+    assert [r["doc_id"] for r in sample_view(view, "k1", 3).collect()] == ["a"]
+
+
+def test_a_lookup_of_few_ids_moves_their_documents_only(spark):
+    store = spark.range(1000).selectExpr("cast(id AS string) AS doc_id", "repeat('x', 50) AS value")
+    view = spark.createDataFrame([("k", "5"), ("k", "6"), ("k", "none")], "view_key string, doc_id string")
+    keys = spark.createDataFrame([("k",)], "view_key string")
+    found = scan_view(view, keys, store)
+    assert {r["doc_id"]: r["value"] is not None for r in found.collect()} == {"5": True, "6": True, "none": False}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan
+    assert sorted(map(tuple, scan_view(view, keys, store, broadcast_bytes=0).collect())) == sorted(map(tuple, found.collect()))
+
+
+def test_a_null_group_is_cut_too(spark):
+    rows = spark.range(900).selectExpr("if(id % 9 < 8, null, id) AS g", "id")
+    numbered = number_rows(rows, "g", "id", max_group_rows=50).where("g IS NULL").orderBy("id").collect()
+    assert [r["row_no"] for r in numbered] == list(range(800))
