@@ -432,6 +432,7 @@ UNION ALL
 SELECT r.doc_id, r.value, r.e FROM run r JOIN final f ON f.doc_id = r.doc_id AND f.rn = r.rn
 WHERE r.value IS NOT NULL
 """
+ORACLES["update_python_merge"] = ORACLES["update_sequential"]
 ORACLES["update_summary"] = f"""{SEQUENTIAL}
 SELECT doc_id, CAST(sum(stored) AS BIGINT) AS stored, CAST(0 AS BIGINT) AS already_exists, CAST(0 AS BIGINT) AS missing,
        CAST(0 AS BIGINT) AS missing_touched, CAST(sum(ignored) AS BIGINT) AS ignored

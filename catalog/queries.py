@@ -18,6 +18,7 @@ from docloom.operators.apply import ApplyResult, apply_actions, apply_to, live_d
 from docloom.operators.existence import existence_counts, existing_keys, key_existence, missing_keys
 from docloom.operators.gate import failed_share
 from docloom.operators.keys import expand_keys, plan_keys
+from docloom.operators.merging import update_in_order
 from docloom.operators.paging import assign_batches, page_rows
 from docloom.operators.uniform import apply_operation
 from docloom.operators.update import merge_actions, update_documents
@@ -386,6 +387,24 @@ def update_sequential(spark, sf_dir):
     return t.store_rows(_sequential(spark, sf_dir).store)
 
 
+def _in_order_by_hand(payload: dict, existing: str | None) -> tuple[str, str | None, int] | None:
+    text = f"v{payload['event_id']};"
+    failed = payload["event_type"] == "error"
+    if existing is None:
+        return None if failed else (A.ADD, text, 60)
+    if failed:
+        return A.DELETE, None, 0
+    return (A.REPLACE if len(existing) > 40 else A.APPEND), text, 0
+
+
+@query
+def update_python_merge(spark, sf_dir):
+    """The same merge as a Python function, streamed in key order."""
+    source = t.load(spark, sf_dir, "events").select(F.expr(t.USER_KEY).alias("doc_id"), "event_id", "event_type")
+    profiles = t.profile_store(spark, sf_dir)
+    return t.store_rows(update_in_order(profiles, source, _in_order_by_hand, t.AS_OF, order_by="event_id").store)
+
+
 @query
 def update_summary(spark, sf_dir):
     return _sequential(spark, sf_dir).summary

@@ -7,6 +7,7 @@ from conftest import AS_OF, AS_OF_TIME
 from docloom.functions import actions as A
 from docloom.operators.apply import apply_actions
 from docloom.operators.existence import existence_counts, existing_keys, key_existence, missing_keys
+from docloom.operators.merging import update_in_order
 from docloom.operators.metrics import update_counters
 from docloom.operators.update import lookup_documents, merge_actions, update_documents
 from docloom.schemas import STORE
@@ -135,3 +136,43 @@ def test_existence(spark):
     assert {tuple(r) for r in existence_counts(split).collect()} == {(True, 1, 2), (False, 2, 2)}
     assert existing_keys(keys, store_of(spark), AS_OF).count() == 2
     assert {r["doc_id"] for r in missing_keys(keys, store_of(spark), AS_OF).collect()} == {"x", "dead", None}
+
+
+def choose(payload, existing):
+    """An action that depends on the payload and on what is there, as a Python function."""
+    kind = payload["n"] % 9
+    text = f"{payload['n']}:{len(existing or '')};"
+    return None if kind == 8 else (A.OPERATIONS[kind % len(A.OPERATIONS)], text, payload["n"] % 3)
+
+
+@pytest.mark.parametrize("keys", [0, 64 << 20], ids=["shuffle", "broadcast"])
+def test_python_merge_streams_in_order(spark, monkeypatch, keys):
+    monkeypatch.setattr("docloom.operators.merging.KEY_BROADCAST_BYTES", keys)
+    monkeypatch.setattr("docloom.operators.merging._BATCH_ROWS", 3)
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "a", "a", "b", "dead", "", None, "n1", "n2", "n3", "n4"]), n) for n in range(300)]
+    store = store_of(spark, STORED | {"untouched": ("same", None)})
+    source = spark.createDataFrame(rows, "doc_id string, n long").repartition(4)
+    result = update_in_order(store, source, choose, AS_OF, order_by="n")
+    want, counted = {k: v for k, (v, e) in STORED.items() if e is None}, 0
+    for key, n in rows:
+        if key:
+            counted += 1
+            op, text, _ = choose({"n": n}, want.get(key)) or (A.NONE, None, 0)
+            old = want.get(key)
+            if op == A.SET or op == A.ADD and old is None or op == A.REPLACE and old is not None:
+                want[key] = text
+            elif old is not None and op in (A.APPEND, A.PREPEND):
+                want[key] = old + text if op == A.APPEND else text + old
+            elif op == A.DELETE:
+                want.pop(key, None)
+    assert contents(result.store) == want | {"untouched": "same"}
+    totals = result.summary.select("stored", "already_exists", "missing", "ignored").groupBy().sum().first()
+    assert sum(totals) == counted
+    assert {r["doc_id"] for r in result.summary.collect()} == {k for k, _ in rows if k}
+
+
+def test_python_merge_refuses_a_negative_expiry(spark):
+    source = spark.createDataFrame([("a", 1)], "doc_id string, n long")
+    with pytest.raises(Exception, match="negative expiry"):
+        update_in_order(store_of(spark), source, lambda p, old: (A.SET, "x", -1), AS_OF, order_by="n").store.collect()
