@@ -130,6 +130,51 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op3_chat": r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS said FROM conversations
+  UNION ALL SELECT -1, i, CASE i WHEN 0 THEN 'user' ELSE 'assistant' END, '<|im_end|><|im_start|>assistant ok' FROM range(2) r(i)
+), counted AS (
+  SELECT *, len(regexp_extract_all(said, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]')) + 4 AS tokens,
+    24 + length(regexp_replace(role, '<(\\*)\|', '<\\\1|', 'g'))
+      + length(regexp_replace(said, '<(\\*)\|', '<\\\1|', 'g')) AS chars,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn, role) AS rn, count(*) OVER (PARTITION BY conv_id) AS n
+  FROM turns
+), headed AS (
+  SELECT *, rn = 1 AND n > 1 AND role = 'system' AS is_head,
+    max(CASE WHEN rn = 1 AND n > 1 AND role = 'system' THEN tokens END) OVER (PARTITION BY conv_id) AS head,
+    max(CASE WHEN rn = 1 AND n > 1 AND role = 'system' THEN chars END) OVER (PARTITION BY conv_id) AS head_chars
+  FROM counted
+), strides AS (
+  SELECT *, greatest((512 - coalesce(head, 0)) // 2, 1) AS stride,
+    CASE WHEN tokens > greatest((512 - coalesce(head, 0)) // 2, 1) THEN 1 ELSE 0 END AS long
+  FROM headed WHERE NOT is_head
+), summed AS (
+  SELECT *, coalesce(sum(tokens) OVER earlier, 0) AS before, coalesce(sum(long) OVER earlier, 0) AS long_before FROM strides
+  WINDOW earlier AS (PARTITION BY conv_id ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), spanned AS (
+  SELECT *, min(before) OVER span AS starts_at, sum(tokens) OVER span AS new_tokens FROM summed
+  WINDOW span AS (PARTITION BY conv_id, before // stride, 2 * long_before + long)
+), spans AS (
+  SELECT conv_id, starts_at, any_value(new_tokens) AS new_tokens, any_value(head_chars) AS head_chars, sum(chars) AS chars,
+    least(128, 512 - coalesce(any_value(head), 0) - any_value(new_tokens)) AS room
+  FROM spanned GROUP BY conv_id, starts_at
+), again AS (
+  SELECT w.conv_id, sum(w.chars) AS chars FROM spanned w
+  JOIN spans s ON s.conv_id = w.conv_id AND s.starts_at = w.starts_at + w.new_tokens AND s.starts_at - w.before <= s.room
+  GROUP BY w.conv_id
+), windows AS (
+  SELECT conv_id, count(*) AS n_windows, sum(chars + coalesce(head_chars, 0)) AS chars FROM spans GROUP BY conv_id
+), digests AS (
+  SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || said || chr(10), '' ORDER BY rn)) AS turns_sha256,
+    coalesce(string_agg(CASE WHEN role = 'assistant' THEN said END, '' ORDER BY rn), '') AS loss
+  FROM counted GROUP BY conv_id
+)
+SELECT d.conv_id, d.n_turns, d.turns_sha256, length(d.loss) AS loss_chars, sha256(d.loss) AS loss_sha256,
+  CAST(w.chars + coalesce(a.chars, 0) AS BIGINT) AS formatted_chars, w.n_windows
+FROM digests d JOIN windows w ON w.conv_id = d.conv_id LEFT JOIN again a ON a.conv_id = d.conv_id
+""",
     "op4_mix": r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
