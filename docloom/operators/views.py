@@ -150,17 +150,21 @@ def missing_documents(rows: DataFrame) -> DataFrame:
     ).select(F.lit("ROWS_WITHOUT_DOCUMENT").alias("counter"), "value")
 
 
-def to_cells(rows: DataFrame, family: str, qualifier: str, *, order: str | None = None) -> DataFrame:
+def to_cells(
+    rows: DataFrame, family: str, qualifier: str, *, order: str | None = None, unique: bool = False
+) -> DataFrame:
     """Cells ``(row_key, family, qualifier, value)``; of several values for one row key the last one stays.
 
     ``order`` tells which value is last. The reduction is an aggregate with partial results per input
-    partition, so many copies of one document do not meet in one task.
+    partition, so many copies of one document do not meet in one task. Rows with ``unique`` IDs need none.
     """
     if not family or not qualifier:
         raise ValueError("family and qualifier are both required")
     kept = rows.where(F.col("doc_id").isNotNull() & F.col("value").isNotNull())
-    latest = F.max_by("value", order) if order else F.max("value")
-    return kept.groupBy("doc_id").agg(latest.alias("value")).select(
+    if not unique:
+        latest = F.max_by("value", order) if order else F.max("value")
+        kept = kept.groupBy("doc_id").agg(latest.alias("value"))
+    return kept.select(
         F.encode("doc_id", "UTF-8").alias("row_key"),
         F.lit(family).alias("family"),
         F.lit(qualifier).alias("qualifier"),

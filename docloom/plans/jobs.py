@@ -18,7 +18,7 @@ from docloom.sinks.cells import write_cells
 from docloom.sinks.store import current_store, save_result
 from docloom.sinks.text import write_kv_text, write_pages
 from docloom.sources.lines import parse_action_lines, read_lines
-from docloom.sources.tables import write_snapshot
+from docloom.sources.tables import materialize, write_snapshot
 
 
 @dataclass(frozen=True)
@@ -63,10 +63,19 @@ def import_view_to_cells(
     *,
     num_chunks: int | None = None,
 ) -> ImportReport:
-    """Write the documents of the listed keys as a cell table."""
-    rows = scan_keys(view, key_spec, store, num_chunks=num_chunks)
-    write_cells(to_cells(rows, family, qualifier, order="key_ord"), path)
-    return ImportReport(rows, missing_documents(rows))
+    """Write the documents of the listed keys as a cell table.
+
+    With a store, IDs are made distinct before their documents are looked up, so no document is reduced.
+    """
+    rows = scan_keys(view, key_spec, num_chunks=num_chunks)
+    if store is None:
+        write_cells(to_cells(rows, family, qualifier, order="key_ord"), path)
+        return ImportReport(rows, missing_documents(rows))
+    documents = asked_for(store.select("doc_id", "value"), rows)
+    ids = rows.where(rows["doc_id"].isNotNull()).select("doc_id").distinct()
+    write_cells(to_cells(ids.join(documents, "doc_id"), family, qualifier, unique=True), path)
+    found = (rows.drop("value") if "value" in rows.columns else rows).join(documents, "doc_id", "left")
+    return ImportReport(found, missing_documents(found))
 
 
 def import_view_paged(
@@ -115,12 +124,16 @@ def export_lines(
     literal: bool = False,
     escaped: bool = False,
 ) -> ExportReport:
-    """Apply a delimited file with one operation to the store under ``root``; writes the next snapshot."""
+    """Apply a delimited file with one operation to the store under ``root``; writes the next snapshot.
+
+    The lines are parsed once, into the shared scratch folder; what follows reads the columns it needs from there.
+    """
     lines = parse_action_lines(
         read_lines(spark, path), op, expiry, delimiter=delimiter, literal=literal, escaped=escaped
     )
+    actions = materialize(lines.actions, "export-actions")
     saved = save_result(
-        apply_operation(current_store(spark, root), lines.actions, op, as_of, expiry=expiry, unique_seq=True), root
+        apply_operation(current_store(spark, root), actions, op, as_of, expiry=expiry, unique_seq=True), root
     )
     counters = outcome_counters(saved.outcomes).union(reject_counters(lines.rejects))
     return ExportReport(saved.version, saved.outcomes, lines.rejects, counters)
