@@ -15,13 +15,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.common import dropped, stored, with_columns
-from docloom.llm.tokens import WordHashes, factors, groups, mixed
+from docloom.llm.tokens import WordHashes, factors, mixed, runs
 
 _WORD = re.compile(r"\w+")
 #: Hashes are first looked up in a bit table of this many bits.
 _FILTER_BITS = 24
-#: Words looked at together.
-_TOGETHER = 200_000
+#: Characters of text looked at together.
+_TOGETHER = 1_000_000
 
 
 def words(text: str | None) -> list[bytes]:
@@ -106,9 +106,8 @@ def overlap(doc: np.ndarray, item: np.ndarray, shift: int, window: int, similari
 def search(texts: list[str | None], seeds: Seeds, hashed: WordHashes, window: int, similarity: float) -> list[dict[int, int]]:
     """For each text the items found in it, by number, with the most words that agree."""
     found: list[dict[int, int]] = [{} for _ in texts]
-    held = [words(t) for t in texts]
-    for run in groups([len(x) for x in held], _TOGETHER):
-        parts = [hashed.of(held[i]) for i in run]
+    for run in runs(texts, _TOGETHER):
+        parts = [hashed.of(words(texts[i])) for i in run]
         starts = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
         joined = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
         tried = set()

@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from docloom.llm.common import components, dropped, stored, with_columns
 from docloom.llm.sharding import text_key
-from docloom.llm.tokens import WordHashes, groups, mixed, plain_words, shingles
+from docloom.llm.tokens import WordHashes, mixed, plain_words, runs, shingles
 
-#: Shingles looked at together.
-_TOGETHER = 200_000
+#: Characters of text looked at together.
+_TOGETHER = 1_000_000
 #: Members of a band that all others are compared with, round by round; in the last round each with each.
 _PIVOTS = (1, 8, None)
 #: One-bit registers of a fingerprint, and the standard deviations it may lie under what the threshold lets expect.
@@ -58,12 +58,12 @@ def weighted_shingles(words: list[bytes], n: int, hashed: WordHashes) -> tuple[n
 
 def band_keys(texts: list[str | None], n: int, bands: int, rows: int, hashed: WordHashes) -> list[np.ndarray | None]:
     """A hash for each band of a text's signature; None for a text without words."""
-    words = [plain_words(t) for t in texts]
     out: list[np.ndarray | None] = [None] * len(texts)
-    for run in groups([len(w) for w in words], _TOGETHER):
-        held = [i for i in run if words[i]]
+    for run in runs(texts, _TOGETHER):
+        words = {i: w for i in run if (w := plain_words(texts[i]))}
+        held = list(words)
         if held:
-            found = signatures([weighted_shingles(words[i], n, hashed) for i in held], bands * rows)
+            found = signatures([weighted_shingles(w, n, hashed) for w in words.values()], bands * rows)
             parts = found.reshape(len(held), bands, rows)
             keys = np.repeat(mixed(np.arange(bands, dtype=np.uint64))[None, :], len(held), axis=0)
             for r in range(rows):
@@ -75,10 +75,9 @@ def band_keys(texts: list[str | None], n: int, bands: int, rows: int, hashed: Wo
 
 def fingerprints(texts: list[str | None], n: int, hashed: WordHashes) -> list[np.ndarray]:
     """One bit of each register of a large signature of the distinct shingles, packed into longs."""
-    words = [plain_words(t) for t in texts]
     out: list[np.ndarray] = []
-    for run in groups([len(w) for w in words], _TOGETHER):
-        sets = [np.unique(shingles(hashed.of(words[i]), n)) for i in run]
+    for run in runs(texts, _TOGETHER):
+        sets = [np.unique(shingles(hashed.of(plain_words(texts[i])), n)) for i in run]
         found = signatures([(s, np.ones(len(s))) for s in sets], _BITS)
         bits = (mixed(found) & np.uint64(1)).astype(np.uint8)
         out += list(np.packbits(bits, axis=1).view(np.int64))

@@ -8,7 +8,7 @@ import numpy as np
 import xxhash
 
 #: Hashes kept at a time; beyond that they are computed anew.
-_KEPT = 1 << 19
+_KEPT = 1 << 17
 
 
 class WordHashes(dict):
@@ -53,13 +53,14 @@ def shingles(words: np.ndarray, n: int) -> np.ndarray:
     return mixed(total)
 
 
-def groups(sizes: list[int], most: int) -> Iterator[range]:
-    """Runs of neighbours of about ``most`` in all; one that is larger alone stands alone."""
+def runs(texts: list[str | None], most: int) -> Iterator[range]:
+    """Neighbouring texts of about ``most`` characters in all; one that is longer stands alone."""
     start, total = 0, 0
-    for i, n in enumerate(sizes):
+    for i, text in enumerate(texts):
+        n = len(text or "")
         if total and total + n > most:
             yield range(start, i)
             start, total = i, 0
         total += n
-    if start < len(sizes):
-        yield range(start, len(sizes))
+    if start < len(texts):
+        yield range(start, len(texts))
