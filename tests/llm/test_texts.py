@@ -145,12 +145,12 @@ def test_page_query_by_pattern(spark, sf_dir):
 
 
 def test_quality_of_held_out_rows(spark, sf_dir):
-    sf_dir = sf_dir.replace("sf0.001", "sf0.01")
+    sf_dir = sf_dir.replace("sf0.001", "sf0.1")  # sf0.01 has 94 held-out labels
     got = op8_quality(spark, sf_dir)
     assert got.count() == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     right = got.where("held_out").join(labels, "doc_id").select((F.col("predicted") == F.col("quality")).cast("int").alias("ok"))
-    assert right.agg(F.avg("ok")).first()[0] >= 0.95
+    assert right.agg(F.avg("ok")).first()[0] >= 0.98
     assert got.where("score < 0 OR score > 1 OR score IS NULL OR (score >= 0.7) <> (predicted = 1)").count() == 0
 
 
