@@ -95,7 +95,7 @@ def test_stored_view_keeps_leading_zeros_and_is_pruned(spark, tmp_path):
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [CASE WHEN NOT (k0#" in plan and "BroadcastHashJoin" in plan
     files = {r[0] for r in rows.select(F.input_file_name()).collect()}
-    assert len(files) == 1 and "k0=001" in files.pop()
+    assert len(files) == 1 and "k0=v001" in files.pop()
 
 
 def test_last_put_stays(spark):
