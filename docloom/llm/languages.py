@@ -16,6 +16,8 @@ from docloom.llm.common import with_columns
 #: Without a learned language.
 UNDETERMINED = "und"
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
+#: Bytes compressed at a time. Up to 32 KB zstandard keeps the tables of a dictionary whole beside those of the text.
+_PIECE = 1 << 14
 
 
 def letters(text: str) -> bytes:
@@ -74,6 +76,11 @@ def compressors(dictionaries: dict[str, bytes]) -> list[tuple[str, zstandard.Zst
     return made
 
 
+def compressed_size(compressor: zstandard.ZstdCompressor, data: bytes) -> int:
+    """Bytes of all pieces of ``data``, each compressed with the fresh dictionary."""
+    return sum(len(compressor.compress(data[i : i + _PIECE])) for i in range(0, len(data), _PIECE))
+
+
 def identify(
     docs: DataFrame,
     dictionaries: dict[str, bytes],
@@ -84,7 +91,8 @@ def identify(
     """
     Every row with ``lang_pred``, ``score``, ``margin`` and ``sure``.
 
-    The whole text, reduced to lower-case letters, is compressed once with each dictionary; the smallest result names
+    The whole text, reduced to lower-case letters, is compressed with each dictionary in pieces of 16 KB, each against
+    the fresh dictionary, so that every part of a long text counts alike; the smallest sum of sizes names
     the language, of equal ones the first in ``dictionaries`` (the one learned from most rows). ``margin`` is how much smaller it is than the next, as a share of the
     next; under ``least_margin`` the answer is rejected: ``sure`` is false, and ``lang_pred`` only names the nearest.
     ``score`` is 1 / sum over languages of exp((smallest - size) / scale).
@@ -101,7 +109,7 @@ def identify(
             data = letters(value) if value else b""
             if not data or not by_language:
                 return UNDETERMINED, 0.0, 0.0, False
-            ranked = sorted((len(c.compress(data)), i) for i, (_, c) in enumerate(by_language))
+            ranked = sorted((compressed_size(c, data), i) for i, (_, c) in enumerate(by_language))
             least, first = ranked[0]
             margin = 1 - least / ranked[1][0] if len(ranked) > 1 else 1.0
             score = 1 / sum(math.exp((least - n) / scale) for n, _ in ranked)

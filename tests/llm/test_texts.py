@@ -223,3 +223,15 @@ def test_learning_is_bounded(spark, rng):
     rows = [(i, sentence(rng, 50), "en") for i in range(300)] + [(1000, "x" * 99_999, "en")]
     learned = languages.learn_dictionaries(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True), dictionary_bytes=4096)
     assert list(learned) == ["en"] and 1000 < len(learned["en"]) <= 4096
+
+
+def test_every_part_of_a_long_text_counts(spark, rng):
+    def text(words, n):
+        return " ".join(rng.choice(words) for _ in range(n // 7))
+
+    made = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 10))) for _ in range(6000)]
+    a, b = made[:3000], made[3000:]
+    learned = {"a": text(a, 65_000).encode(), "b": text(b, 65_000).encode()}
+    rows = [(0, text(a, 200_000) + " " + text(b, 3_000_000)), (1, text(b, 3_000_000) + " " + text(a, 200_000)), (2, text(b, 200_000) + " " + text(a, 3_000_000))]
+    got = languages.identify(spark.createDataFrame(rows, "doc_id long, text string"), learned).collect()
+    assert {r.doc_id: (r.lang_pred, r.sure) for r in got} == {0: ("b", True), 1: ("b", True), 2: ("a", True)}
