@@ -50,10 +50,10 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], size: int) -> np.ndarr
     return who.reshape(len(sets), size)
 
 
-def weighted_shingles(words: list[bytes], n: int, hashed: WordHashes) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingles of ``n`` words with weight 1 + ln(count)."""
-    found, count = np.unique(shingles(hashed.of(words), n), return_counts=True)
-    return found, 1 + np.log(count)
+def shingle_set(words: list[bytes], n: int, hashed: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles of ``n`` words, each of weight 1: what links are told by."""
+    found = np.unique(shingles(hashed.of(words), n))
+    return found, np.ones(len(found))
 
 
 def band_keys(texts: list[str | None], n: int, bands: int, rows: int, hashed: WordHashes) -> list[np.ndarray | None]:
@@ -63,7 +63,7 @@ def band_keys(texts: list[str | None], n: int, bands: int, rows: int, hashed: Wo
         words = {i: w for i in run if (w := plain_words(texts[i]))}
         held = list(words)
         if held:
-            found = signatures([weighted_shingles(w, n, hashed) for w in words.values()], bands * rows)
+            found = signatures([shingle_set(w, n, hashed) for w in words.values()], bands * rows)
             parts = found.reshape(len(held), bands, rows)
             keys = np.repeat(mixed(np.arange(bands, dtype=np.uint64))[None, :], len(held), axis=0)
             for r in range(rows):
@@ -77,8 +77,7 @@ def fingerprints(texts: list[str | None], n: int, hashed: WordHashes) -> list[np
     """One bit of each register of a large signature of the distinct shingles, packed into longs."""
     out: list[np.ndarray] = []
     for run in runs(texts, _TOGETHER):
-        sets = [np.unique(shingles(hashed.of(plain_words(texts[i])), n)) for i in run]
-        found = signatures([(s, np.ones(len(s))) for s in sets], _BITS)
+        found = signatures([shingle_set(plain_words(texts[i]), n, hashed) for i in run], _BITS)
         bits = (mixed(found) & np.uint64(1)).astype(np.uint8)
         out += list(np.packbits(bits, axis=1).view(np.int64))
     return out
@@ -107,9 +106,9 @@ def near_duplicates(
 
     Equal texts are one class at once. Different texts are linked if the distinct shingles of ``shingle_words`` words
     (all words of a shorter text) have a Jaccard similarity of ``threshold`` or more, computed from the whole texts;
-    classes are what links connect. Signatures of weighted shingles only propose: their probability Jaccard is the
-    Jaccard similarity itself where no shingle repeats, and texts at 0.8 share one of 21 bands of 6 with probability
-    0.998.
+    classes are what links connect. Signatures only propose: all shingles weigh the same, however often they occur, so
+    that the probability Jaccard is the Jaccard similarity itself, and texts at 0.8 share one of 21 bands of 6 with
+    probability 0.998.
 
     The texts that share a band are not paired with each other. First each band compares its members with one of them,
     the one that shares most bands with others, and classes are formed; a group of copies is one class then, for one

@@ -74,6 +74,19 @@ def test_all_pairs_of_a_band_are_compared(spark, rng):
     assert got == classes_by_hand(texts)
 
 
+def test_copies_with_repeated_lines_are_proposed(spark, rng):
+    """Copies to which a line is appended many times: as similar as with the line once."""
+    texts = {}
+    for i in range(0, 80, 2):
+        texts[i] = sentence(rng, 80)
+        texts[i + 1] = texts[i] + ("\n" + sentence(rng, 7)) * 100
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()}
+    want = classes_by_hand(texts)
+    assert sum(want[i] == i - 1 for i in range(1, 80, 2)) == 40
+    assert got == want
+
+
 def test_signatures_estimate_probability_jaccard(rng):
     a = {i: 1 + rng.random() * 4 for i in range(300)}
     b = {i: (a[i] * 3 if i < 300 else rng.random() * 9) for i in range(60, 380)}
