@@ -18,7 +18,7 @@ _TOGETHER = 1_000_000
 #: Members of a band that all others are compared with, round by round; in the last round each with each.
 _PIVOTS = (1, 8, None)
 #: One-bit registers of a fingerprint, and the standard deviations it may lie under what the threshold lets expect.
-_BITS, _SLACK = 1024, 3.2
+_BITS, _SLACK = 1024, 5.5
 
 
 def signatures(sets: list[tuple[np.ndarray, np.ndarray]], size: int) -> np.ndarray:
@@ -83,6 +83,12 @@ def fingerprints(texts: list[str | None], n: int, hashed: WordHashes) -> list[np
     return out
 
 
+def most_differing(threshold: float) -> float:
+    """Bits in which fingerprints of sets with a Jaccard similarity of ``threshold`` may differ."""
+    agreeing = threshold + (1 - threshold) / 2
+    return _BITS * (1 - agreeing) + _SLACK * (_BITS * agreeing * (1 - agreeing)) ** 0.5
+
+
 def similarity(left: str | None, right: str | None, n: int, hashed: WordHashes) -> float:
     """Jaccard similarity of the distinct shingles of two texts."""
     a, b = (np.unique(shingles(hashed.of(plain_words(t)), n)) for t in (left, right))
@@ -114,7 +120,7 @@ def near_duplicates(
     the one that shares most bands with others, and classes are formed; a group of copies is one class then, for one
     comparison a member. Bands whose members are still in more than one class go on with eight such pivots, and what is
     left after that with each member against each, but only between classes, in the first band that two texts share, and
-    if fingerprints of 1024 bits do not rule the similarity out (they err for one pair in 1,500 at the threshold). So a
+    if fingerprints of 1024 bits do not rule the similarity out (they err for about one pair in ten million at the threshold). So a
     pair that shares a band is either in one class already or compared, and only pairs that are nearly similar leave the
     join. The join itself still looks at all pairs of different classes in a band.
 
@@ -171,9 +177,7 @@ def near_duplicates(
         found = pairs.join(left, "pivot").join(right, "member")
         return stored(found.select("a", "b", similar("pivot_text", "member_text").alias("similarity")), "neardup-checked")
 
-    agreeing = threshold + (1 - threshold) / 2
-    differing = _BITS * (1 - agreeing) + _SLACK * (_BITS * agreeing * (1 - agreeing)) ** 0.5
-    not_ruled_out = " + ".join(f"bit_count(m.bits[{i}] ^ p.bits[{i}])" for i in range(_BITS // 64)) + f" <= {differing}"
+    not_ruled_out = " + ".join(f"bit_count(m.bits[{i}] ^ p.bits[{i}])" for i in range(_BITS // 64)) + f" <= {most_differing(threshold)}"
     first_shared = "array_position(zip_with(m.bands, p.bands, (x, y) -> x = y), true) = m.band + 1"
     named = (F.least("member", "pivot").alias("a"), F.greatest("member", "pivot").alias("b"))
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 
 import numpy as np
 import pytest
@@ -87,6 +88,13 @@ def test_copies_with_repeated_lines_are_proposed(spark, rng):
     assert got == want
 
 
+def test_fingerprints_lose_under_one_in_a_million():
+    for threshold in (0.7, 0.8, 0.9):
+        p, n = (1 - threshold) / 2, neardup._BITS
+        most = int(neardup.most_differing(threshold))
+        assert sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(most + 1, n + 1)) < 1e-6
+
+
 def test_signatures_estimate_probability_jaccard(rng):
     a = {i: 1 + rng.random() * 4 for i in range(300)}
     b = {i: (a[i] * 3 if i < 300 else rng.random() * 9) for i in range(60, 380)}
