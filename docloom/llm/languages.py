@@ -36,16 +36,20 @@ def learn_dictionaries(
     """
     One dictionary of raw text for each non-null language of the rows that ``learn_from`` allows.
 
-    A bounded sample: for each language at most ``sample_rows`` different texts of at most ``dictionary_bytes`` bytes,
-    those with the smallest hash, and of them as many whole texts as fit into ``dictionary_bytes``. Hashes are ranked
-    without the texts, then only the chosen texts are fetched. Languages come in order of their rows, most first. A language without a letter in its sample is not learned.
+    A bounded sample: for each language at most ``sample_rows`` different texts, those with the smallest hash, and of
+    them as many as fit into ``dictionary_bytes``: whole texts, and of a text of more than ``dictionary_bytes`` bytes a
+    sixteenth of as many letters from its middle. Hashes are ranked without the texts, then only the chosen texts are
+    fetched. Languages come in order of their rows, most first. A language without a letter in its sample is not learned.
     """
-    usable = docs.where(learn_from & F.col(lang).isNotNull() & (F.octet_length(text) <= dictionary_bytes))
+    usable = docs.where(learn_from & F.col(lang).isNotNull() & F.col(text).isNotNull())
     marked = usable.select(F.col(lang).alias("lang"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
     best = Window.partitionBy("lang").orderBy("mark")
     ranked = marked.select("lang", "mark").distinct().withColumn("place", F.row_number().over(best))
     chosen = ranked.where(F.col("place") <= sample_rows).drop("place")
-    picked = marked.join(F.broadcast(chosen), ["lang", "mark"]).groupBy("lang", "mark").agg(F.min("text").alias("text"))
+    only_letters, part = F.regexp_replace("text", r"[^\p{L}]+", " "), max(1, dictionary_bytes // 16)
+    middle = F.greatest(F.lit(1), F.floor((F.length(only_letters) - part) / 2) + 1).cast("int")
+    taken = F.when(F.octet_length("text") <= dictionary_bytes, F.col("text")).otherwise(F.substring(only_letters, middle, F.lit(part)))
+    picked = marked.join(F.broadcast(chosen), ["lang", "mark"]).groupBy("lang", "mark").agg(F.min(taken).alias("text"))
     rows = {r.lang: r.n for r in usable.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).toLocalIterator()}
     held: dict[str, bytes] = {}
     for row in picked.orderBy("lang", "mark").toLocalIterator():

@@ -235,3 +235,14 @@ def test_every_part_of_a_long_text_counts(spark, rng):
     rows = [(0, text(a, 200_000) + " " + text(b, 3_000_000)), (1, text(b, 3_000_000) + " " + text(a, 200_000)), (2, text(b, 200_000) + " " + text(a, 3_000_000))]
     got = languages.identify(spark.createDataFrame(rows, "doc_id long, text string"), learned).collect()
     assert {r.doc_id: (r.lang_pred, r.sure) for r in got} == {0: ("b", True), 1: ("b", True), 2: ("a", True)}
+
+
+def test_languages_of_long_texts_only_are_learned(spark, rng):
+    rows = [(i, "en", sentence(rng, 50)) for i in range(3)]
+    rows += [(10 + i, "xx", "12 34 " * 9000 + "kjempe " * 3000 + "skog " * 9000) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    learned = languages.learn_dictionaries(docs, F.lit(True))
+    assert list(learned) == ["xx", "en"]  # by rows
+    assert 0 < len(learned["xx"]) <= 1 << 14
+    asked = spark.createDataFrame([(1, "skog kjempe skog skog kjempe kjempe skog")], "doc_id long, text string")
+    assert languages.identify(asked, learned).first().lang_pred == "xx"
