@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import chat, decontaminate, languages, lines, mixing, neardup, neighbours, pages, quality, sharding
+from docloom.llm import (
+    chat, decontaminate, languages, lines, mixing, neardup, negatives, neighbours, pages, periodic, quality, sharding, topk,
+)
 from docloom.llm.common import fold_key, table
 
 #: Words and weights of the mix; shards; the score from which a document counts as good.
@@ -113,6 +115,40 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "margin", "sure")
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h")
+    )
+    # From its a-th word on, one text in ten says its next p words over and over.
+    words = docs.withColumn("w", F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))))
+    cut = words.withColumn("n", F.size("w")).withColumn("a", F.expr("h DIV 10 % n"))
+    cut = cut.withColumn("p", F.expr("1 + (n - a) DIV (3 + h DIV 10 % 8)"))
+    periodic_text = "array_join(transform(sequence(0, n - 1), i -> w[int(if(i < a, i, a + (i - a) % p))]), ' ')"
+    said = cut.select("doc_id", F.expr(f"if(n > 0, {periodic_text}, text)").alias("text"))
+    best = F.array_max(F.transform("found.runs", lambda r: F.struct(r["length"], -r["start"], -r["period"], r.alias("run"))))["run"]
+    listed = F.transform("found.runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    found = periodic.with_runs(said, F.col("text")).withColumn("best", best)
+    return found.select(
+        "doc_id",
+        F.size("found.runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(listed, lambda t: F.concat(t, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("found.collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -126,6 +162,9 @@ QUERIES = {
         op8_quality,
         op9_neighbours,
         op10_language,
+        op11_negatives,
+        op12_runs,
+        op13_topk,
     )
 }
 
@@ -203,5 +242,78 @@ WITH sized AS (
 )
 SELECT doc_id, size, source_size, target, CAST(copies * size AS BIGINT) AS taken, source, CAST(copies AS BIGINT) AS copies
 FROM drawn
+""",
+    "op11_negatives": """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, o.vec_id AS other_id, a.label = o.label AS same,
+    CAST(list_inner_product(a.v, o.v) AS BIGINT) AS score
+  FROM usable a JOIN usable o ON a.vec_id % 100 = 0 AND o.vec_id <> a.vec_id
+), positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.other_id) AS INTEGER) AS rank,
+  n.other_id AS negative_id, p.positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+  AND 100 * n.score BETWEEN 30 * p.positive_score AND 90 * p.positive_score
+QUALIFY rank <= 10
+""",
+    "op12_runs": r"""
+WITH digits AS (
+  SELECT row_number() OVER () AS row_id, doc_id, text, [ascii(c) FOR c IN split(CAST(doc_id AS VARCHAR), '')] AS bytes FROM documents
+), hashed AS (
+  SELECT *, xor(4294967295, list_reduce(bytes, lambda crc, byte: list_reduce(
+      range(8), lambda x, bit: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END), xor(crc, byte)),
+    4294967295::BIGINT)) AS h
+  FROM digits
+), given AS (
+  SELECT row_id, doc_id, h, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM hashed
+), cut AS (
+  SELECT *, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN h // 10 % len(w) END AS a, 3 + h // 10 % 8 AS parts FROM given
+), words AS (
+  SELECT row_id, i, n, CASE WHEN a IS NULL OR i < a THEN w[i + 1] ELSE w[a + (i - a) % (1 + (n - a) // parts) + 1] END AS word
+  FROM cut, unnest(range(n)) AS r(i)
+), pairs AS (
+  SELECT x.row_id, x.i, y.i - x.i AS q FROM words x JOIN words y ON y.row_id = x.row_id AND y.word = x.word
+    AND y.i > x.i AND 2 * (y.i - x.i) <= x.n
+), stretches AS (
+  SELECT row_id, q, min(i) AS start, count(*) + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY row_id, q ORDER BY i) AS island FROM pairs) GROUP BY row_id, q, island
+  HAVING count(*) >= q AND count(*) + q >= 12
+), runs AS (
+  SELECT row_id, start, length, min(q) AS period FROM stretches GROUP BY row_id, start, length
+), dropped AS (
+  SELECT DISTINCT row_id, i FROM runs, unnest(range(start + period, start + length)) AS r(i)
+), best AS (
+  SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY length DESC, start, period) = 1
+), listed AS (
+  SELECT row_id, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS said
+  FROM runs GROUP BY row_id
+), collapsed AS (
+  SELECT row_id, string_agg(word, ' ' ORDER BY i) AS said
+  FROM words LEFT JOIN dropped USING (row_id, i) WHERE dropped.i IS NULL GROUP BY row_id
+)
+SELECT g.doc_id, coalesce(l.n_runs, 0) AS n_runs, b.start, b.length, b.period,
+  1000 * b.length // b.period AS exponent_milli,
+  sha256(coalesce(l.said, '')) AS runs_sha256, sha256(coalesce(c.said, '')) AS collapsed_sha256
+FROM given g LEFT JOIN listed l USING (row_id) LEFT JOIN best b USING (row_id) LEFT JOIN collapsed c USING (row_id)
+""",
+    "op13_topk": """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)
+SELECT q.vec_id AS query_id,
+  CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.v, o.v) DESC, o.vec_id) AS INTEGER) AS rank,
+  o.vec_id, CAST(list_inner_product(q.v, o.v) AS BIGINT) AS score
+FROM usable q JOIN usable o ON q.vec_id % 20 = 0 AND o.vec_id <> q.vec_id
+QUALIFY rank <= 20
 """,
 }
