@@ -548,3 +548,30 @@ final AS (SELECT doc_id, arg_max(present, rn) AS present, arg_max(coalesce(value
 SELECT doc_id, value, CAST(NULL AS BIGINT) AS expires_epoch FROM stored WHERE doc_id NOT IN (SELECT doc_id FROM final)
 UNION ALL SELECT doc_id, value, CAST(NULL AS BIGINT) FROM final WHERE present
 """
+
+# --- stores in buckets, and views that follow them -----------------------------------------------------
+
+ORACLES["store_buckets_apply"] = ORACLES["apply_mixed"]
+ORACLES["store_buckets_export"] = ORACLES["job_export"]
+ORACLES["store_buckets_update"] = ORACLES["job_update"]
+ORACLES["store_snapshots_shared"] = """
+WITH stored AS (
+  SELECT 'o' || o_orderkey AS doc_id, o_orderstatus || '/' || o_orderpriority AS value,
+         o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 9900) AS gone
+  FROM orders)
+SELECT 1 AS version, doc_id, value FROM stored UNION ALL SELECT 2, doc_id, value FROM stored WHERE NOT gone
+"""
+ORACLES["store_lookup"] = """
+SELECT 'o' || o_orderkey AS doc_id, o_orderstatus || '/' || o_orderpriority AS value FROM orders
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1
+"""
+_AFTER_FEED = f"""
+SELECT '[' || length(value) % 7 || ']' AS view_key, CAST(length(value) % 7 AS VARCHAR) AS k0, doc_id,
+       substr(value, 1, 4) AS emitted
+FROM ({ORACLES["apply_mixed"]})
+"""
+ORACLES["view_after_changes"] = _AFTER_FEED
+ORACLES["followed_view_scan"] = f"""
+SELECT key_ord, doc_id, emitted FROM ({_AFTER_FEED})
+JOIN (VALUES (0, '0'), (1, '1'), (2, '2'), (3, '3'), (4, '5'), (5, '5'), (6, '9')) AS listed(key_ord, k0) USING (k0)
+"""

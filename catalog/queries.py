@@ -28,8 +28,10 @@ from docloom.sinks.cells import read_cells
 from docloom.sinks.push import push_attempts
 from docloom.sinks.store import current_store, save_actions
 from docloom.sinks.text import kv_lines, page_lines, parse_kv_lines, read_kv_text
+from docloom.sources.buckets import create_buckets, documents_by_id, read_buckets
 from docloom.sources.lines import parse_action_lines
 from docloom.sources.tables import read_view, scratch_dir, write_snapshot, write_view
+from docloom.sources.view_store import create_view, read_followed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -587,3 +589,90 @@ def apply_line_feed_mixed(spark, sf_dir):
     feed = t.line_feed(spark, sf_dir).select("doc_id", "seq", op.alias("op"), "value", F.lit(0).alias("expiry"))
     result = apply_actions(t.large_store(spark, sf_dir), feed, t.AS_OF)
     return t.store_rows(result.store)
+
+
+# --- stores in buckets, and views that follow them -----------------------------------------------------
+
+
+def _in_buckets(spark: SparkSession, store: DataFrame, buckets: int) -> str:
+    root = scratch_dir(spark, "buckets")
+    create_buckets(store, root, buckets)
+    return root
+
+
+@query
+def store_buckets_apply(spark, sf_dir):
+    """The mixed feed saved into profiles kept in buckets."""
+    root = _in_buckets(spark, t.profile_store(spark, sf_dir), 32)
+    save_actions(t.action_feed(spark, sf_dir), root, t.AS_OF)
+    return t.store_rows(current_store(spark, root))
+
+
+@query
+def store_buckets_export(spark, sf_dir):
+    """Lines exported into orders kept in buckets."""
+    root, lines = _in_buckets(spark, t.order_store(spark, sf_dir), 16), scratch_dir(spark, "lines")
+    t.order_lines(spark, sf_dir).select("line").write.text(lines)
+    jobs.export_lines(spark, lines, root, t.AS_OF, op="ADD", expiry=60)
+    return t.store_rows(current_store(spark, root))
+
+
+@query
+def store_buckets_update(spark, sf_dir):
+    root = _in_buckets(spark, t.profile_store(spark, sf_dir), 16)
+    jobs.update_job(
+        t.load(spark, sf_dir, "events"),
+        root,
+        _totals,
+        t.AS_OF,
+        transform=_purchases,
+        reduce=[F.count(F.lit(1)).alias("n"), F.max("event_id").alias("last")],
+    )
+    return t.store_rows(current_store(spark, root))
+
+
+@query
+def store_snapshots_shared(spark, sf_dir):
+    """Both versions of a store of orders, before and after the orders of the richest customers were deleted."""
+    root = _in_buckets(spark, t.large_store(spark, sf_dir), 64)
+    rich = t.load(spark, sf_dir, "customer").where("c_acctbal > 9900").select(F.col("c_custkey").alias("o_custkey"))
+    orders = t.load(spark, sf_dir, "orders").join(rich, "o_custkey", "left_semi")
+    feed = orders.select(F.concat(F.lit("o"), "o_orderkey").alias("doc_id"), F.col("o_orderkey").alias("seq"), A.delete().alias("a"))
+    save_actions(feed.select("doc_id", "seq", "a.*"), root, t.AS_OF)
+    both = [read_buckets(spark, root, version).select(F.lit(version).alias("version"), "doc_id", "value") for version in (1, 2)]
+    return both[0].union(both[1])
+
+
+@query
+def store_lookup(spark, sf_dir):
+    """The documents of each customer's last order, looked up by ID in the store's buckets."""
+    root = _in_buckets(spark, t.large_store(spark, sf_dir), 64)
+    last = t.load(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.max("o_orderkey").alias("last"))
+    ids = last.select(F.concat(F.lit("o"), "last").alias("doc_id"))
+    return documents_by_id(spark, root, ids).select("doc_id", "value")
+
+
+def _profile_view(docs: DataFrame) -> DataFrame:
+    return define_view(docs, [F.length("value") % 7], json_only=False, emitted=F.substring("value", 1, 4))
+
+
+def _followed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root, view = _in_buckets(spark, t.profile_store(spark, sf_dir), 32), scratch_dir(spark, "followed")
+    create_view(spark, view, root, _profile_view)
+    feed = t.action_feed(spark, sf_dir)
+    middle = feed.agg(F.percentile_approx("seq", 0.5)).first()[0]
+    for part in (feed.where(F.col("seq") <= middle), feed.where(F.col("seq") > middle)):
+        save_actions(part, root, t.AS_OF, views={view: _profile_view})
+    return read_followed(spark, view)
+
+
+@query
+def view_after_changes(spark, sf_dir):
+    """A view that has followed its store through both halves of a feed."""
+    return _followed(spark, sf_dir)
+
+
+@query
+def followed_view_scan(spark, sf_dir):
+    keys = plan_keys(spark, "[((0-3))];[5];[5];[9]").select("view_key", "key_ord")
+    return scan_view(_followed(spark, sf_dir), keys).select("key_ord", "doc_id", "emitted")

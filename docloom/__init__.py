@@ -11,7 +11,9 @@ from docloom.operators.views import define_view, documents_of, sample_view, scan
 from docloom.plans.jobs import export_lines, import_view, import_view_paged, import_view_to_cells, update_job
 from docloom.sinks.push import push_actions
 from docloom.sinks.store import save_actions
+from docloom.sources.buckets import create_buckets, documents_by_id, read_buckets
 from docloom.sources.lines import parse_action_lines, read_lines
 from docloom.sources.tables import read_snapshot, read_view, write_snapshot, write_view
+from docloom.sources.view_store import create_view, follow, read_followed
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -15,10 +15,11 @@ from docloom.operators.uniform import apply_operation
 from docloom.operators.update import Merge, update_documents
 from docloom.operators.views import asked_for, documents_of, missing_documents, scan_view, to_cells
 from docloom.sinks.cells import write_cells
-from docloom.sinks.store import current_store, save_result
+from docloom.sinks.store import change_store
 from docloom.sinks.text import write_kv_text, write_pages
+from docloom.sources.buckets import documents_by_id
 from docloom.sources.lines import parse_action_lines, read_lines
-from docloom.sources.tables import materialize, write_snapshot
+from docloom.sources.tables import materialize
 
 
 @dataclass(frozen=True)
@@ -30,18 +31,33 @@ class ImportReport:
 
 
 def scan_keys(
-    view: DataFrame, key_spec: str, store: DataFrame | None = None, *, num_chunks: int | None = None
+    view: DataFrame, key_spec: str, store: DataFrame | str | None = None, *, num_chunks: int | None = None
 ) -> DataFrame:
-    """Rows of all keys of a key spec, with ``key_ord`` and ``chunk_id``."""
+    """Rows of all keys of a key spec, with ``key_ord`` and ``chunk_id``.
+
+    ``store``, here and in the imports, is a table of documents or the folder of a bucketed store, of which only the
+    buckets of the documents asked for are opened.
+    """
     keys = plan_keys(view.sparkSession, key_spec, num_chunks=num_chunks)
-    return scan_view(view, keys.select("view_key", "key_ord", "chunk_id"), store)
+    keys = keys.select("view_key", "key_ord", "chunk_id")
+    if not isinstance(store, str):
+        return scan_view(view, keys, store)
+    rows = scan_view(view, keys)
+    return (rows.drop("value") if "value" in rows.columns else rows).join(_documents_for(store, rows), "doc_id", "left")
+
+
+def _documents_for(store: DataFrame | str, rows: DataFrame) -> DataFrame:
+    """``(doc_id, value)`` of the documents that ``rows`` name."""
+    if isinstance(store, str):
+        return documents_by_id(rows.sparkSession, store, rows).select("doc_id", "value")
+    return asked_for(store.select("doc_id", "value"), rows)
 
 
 def import_view(
     view: DataFrame,
     key_spec: str,
     path: str,
-    store: DataFrame | None = None,
+    store: DataFrame | str | None = None,
     *,
     num_chunks: int | None = None,
     separator: str = "\t",
@@ -59,7 +75,7 @@ def import_view_to_cells(
     path: str,
     family: str,
     qualifier: str,
-    store: DataFrame | None = None,
+    store: DataFrame | str | None = None,
     *,
     num_chunks: int | None = None,
 ) -> ImportReport:
@@ -71,7 +87,7 @@ def import_view_to_cells(
     if store is None:
         write_cells(to_cells(rows, family, qualifier, order="key_ord"), path)
         return ImportReport(rows, missing_documents(rows))
-    documents = asked_for(store.select("doc_id", "value"), rows)
+    documents = _documents_for(store, rows)
     ids = rows.where(rows["doc_id"].isNotNull()).select("doc_id").distinct()
     write_cells(to_cells(ids.join(documents, "doc_id"), family, qualifier, unique=True), path)
     found = (rows.drop("value") if "value" in rows.columns else rows).join(documents, "doc_id", "left")
@@ -82,7 +98,7 @@ def import_view_paged(
     view: DataFrame,
     key_spec: str,
     path: str,
-    store: DataFrame | None = None,
+    store: DataFrame | str | None = None,
     *,
     page_size: int = 1024,
     num_chunks: int | None = None,
@@ -97,7 +113,7 @@ def import_view_paged(
     rows = scan_keys(view, key_spec, num_chunks=num_chunks)
     paged = page_rows(rows, page_size)
     if store is not None:
-        documents = asked_for(store.select("doc_id", "value"), rows)
+        documents = _documents_for(store, rows)
         paged = paged.join(documents, "doc_id", "left")
     present = paged.where(paged["value"].isNotNull())
     write_pages(present, path, separator=separator, escape=escape)
@@ -124,7 +140,7 @@ def export_lines(
     literal: bool = False,
     escaped: bool = False,
 ) -> ExportReport:
-    """Apply a delimited file with one operation to the store under ``root``; writes the next snapshot.
+    """Apply a delimited file with one operation to the store under ``root``; saves the next version.
 
     The lines are parsed once, into the shared scratch folder; what follows reads the columns it needs from there.
     """
@@ -132,11 +148,11 @@ def export_lines(
         read_lines(spark, path), op, expiry, delimiter=delimiter, literal=literal, escaped=escaped
     )
     actions = materialize(lines.actions, "export-actions")
-    saved = save_result(
-        apply_operation(current_store(spark, root), actions, op, as_of, expiry=expiry, unique_seq=True), root
+    version, result = change_store(
+        spark, root, actions, lambda store: apply_operation(store, actions, op, as_of, expiry=expiry, unique_seq=True)
     )
-    counters = outcome_counters(saved.outcomes).union(reject_counters(lines.rejects))
-    return ExportReport(saved.version, saved.outcomes, lines.rejects, counters)
+    counters = outcome_counters(result.outcomes).union(reject_counters(lines.rejects))
+    return ExportReport(version, result.outcomes, lines.rejects, counters)
 
 
 @dataclass(frozen=True)
@@ -156,9 +172,12 @@ def update_job(
     order_by: str | None = None,
     reduce: Sequence[Column] | None = None,
 ) -> UpdateReport:
-    """Update the store under ``root`` from ``source``; writes the next snapshot."""
-    store = current_store(source.sparkSession, root)
-    result = update_documents(
-        store, source, merge, as_of, transform=transform, order_by=order_by, reduce=reduce
+    """Update the store under ``root`` from ``source``; saves the next version."""
+    rows = transform(source) if transform else source
+    version, result = change_store(
+        source.sparkSession,
+        root,
+        rows,
+        lambda store: update_documents(store, rows, merge, as_of, order_by=order_by, reduce=reduce),
     )
-    return UpdateReport(write_snapshot(result.store, root), result.summary, update_counters(result.summary))
+    return UpdateReport(version, result.summary, update_counters(result.summary))

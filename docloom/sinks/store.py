@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.operators.apply import ApplyResult, apply_actions
+from docloom.operators.view_changes import Define
 from docloom.schemas import STORE
+from docloom.sources.buckets import Result, change_buckets, is_bucketed, read_buckets
 from docloom.sources.tables import read_snapshot, snapshot_versions, write_snapshot
+from docloom.sources.view_store import follow
 
 
 @dataclass(frozen=True)
@@ -22,20 +26,40 @@ class SavedActions:
 
 
 def current_store(spark: SparkSession, root: str) -> DataFrame:
-    """Newest snapshot, or an empty store where there is none yet."""
+    """The newest version of a bucketed store, or the newest snapshot, or an empty store where there is none yet."""
+    if is_bucketed(spark, root):
+        return read_buckets(spark, root)
     if snapshot_versions(spark, root):
         return read_snapshot(spark, root)
     return spark.createDataFrame([], STORE)
 
 
-def save_result(result: ApplyResult, root: str) -> SavedActions:
-    return SavedActions(write_snapshot(result.store, root), result.outcomes)
+def change_store(
+    spark: SparkSession, root: str, keys: DataFrame, compute: Callable[[DataFrame], Result]
+) -> tuple[int, Result]:
+    """Bring the store under ``root`` to ``compute(store).store``; number of the new version, and the result.
+
+    A bucketed store is read and rewritten only in the buckets of ``keys(doc_id)``, all keys that ``compute`` may change;
+    another store gets its next whole snapshot.
+    """
+    if is_bucketed(spark, root):
+        return change_buckets(spark, root, keys, compute)
+    result = compute(current_store(spark, root))
+    return write_snapshot(result.store, root), result
 
 
-def save_actions(actions: DataFrame, root: str, as_of: dt.datetime | str, **options) -> SavedActions:
-    """Apply ``actions`` to the newest snapshot under ``root`` and write the next one."""
-    store = current_store(actions.sparkSession, root)
-    return save_result(apply_actions(store, actions, as_of, **options), root)
+def save_actions(
+    actions: DataFrame, root: str, as_of: dt.datetime | str, *, views: Mapping[str, Define] | None = None, **options
+) -> SavedActions:
+    """Apply ``actions`` to the newest version of the store under ``root`` and save the next one.
+
+    ``views`` names views kept by :func:`create_view` and what they index; they follow a bucketed store.
+    """
+    spark = actions.sparkSession
+    version, result = change_store(spark, root, actions, lambda store: apply_actions(store, actions, as_of, **options))
+    for view_root, define in (views or {}).items():
+        follow(spark, view_root, root, define)
+    return SavedActions(version, result.outcomes)
 
 
 def merge_into_table(result: ApplyResult, table: str) -> None:

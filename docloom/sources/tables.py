@@ -34,7 +34,7 @@ def materialize(df: DataFrame, name: str = "table", *, partition_by: tuple[str,
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path, hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -42,14 +42,14 @@ def _hadoop_path(spark: SparkSession, path: str):
 
 def _snapshot_folders(spark: SparkSession, root: str) -> dict[int, bool]:
     """Number of every snapshot folder, and whether the snapshot is complete."""
-    path, fs = _hadoop_path(spark, root)
+    path, fs = hadoop_path(spark, root)
     if not fs.exists(path):
         return {}
     found = {}
     for status in fs.listStatus(path):
         match = _SNAPSHOT.fullmatch(status.getPath().getName())
         if match:
-            found[int(match.group(1))] = fs.exists(_hadoop_path(spark, f"{status.getPath().toString()}/_SUCCESS")[0])
+            found[int(match.group(1))] = fs.exists(hadoop_path(spark, f"{status.getPath().toString()}/_SUCCESS")[0])
     return found
 
 
@@ -106,14 +106,16 @@ def write_view(view: DataFrame, path: str, *, mode: str = "errorifexists") -> No
     view.repartitionByRange(*parts, "doc_id").write.mode(mode).partitionBy(*parts).parquet(path)
 
 
-def read_view(spark: SparkSession, path: str) -> DataFrame:
-    """Read a stored view; key parts stay text (no type guessing that would drop leading zeros)."""
-    found = spark.read.parquet(path).schema
-    schema = T.StructType(
-        [T.StructField(f.name, T.StringType() if _is_part(f.name) else f.dataType) for f in found]
-    )
-    view = spark.read.schema(schema).parquet(path)
-    parts = [f.name for f in schema if _is_part(f.name)]
+def read_view(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Read a stored view; key parts stay text (no type guessing that would drop leading zeros).
+
+    A known ``schema`` saves a look at the files, and reads a view that was written without rows.
+    """
+    found = spark.read.parquet(path).schema if schema is None else schema
+    parts_last = sorted(found.fields, key=lambda f: _is_part(f.name))
+    read = T.StructType([T.StructField(f.name, T.StringType() if _is_part(f.name) else f.dataType) for f in parts_last])
+    view = spark.read.schema(read).parquet(path)
+    parts = [f.name for f in read if _is_part(f.name)]
     return view.withColumns({p: F.when(F.col(p) != "n", F.substring(p, 2, 1 << 30)) for p in parts})
 
 
