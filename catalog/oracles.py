@@ -549,6 +549,15 @@ SELECT doc_id, value, CAST(NULL AS BIGINT) AS expires_epoch FROM stored WHERE do
 UNION ALL SELECT doc_id, value, CAST(NULL AS BIGINT) FROM final WHERE present
 """
 
+# --- long key lists ------------------------------------------------------------------------------------
+
+ORACLES["import_long_range"] = f"""
+WITH {CLICKS}, listed AS (
+  SELECT '2024' || lpad(CAST(d AS VARCHAR), 4, '0') AS day, part FROM range(1, 1232) AS t(d), range(2) AS p(part)
+  UNION ALL SELECT '20240115', part FROM range(3) AS p(part))
+SELECT doc_id, value FROM dated JOIN listed ON listed.day = dated.day AND listed.part = dated.sec % 2
+"""
+
 # --- stores in buckets, and views that follow them -----------------------------------------------------
 
 ORACLES["store_buckets_apply"] = ORACLES["apply_mixed"]

@@ -515,6 +515,18 @@ def job_import(spark, sf_dir):
     return read_kv_text(spark, path)
 
 
+LONG_SPEC = '["2024((0001-1231))", 0];["2024((0001-1231))",1];["20240115",((0-2))]'
+
+
+@query
+def import_long_range(spark, sf_dir):
+    """A stored view read by a spec of more keys than become literals: its ranges say which folders are read."""
+    path, out = scratch_dir(spark, "view"), scratch_dir(spark, "import")
+    write_view(t.click_view(spark, sf_dir, 2, include_docs=True), path)
+    jobs.import_view(read_view(spark, path), LONG_SPEC, out, num_chunks=8, by_chunk=True)
+    return read_kv_text(spark, out)
+
+
 @query
 def job_import_cells(spark, sf_dir):
     path = scratch_dir(spark, "cells")

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.functions.jsonkeys import canonical_key_sql
@@ -75,6 +79,91 @@ def plan_keys(spark: SparkSession, key_spec: str, *, num_chunks: int | None = No
     return keys if listed.num_rows > MAX_LOCAL_KEYS else spark.createDataFrame(listed, keys.schema)
 
 
+MAX_INTERVALS = 1000
+_NUMBER = "\ue000"  # stands for the number of a range while its key is read as JSON; no key part holds it
+
+
+@dataclass(frozen=True)
+class Interval:
+    """The keys of one entry of a spec, by key part: a text, ``(before, low, high, width, after)`` of a range, or anything."""
+
+    parts: tuple[str | tuple[str, int, int, int, str] | None, ...]
+
+    def holds(self, columns: list[str]) -> Column:
+        """Whether a view row may have a key of this interval; a test on its key parts that no key of it fails."""
+        return reduce(Column.__and__, [_part_holds(F.col(c), p) for c, p in zip(columns, self.parts)], F.lit(True))
+
+
+def key_intervals(spark: SparkSession, key_spec: str, n_parts: int) -> list[Interval] | None:
+    """The entries of a spec as intervals of key parts, none of them expanded.
+
+    None if there are more than ``MAX_INTERVALS``, or one that is no JSON array of ``n_parts`` plain values.
+    """
+    spec = spark.range(1, numPartitions=1).select(F.lit(key_spec).alias("key_spec"))
+    entries = spec.selectExpr(f"explode({split_key_spec('key_spec')}) AS raw").selectExpr(f"{key_range('raw')} AS key")
+    found = entries.selectExpr("key.*").where("n > 0").limit(MAX_INTERVALS + 1).collect()
+    intervals = [_interval(r, n_parts) for r in found]
+    return None if len(found) > MAX_INTERVALS or None in intervals else intervals
+
+
+def _interval(r, n_parts: int) -> Interval | None:
+    try:
+        if r["low"] is None:
+            values = json.loads(r["prefix"])
+            parts = [_part_text(v) for v in values]
+        else:
+            parts = _range_parts(r)
+    except (ValueError, TypeError):
+        return None
+    return Interval(tuple(parts)) if len(parts) == n_parts else None
+
+
+def _range_parts(r) -> list:
+    def key(number: int | str) -> list:
+        return json.loads(f"{r['prefix']}{number}{r['suffix']}")
+
+    try:  # inside a text part
+        values = key(_NUMBER)
+    except ValueError:  # a number of its own, or its last digits
+        ends = key(r["low"]), key(r["high"])
+        if r["width"] > len(str(r["low"])):
+            return [None] * len(ends[0])  # zeros in front are no JSON number
+        parts: list = []
+        for a, b in zip(*ends, strict=True):
+            # Numbers grow with their last digits, below zero they fall.
+            parts.append(_part_text(a) if a == b else ("", min(a, b), max(a, b), 0, "") if type(a) is type(b) is int else None)
+        return parts
+    parts = []
+    for v in values:
+        if isinstance(v, str) and _NUMBER in v:
+            before, after = v.split(_NUMBER)
+            parts.append((before, r["low"], r["high"], r["width"], after))
+        else:
+            parts.append(_part_text(v))
+    return parts
+
+
+def _part_text(value) -> str | None:
+    """How a key part is kept as text; None where the spelling may differ."""
+    if isinstance(value, str):
+        return value
+    if value is None or isinstance(value, bool):
+        return json.dumps(value)
+    return str(value) if isinstance(value, int) else None
+
+
+def _part_holds(part: Column, wanted) -> Column:
+    if wanted is None:
+        return F.lit(True)
+    if isinstance(wanted, str):
+        return part == wanted
+    before, low, high, width, after = wanted
+    if width:  # padded numbers sort as texts do
+        return part.between(f"{before}{low:0{width}d}{after}", f"{before}{high:0{width}d}{after}") & part.endswith(after)
+    number = F.substring(part, F.lit(len(before) + 1), F.length(part) - F.lit(len(before) + len(after)))
+    return part.startswith(before) & part.endswith(after) & number.try_cast("bigint").between(low, high)
+
+
 def assign_chunks(keys: DataFrame, n_keys: int, num_chunks: int, *, order: str = "key_ord") -> DataFrame:
     """Number contiguous chunks of ``ceil(n_keys / num_chunks)`` keys; there may be fewer than asked for."""
     per_chunk = max(-(-n_keys // max(num_chunks, 1)), 1)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docloom.functions.jsonkeys import canonical_key_sql, is_json_sql, json_array_key
+from docloom.operators.keys import Interval
 from docloom.operators.skew import fits_broadcast
 
 MAX_BROADCAST_KEY_BYTES = 64 << 20
@@ -102,6 +103,20 @@ def scan_view(
     return (rows.drop("value") if "value" in rows.columns else rows).join(documents, "doc_id", "left")
 
 
+def within(view: DataFrame, intervals: Sequence[Interval] | None) -> DataFrame:
+    """The rows of a view that keys of some interval may have; the filter reaches the folders of a view stored by parts.
+
+    It stands for key lists that are too long to be literals. What it lets through is still joined with the keys.
+    """
+    if intervals is None:
+        return view
+    parts = key_parts(view)
+    holds = [i.holds(parts) for i in intervals]
+    while len(holds) > 1:  # a balanced tree stays shallow
+        holds = [holds[i] | holds[i + 1] if i + 1 < len(holds) else holds[i] for i in range(0, len(holds), 2)]
+    return view.where(holds[0] if holds else F.lit(False))
+
+
 def asked_for(documents: DataFrame, rows: DataFrame, broadcast_bytes: int = MAX_BROADCAST_KEY_BYTES) -> DataFrame:
     """The documents whose ID occurs in ``rows``, or all of them if the distinct IDs measure too much to broadcast.
 

@@ -8,12 +8,21 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from docloom.operators.keys import plan_keys
+from docloom.operators.keys import key_intervals, place_by_chunk, plan_keys
 from docloom.operators.metrics import outcome_counters, reject_counters, update_counters
 from docloom.operators.paging import page_rows
 from docloom.operators.uniform import apply_operation
 from docloom.operators.update import Merge, update_documents
-from docloom.operators.views import asked_for, documents_of, missing_documents, scan_view, to_cells
+from docloom.operators.views import (
+    MAX_LITERAL_KEYS,
+    asked_for,
+    documents_of,
+    key_parts,
+    missing_documents,
+    scan_view,
+    to_cells,
+    within,
+)
 from docloom.sinks.cells import write_cells
 from docloom.sinks.store import change_store
 from docloom.sinks.text import write_kv_text, write_pages
@@ -40,6 +49,9 @@ def scan_keys(
     """
     keys = plan_keys(view.sparkSession, key_spec, num_chunks=num_chunks)
     keys = keys.select("view_key", "key_ord", "chunk_id")
+    if key_parts(view) and keys.limit(MAX_LITERAL_KEYS + 1).count() > MAX_LITERAL_KEYS:
+        # Too many keys for literals: the ranges of the spec prune in their place.
+        view = within(view, key_intervals(view.sparkSession, key_spec, len(key_parts(view))))
     if not isinstance(store, str):
         return scan_view(view, keys, store)
     rows = scan_view(view, keys)
@@ -60,12 +72,22 @@ def import_view(
     store: DataFrame | str | None = None,
     *,
     num_chunks: int | None = None,
+    by_chunk: bool = False,
     separator: str = "\t",
     escape: bool = True,
 ) -> ImportReport:
-    """Write the documents of the listed keys as key-value text."""
+    """Write the documents of the listed keys as key-value text.
+
+    With ``by_chunk`` (and ``num_chunks``) each chunk of keys is one task's and one file's, as where the chunks are the
+    splits of the import; the rows are moved for that. Else they are written where they are read.
+    """
     rows = scan_keys(view, key_spec, store, num_chunks=num_chunks)
-    write_kv_text(documents_of(rows), path, separator=separator, escape=escape)
+    placed = rows
+    if by_chunk:
+        if num_chunks is None:
+            raise ValueError("by_chunk needs num_chunks")
+        placed = place_by_chunk(rows, num_chunks)
+    write_kv_text(documents_of(placed), path, separator=separator, escape=escape)
     return ImportReport(rows, missing_documents(rows))
 
 

@@ -26,13 +26,15 @@ def files_of(df):
 
 
 def scanned_rows(df):
-    """Rows that the file scans of a plan without shuffle have put out."""
+    """Rows that the file scans of a plan have put out."""
     df.collect()
     found, rest = 0, [df._jdf.queryExecution().executedPlan()]
     while rest:
         node = rest.pop()
         if node.nodeName().startswith("AdaptiveSparkPlan"):
             rest.append(node.executedPlan())
+        if "QueryStage" in node.nodeName():
+            rest.append(node.plan())
         if "Scan parquet" in node.nodeName():
             found += node.metrics().apply("numOutputRows").value()
         children = node.children()
