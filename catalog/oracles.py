@@ -473,6 +473,19 @@ log AS (
 """
 ORACLES["push_log"] = f"""{ATTEMPTS}
 SELECT doc_id, seq, op, CAST(try_no AS INTEGER) AS try_no, status, CAST(wait_ms AS INTEGER) AS wait_ms FROM log"""
+ORACLES["push_resumable_log"] = ORACLES["push_log"]
+ORACLES["fetched_documents"] = """
+SELECT 'u' || user_id * 20 AS doc_id, event_id, CASE WHEN user_id % 2 = 0 THEN 'profile of u' || user_id * 20 END AS existing
+FROM events
+"""
+ORACLES["update_outside_log"] = """
+SELECT 'u' || user_id * 20 AS doc_id, event_id AS seq, CASE WHEN user_id % 2 = 0 THEN 'APPEND' ELSE 'ADD' END AS op,
+       CAST(t AS INTEGER) AS try_no,
+       CASE WHEN t < event_id % 4 THEN 'Temporary failure' WHEN event_id % 10 = 7 THEN 'Timed out'
+            WHEN event_id % 10 = 3 THEN 'Data exists for key' ELSE 'Success' END AS status,
+       CASE WHEN t < event_id % 4 AND t < 2 THEN 1 ELSE 0 END AS wait_ms
+FROM events, range(0, 3) AS r(t) WHERE t <= event_id % 4
+"""
 ORACLES["attempt_profile"] = f"""{ATTEMPTS}
 SELECT 'FAILED_STORE_OPERATIONS' AS counter, count(*) AS value FROM log WHERE status <> 'Success'
 UNION ALL SELECT 'EXISTENT_KEYS', count(*) FROM log WHERE status LIKE '%exists%'

@@ -25,11 +25,12 @@ from docloom.operators.update import merge_actions, update_documents
 from docloom.operators.views import define_view, sample_view, scan_view, to_cells
 from docloom.plans import jobs
 from docloom.sinks.cells import read_cells
-from docloom.sinks.push import push_attempts
+from docloom.sinks.push import push_attempts, push_resumable
 from docloom.sinks.store import current_store, save_actions
 from docloom.sinks.text import kv_lines, page_lines, parse_kv_lines, read_kv_text
 from docloom.sources.buckets import create_buckets, documents_by_id, read_buckets
 from docloom.sources.lines import parse_action_lines
+from docloom.sources.outside import fetch_documents, with_existing
 from docloom.sources.tables import read_view, scratch_dir, write_snapshot, write_view
 from docloom.sources.view_store import create_view, read_followed
 
@@ -481,6 +482,57 @@ def push_log(spark, sf_dir):
     return _attempts(spark, sf_dir)
 
 
+@query
+def push_resumable_log(spark, sf_dir):
+    """The attempt log of a push that keeps it while it goes on."""
+    feed = t.action_feed(spark, sf_dir)
+    options = {"max_tries": 2, "max_wait_ms": 1, "max_total_wait_ms": 2**31, "sleep": _no_sleep}
+    return push_resumable(feed, FlakyClient, scratch_dir(spark, "push"), ordered=True, **options)
+
+
+class EvenProfiles:
+    """A store outside, in which every second user of the feed has a document."""
+
+    def get_many(self, keys):
+        return {k: f"profile of {k}" for k in keys if int(k[1:]) % 40 == 0}
+
+    def close(self):
+        pass
+
+
+@query
+def fetched_documents(spark, sf_dir):
+    """Documents of the events' users fetched in calls of at most 16 keys, and how many each user's events need."""
+    events = t.load(spark, sf_dir, "events").select(F.expr(t.USER_KEY).alias("doc_id"), "event_id")
+    fetched = fetch_documents(events, EvenProfiles, scratch_dir(spark, "fetched"), batch_size=16)
+    return with_existing(events, fetched)
+
+
+@query
+def update_outside_log(spark, sf_dir):
+    """Events merged with documents fetched from outside and pushed back: the log of the push."""
+
+    def merge(payload, existing):
+        text = F.concat(F.lit("v"), payload["event_id"], F.lit(";"))
+        return F.when(existing.isNull(), A.add(text)).otherwise(A.append(text))
+
+    report = jobs.update_outside(
+        t.load(spark, sf_dir, "events"),
+        EvenProfiles,
+        FlakyClient,
+        merge,
+        scratch_dir(spark, "outside"),
+        transform=lambda events: events.select(F.expr(t.USER_KEY).alias("doc_id"), "event_id"),
+        seq="event_id",
+        batch_size=16,
+        max_tries=2,
+        max_wait_ms=1,
+        max_total_wait_ms=2**31,
+        sleep=_no_sleep,
+    )
+    return report.attempts
+
+
 @query
 def attempt_profile(spark, sf_dir):
     attempts = _attempts(spark, sf_dir)

@@ -7,9 +7,10 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from docloom.operators.keys import key_intervals, place_by_chunk, plan_keys
-from docloom.operators.metrics import outcome_counters, reject_counters, update_counters
+from docloom.operators.metrics import attempt_counters, outcome_counters, reject_counters, update_counters
 from docloom.operators.paging import page_rows
 from docloom.operators.uniform import apply_operation
 from docloom.operators.update import Merge, update_documents
@@ -24,11 +25,13 @@ from docloom.operators.views import (
     within,
 )
 from docloom.sinks.cells import write_cells
+from docloom.sinks.push import StoreClient, push_resumable
 from docloom.sinks.store import change_store
 from docloom.sinks.text import write_kv_text, write_pages
 from docloom.sources.buckets import documents_by_id
 from docloom.sources.lines import parse_action_lines, read_lines
-from docloom.sources.tables import materialize
+from docloom.sources.outside import FETCHED, ReadClient, call_counters, fetch_documents, with_existing
+from docloom.sources.tables import materialize, stored_whole
 
 
 @dataclass(frozen=True)
@@ -203,3 +206,39 @@ def update_job(
         lambda store: update_documents(store, rows, merge, as_of, order_by=order_by, reduce=reduce),
     )
     return UpdateReport(version, result.summary, update_counters(result.summary))
+
+
+@dataclass(frozen=True)
+class OutsideReport:
+    attempts: DataFrame
+    counters: DataFrame
+
+
+def update_outside(
+    source: DataFrame,
+    reader: Callable[[], ReadClient],
+    writer: Callable[[], StoreClient],
+    merge: Merge,
+    root: str,
+    *,
+    transform: Callable[[DataFrame], DataFrame] | None = None,
+    seq: str = "seq",
+    batch_size: int = 1024,
+    **push_options,
+) -> OutsideReport:
+    """Update a store outside Spark: fetch the documents of the source's keys in bulk, merge, push the actions.
+
+    Every source row is merged with the document as it was fetched. Answers and log are kept under ``root``, and a call
+    after a failure fetches only what was not fetched in full, and pushes only what is not logged.
+    """
+    spark = source.sparkSession
+    rows = (transform(source) if transform else source).where("doc_id IS NOT NULL AND doc_id != ''")
+    fetched_at = f"{root.rstrip('/')}/fetched"
+    if stored_whole(spark, fetched_at):
+        fetched = spark.read.schema(FETCHED).parquet(fetched_at)
+    else:
+        fetched = fetch_documents(rows, reader, fetched_at, batch_size=batch_size)
+    payload = F.struct(*[c for c in rows.columns if c != "doc_id"])
+    merged = with_existing(rows, fetched).select("doc_id", F.col(seq).alias("seq"), merge(payload, F.col("existing")).alias("a"))
+    attempts = push_resumable(merged.select("doc_id", "seq", "a.*"), writer, f"{root.rstrip('/')}/pushed", **push_options)
+    return OutsideReport(attempts, call_counters(fetched).union(attempt_counters(attempts)))

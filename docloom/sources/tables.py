@@ -40,6 +40,16 @@ def hadoop_path(spark: SparkSession, path: str):
     return hadoop_path, hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    found, fs = hadoop_path(spark, path)
+    return fs.exists(found)
+
+
+def stored_whole(spark: SparkSession, path: str) -> bool:
+    """Whether a table has been written to ``path`` to its end."""
+    return exists(spark, f"{path}/_SUCCESS")
+
+
 def _snapshot_folders(spark: SparkSession, root: str) -> dict[int, bool]:
     """Number of every snapshot folder, and whether the snapshot is complete."""
     path, fs = hadoop_path(spark, root)
