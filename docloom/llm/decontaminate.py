@@ -20,6 +20,8 @@ from docloom.llm.tokens import WordHashes, factors, mixed, runs
 _WORD = re.compile(r"\w+")
 #: Hashes are first looked up in a bit table of this many bits.
 _FILTER_BITS = 24
+#: Places times seeds of one hash in one text from which their shifts are noted on a line.
+_MANY = 4096
 #: Characters of text looked at together.
 _TOGETHER = 1_000_000
 
@@ -54,9 +56,13 @@ def seed_hashes(hashes: np.ndarray, mask: list[int], salt: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Seeds:
-    """Seeds of a block of items: sorted hashes with the item and word position of each, and the items' words."""
+    """Seeds of a block of items: sorted hashes with the item and word position of each, and the items' words.
+
+    ``wrong`` has the words of a window that may differ, for each item.
+    """
 
     ids: list
+    wrong: list[int]
     items: list[np.ndarray]
     masks: list[tuple[int, list[int]]]
     hashes: np.ndarray
@@ -70,11 +76,13 @@ def build_seeds(rows: list[tuple[int | None, str | None]], window: int, least_wo
     ids, items = [], []
     for item_id, text in rows:
         held = hashed.of(words(text))
-        if len(held) >= least_words:
+        if len(held):
             ids.append(item_id)
             items.append(held)
     kinds = sorted({min(window, len(x)) for x in items})
-    numbered = [(span, m) for span in kinds for m in masks(span, wrong_words(span, similarity))]
+    wrong = {span: wrong_words(span, similarity) if span >= least_words else 0 for span in kinds}
+    # A short item has one mask that looks at all of its words.
+    numbered = [(span, m) for span in kinds for m in (masks(span, wrong[span]) if span >= least_words else [list(range(span))])]
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for salt, (span, mask) in enumerate(numbered):
         for number, held in enumerate(items):
@@ -86,56 +94,96 @@ def build_seeds(rows: list[tuple[int | None, str | None]], window: int, least_wo
     order = np.argsort(hashes, kind="stable")
     bits = np.zeros(1 << _FILTER_BITS, bool)
     bits[hashes >> np.uint64(64 - _FILTER_BITS)] = True
-    return Seeds(ids, items, numbered, hashes[order], item[order], position[order], np.packbits(bits))
+    allowed = [wrong[min(window, len(x))] for x in items]
+    return Seeds(ids, allowed, items, numbered, hashes[order], item[order], position[order], np.packbits(bits))
 
 
 def wrong_words(span: int, similarity: float) -> int:
     return span - math.ceil(similarity * span - 1e-9)
 
 
-def overlap(doc: np.ndarray, item: np.ndarray, shift: int, window: int, similarity: float) -> int:
+def overlap(doc: np.ndarray, item: np.ndarray, shift: int, window: int, wrong: int) -> int:
     """Words in which the item, laid on the document ``shift`` words in, agrees with it; 0 unless a window agrees enough."""
     span = min(window, len(item))
     low, high = max(0, -shift), min(len(item), len(doc) - shift)
     if high - low < span:
         return 0
     same = np.concatenate([[0], np.cumsum(doc[low + shift : high + shift] == item[low:high])])
-    return int(same[-1]) if (same[span:] - same[:-span]).max() >= span - wrong_words(span, similarity) else 0
+    return int(same[-1]) if (same[span:] - same[:-span]).max() >= span - wrong else 0
 
 
-def search(texts: list[str | None], seeds: Seeds, hashed: WordHashes, window: int, similarity: float) -> list[dict[int, int]]:
+def shifts(places: np.ndarray, low: np.ndarray, high: np.ndarray, seeds: Seeds) -> dict[int, np.ndarray]:
+    """
+    For each item the shifts at which some of its seeds meet a text: hit places, and the range of seeds of each.
+
+    Where many places meet many seeds, as in texts of one word over and over, shifts are noted on a line of them: time
+    goes with the places times the seeds of one hash, a vector at a time, and space with the shifts.
+    """
+    found: dict[int, list[np.ndarray]] = {}
+    few = np.ones(len(places), bool)
+    hashes, which, counts = np.unique(low, return_inverse=True, return_counts=True)
+    for n in np.flatnonzero(counts * (high - low)[np.unique(low, return_index=True)[1]] > _MANY):
+        own = which == n
+        few &= ~own
+        at = places[own]
+        seen: dict[int, np.ndarray] = {}
+        for k in range(int(hashes[n]), int(high[own][0])):
+            item = int(seeds.item[k])
+            line = seen.setdefault(item, np.zeros(int(at.max()) + len(seeds.items[item]) + 1, bool))
+            line[at - seeds.position[k] + len(seeds.items[item])] = True
+        for item, line in seen.items():
+            found.setdefault(item, []).append(np.flatnonzero(line) - len(seeds.items[item]))
+    each = (high - low)[few]
+    first = np.repeat(low[few] - np.concatenate([[0], np.cumsum(each)[:-1]]) if len(each) else each, each)
+    k = first + np.arange(each.sum())
+    item, shift = seeds.item[k], np.repeat(places[few], each) - seeds.position[k]
+    order = np.argsort(item, kind="stable")
+    item, shift = item[order], shift[order]
+    cuts = np.flatnonzero(np.diff(item)) + 1
+    for part, of in zip(np.split(shift, cuts), np.split(item, cuts), strict=True):
+        if len(of):
+            found.setdefault(int(of[0]), []).append(part)
+    return {item: np.unique(np.concatenate(parts)) for item, parts in found.items()}
+
+
+def search(texts: list[str | None], seeds: Seeds, hashed: WordHashes, window: int) -> list[dict[int, int]]:
     """For each text the items found in it, by number, with the most words that agree."""
     found: list[dict[int, int]] = [{} for _ in texts]
     for run in runs(texts, _TOGETHER):
         parts = [hashed.of(words(texts[i])) for i in run]
         starts = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
         joined = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-        tried = set()
+        hits = []
         for salt, (_, mask) in enumerate(seeds.masks):
             got = seed_hashes(joined, mask, salt)
             slot = got >> np.uint64(64 - _FILTER_BITS)
             maybe = np.flatnonzero(seeds.bits[slot >> np.uint64(3)] >> (7 - (slot & np.uint64(7))).astype(np.uint8) & 1)
             low = np.searchsorted(seeds.hashes, got[maybe], "left")
             high = np.searchsorted(seeds.hashes, got[maybe], "right")
-            for at, a, b in zip(maybe[high > low], low[high > low], high[high > low], strict=True):
-                doc = int(np.searchsorted(starts, at, "right")) - 1
-                for k in range(a, b):
-                    tried.add((doc, int(seeds.item[k]), int(at - starts[doc] - seeds.position[k])))
-        for doc, item, shift in tried:
-            if n := overlap(parts[doc], seeds.items[item], shift, window, similarity):
-                into = found[run[doc]]
-                into[item] = max(into.get(item, 0), n)
+            met = high > low
+            hits.append(np.stack([maybe[met], low[met], high[met]]))
+        at, low, high = np.concatenate(hits, axis=1) if hits else np.zeros((3, 0), int)
+        of = np.searchsorted(starts, at, "right") - 1
+        order = np.argsort(of, kind="stable")
+        at, low, high, of = at[order], low[order], high[order], of[order]
+        cuts = np.flatnonzero(np.diff(of)) + 1
+        for own in np.split(np.arange(len(of)), cuts) if len(of) else []:
+            doc = int(of[own[0]])
+            for item, tried in shifts(at[own] - starts[doc], low[own], high[own], seeds).items():
+                most = max(overlap(parts[doc], seeds.items[item], int(s), window, seeds.wrong[item]) for s in tried)
+                if most:
+                    found[run[doc]][item] = most
     return found
 
 
-def look(seeds: Broadcast, window: int, similarity: float) -> Callable[[Column], Column]:
+def look(seeds: Broadcast, window: int) -> Callable[[Column], Column]:
     """What a text holds of a broadcast block of items."""
 
     @F.pandas_udf("ids array<long>, n int, hit boolean")
     def found_in(values: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         hashed, ids = WordHashes(), seeds.value.ids
         for batch in values:
-            found = search(list(batch), seeds.value, hashed, window, similarity)
+            found = search(list(batch), seeds.value, hashed, window)
             yield pd.DataFrame(
                 {
                     "ids": [sorted({ids[i] for i in f if ids[i] is not None}) for f in found],
@@ -167,8 +215,9 @@ def mark(
     document are joined to the items' words and checked there. ``overlap_words`` is the largest number of words in which
     an item, so laid, agrees.
 
-    Items of fewer than ``least_words`` words agree with anything and are not looked for; null and empty texts hold
-    nothing and are clean. Repeated items add nothing; items without an id mark documents but are not listed. An empty
+    An item of fewer than ``least_words`` words is found only where all of its words stand as they are (an item of one word
+    marks every text with that word). Items without words are not looked for; null and empty texts hold nothing and are
+    clean. Repeated items add nothing; items without an id mark documents but are not listed. An empty
     benchmark leaves all clean. Input columns named like the new ones give way to them; others are kept.
 
     Only blocks of the benchmark of about ``block_chars`` characters are broadcast. With more than one block, the
@@ -184,7 +233,7 @@ def mark(
         chosen = benchmark.where(of_block & F.col(item_text).isNotNull()).select(item_id, item_text).distinct().collect()
         seeds = spark.sparkContext.broadcast(build_seeds([tuple(r) for r in chosen], window, least_words, similarity))
 
-        looked = rows.withColumn("more", look(seeds, window, similarity)(F.col("row")[text]))
+        looked = rows.withColumn("more", look(seeds, window)(F.col("row")[text]))
         after = looked.select(
             "row",
             F.array_sort(F.array_union("ids", "more.ids")).alias("ids"),
