@@ -22,9 +22,8 @@ for _number, _members in enumerate(_KINDS):
 _N_KINDS = _HIGH + 1
 #: Pairs of kinds, four figures of the whole text, and a constant.
 WIDTH = _N_KINDS * _N_KINDS + 5
-#: Scores are counted in so many bins; sums of moments meet in so many rows.
+#: Scores are counted in so many bins.
 _BINS = 400
-_MEETING = 16
 
 
 def features(text: str | None) -> np.ndarray:
@@ -157,14 +156,14 @@ def learn(
                 if len(batch):
                     x = np.column_stack([np.ones(len(batch)), np.stack(batch["x"].to_numpy())]).astype(np.float64)
                     total += x.T @ x
-            yield pd.DataFrame({"part": [int(total[0, 0]) % _MEETING], "total": [total.ravel()]})
-
-        def meet(group: pd.DataFrame) -> pd.DataFrame:
-            return pd.DataFrame({"part": group["part"][:1], "total": [np.sum(np.stack(group["total"].to_numpy()), axis=0)]})
-
-        form = "part int, total array<double>"
-        parts = rows.mapInPandas(partial, form).groupBy("part").applyInPandas(meet, form).collect()
-        total = np.sum([np.array(r.total).reshape(WIDTH + 1, WIDTH + 1) for r in parts] or [np.zeros((WIDTH + 1,) * 2)], axis=0)
+            yield pd.DataFrame({"total": [total.ravel()]})
+
+        # One array for each input partition; summed place by place, so no task holds many of them.
+        parts = rows.mapInPandas(partial, "total array<double>").select(F.posexplode("total").alias("place", "value"))
+        total = np.zeros((WIDTH + 1) ** 2)
+        for r in parts.groupBy("place").agg(F.sum("value").alias("value")).collect():
+            total[r.place] = r.value
+        total = total.reshape(WIDTH + 1, WIDTH + 1)
         n = total[0, 0]
         return n, total[0, 1:] / max(n, 1), total[1:, 1:] / max(n, 1)
 
