@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 
 import pandas as pd
+import regex
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,7 +15,9 @@ from docloom.llm.common import with_columns
 
 #: Without a learned language.
 UNDETERMINED = "und"
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+_NOT_LETTERS = regex.compile(r"\P{L}+")
+#: Groups by hash in which the texts of a language are ranked before the first of each group are.
+_RANKED_APART = 64
 #: Bytes compressed at a time. Up to 32 KB zstandard keeps the tables of a dictionary whole beside those of the text.
 _PIECE = 1 << 14
 
@@ -38,14 +40,16 @@ def learn_dictionaries(
 
     A bounded sample: for each language at most ``sample_rows`` different texts, those with the smallest hash, and of
     them as many as fit into ``dictionary_bytes``: whole texts, and of a text of more than ``dictionary_bytes`` bytes a
-    sixteenth of as many letters from its middle. Hashes are ranked without the texts, then only the chosen texts are
-    fetched. Languages come in order of their rows, most first. A language without a letter in its sample is not learned.
+    sixteenth of as many letters from its middle. Hashes are ranked without the texts, first in groups of hashes, so that
+    one task ranks a bounded number however large a language is; then only the chosen texts are fetched. Languages come in order of their rows, most first. A language without a letter in its sample is not learned.
     """
     usable = docs.where(learn_from & F.col(lang).isNotNull() & F.col(text).isNotNull())
     marked = usable.select(F.col(lang).alias("lang"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
-    best = Window.partitionBy("lang").orderBy("mark")
-    ranked = marked.select("lang", "mark").distinct().withColumn("place", F.row_number().over(best))
-    chosen = ranked.where(F.col("place") <= sample_rows).drop("place")
+    chosen = marked.select("lang", "mark").distinct().withColumn("apart", F.pmod("mark", F.lit(_RANKED_APART)))
+    for group in (("lang", "apart"), ("lang",)):
+        place = F.row_number().over(Window.partitionBy(*group).orderBy("mark"))
+        chosen = chosen.withColumn("place", place).where(F.col("place") <= sample_rows).drop("place")
+    chosen = chosen.drop("apart")
     only_letters, part = F.regexp_replace("text", r"[^\p{L}]+", " "), max(1, dictionary_bytes // 16)
     middle = F.greatest(F.lit(1), F.floor((F.length(only_letters) - part) / 2) + 1).cast("int")
     taken = F.when(F.octet_length("text") <= dictionary_bytes, F.col("text")).otherwise(F.substring(only_letters, middle, F.lit(part)))
