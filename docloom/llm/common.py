@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,9 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all machines see; a session that names none, as in tests, gets a folder of its own."""
+    """The folder that all machines see; a session on one machine that names none, as in tests, gets a folder of its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         folder = tempfile.mkdtemp(prefix="docloom-llm-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
