@@ -108,6 +108,7 @@ def best_in_block(
             kept = exact >= np.maximum(kth, -LARGEST)[:, None]
         else:
             kept = exact >= -LARGEST
+        kept &= exact >= floors[of][:, None]
         q, c = np.nonzero(kept)
         place, found = np.append(place, of[q]), np.append(found, some_ids[at][c])
         score = np.append(score, exact[q, c])
