@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.llm.common import dropped, stored
+from docloom.llm.vectors import slices
 
 
 @dataclass(frozen=True)
@@ -91,6 +92,14 @@ def grow(sample: np.ndarray, trees: int, leaf_rows: int, seed: int) -> Forest:
     return Forest(np.array(directions), np.array(thresholds), np.array(children), np.array(leaf), np.array(roots))
 
 
+def entries_before(forest: Forest, query: np.ndarray, rows: np.ndarray, leaves: np.ndarray) -> list[int]:
+    """For each row of ``leaves``, those of one neighbour, the entries held when the query's queue reaches the first of them."""
+    order = forest.probe(query, rows, np.inf)
+    before = np.concatenate([[0], np.cumsum(rows[order])[:-1]]) if order else np.zeros(0, int)
+    at = dict(zip(order, before.tolist(), strict=True))
+    return [min((at[x] for x in of if x in at), default=0) for of in leaves.tolist()]
+
+
 def nearest(
     vectors: DataFrame,
     every: int = 100,
@@ -98,9 +107,12 @@ def nearest(
     trees: int = 16,
     sample_rows: int = 16_384,
     leaf_rows: int = 64,
-    share: float = 0.6,
+    share: float | None = None,
     least_entries: int = 800,
+    recall: float = 0.95,
+    measured_queries: int = 48,
     block_rows: int = 4096,
+    slice_rows: int = 1024,
     vec_id: str = "vec_id",
     embedding: str = "embedding",
     seed: int = 7,
@@ -110,14 +122,17 @@ def nearest(
 
     The trees are grown on a bounded sample (the ``sample_rows`` vectors of smallest hash), with ``leaf_rows`` sample
     rows in a leaf. Every vector is then indexed under its leaf in each tree. A query opens leaves by one queue shared by
-    all trees until they hold ``share`` of the entries of one tree and ``least_entries`` more; the vectors met there are ranked by exact
-    distance on the original components, ties by id. ``share`` is what recall costs: 64 independent dimensions have
-    neighbours hardly nearer than others.
+    all trees until they hold enough entries; the vectors met there are ranked by exact distance on the original
+    components, ties by id. How many are enough is measured: for ``measured_queries`` queries the true neighbours are
+    found by brute force, and the share ``recall`` of them must be within what is opened. Clustered vectors take few
+    entries, 64 independent dimensions over half. With ``share`` given, it is that share of the entries of one tree; at
+    least ``least_entries`` are opened in any case.
 
     Vectors that are null, all zero, of another length than most, or that hold null or non-finite components take no
     part; nor do rows without an id. Equal vectors are one index entry with their ``k + 1`` smallest ids, so copies in any
     number cost nothing and lose nothing. A row given twice counts once; of different vectors under one query id the
-    least is asked. Leaves with many rows are searched in blocks of about ``block_rows``. Fewer than ``k`` others: all
+    least is asked. Leaves with many rows are searched in blocks of about ``block_rows``, by slices of about ``slice_rows``
+    queries, so that one task meets no more of both however many there are. Fewer than ``k`` others: all
     of them. An empty table gives none. Other columns are not read.
     """
     spark = vectors.sparkSession
@@ -146,12 +161,18 @@ def nearest(
         return pd.Series(list(forest.value.leaves_of(np.stack(values.to_numpy())).astype(np.int32)))
 
     index = stored(classes.withColumn("leaf", F.explode(leaves("v"))).drop("h1"), "neighbours-index")
-    dropped(classes)
     rows = np.zeros(int(forest.value.leaf.max()) + 1, np.int64)
     for r in index.groupBy("leaf").count().collect():
         rows[r.leaf] = r["count"]
     counted = spark.sparkContext.broadcast(rows)
-    enough = share * rows.sum() / trees + max(least_entries, trees * (k + 1))
+    queries = usable.where(F.col("id") % every == 0).groupBy(F.col("id").alias("query_id")).agg(F.min("v").alias("q"))
+    least = max(least_entries, trees * (k + 1))
+    if share is None:
+        measured = queries.orderBy(F.xxhash64("query_id")).limit(measured_queries).collect()
+        enough = max(least, _entries_for(classes, [np.array(r.q) for r in measured], forest, rows, k, recall))
+    else:
+        enough = share * rows.sum() / trees + least
+    dropped(classes)
 
     def probes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -159,7 +180,6 @@ def nearest(
                 found = forest.value.probe(np.asarray(v), counted.value, enough)
                 yield pd.DataFrame({"query_id": query, "leaf": np.array(found, np.int32), "q": [v] * len(found)})
 
-    queries = usable.where(F.col("id") % every == 0).groupBy(F.col("id").alias("query_id")).agg(F.min("v").alias("q"))
     asked = queries.mapInPandas(probes, "query_id long, leaf int, q array<double>")
 
     @F.pandas_udf("int")
@@ -167,7 +187,15 @@ def nearest(
         return pd.Series(np.maximum(1, -(-counted.value[of_leaf.to_numpy()] // block_rows)).astype(np.int32))
 
     here = index.withColumn("block", F.pmod(F.xxhash64("first_id"), blocks("leaf")).cast("int"))
+    parts = slices(queries.count(), slice_rows)
+    asked = asked.withColumn("slice", F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int"))
     asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), blocks("leaf") - 1)))
+    if parts == 1:
+        here = here.withColumn("slice", F.lit(0))
+    else:
+        needed = asked.select(F.col("leaf").alias("of"), F.col("block").alias("of_block"), F.col("slice").alias("for_slice")).distinct()
+        here = here.join(needed, (F.col("leaf") == F.col("of")) & (F.col("block") == F.col("of_block")))
+        here = here.drop("of", "of_block").withColumnRenamed("for_slice", "slice")
 
     def rank(key: tuple, questions: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
         if not len(questions) or not len(entries):
@@ -185,8 +213,39 @@ def nearest(
             out += [(query, other, s) for s, other in found]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    met = asked.groupBy("leaf", "block").cogroup(here.groupBy("leaf", "block"))
+    cell = ("leaf", "block", "slice")
+    met = asked.groupBy(*cell).cogroup(here.groupBy(*cell))
     met = met.applyInPandas(rank, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     ranked = met.groupBy("query_id", "vec_id").agg(F.min("score").alias("score")).withColumn("rank", F.row_number().over(best))
     return ranked.where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+def _entries_for(classes: DataFrame, queries: list[np.ndarray], forest, rows: np.ndarray, k: int, recall: float) -> float:
+    """Entries that queries have to open so that ``recall`` of the true neighbours of these are among them."""
+    if not queries:
+        return 0.0
+    asked = np.stack(queries)
+
+    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best = [np.zeros((0, asked.shape[1])) for _ in asked]
+        for batch in batches:
+            v = np.stack(batch["v"].to_numpy()) if len(batch) else best[0]
+            for i, q in enumerate(asked):
+                both = np.concatenate([best[i], v])
+                d = ((both - q) ** 2).sum(axis=1)
+                both, d = both[d > 0], d[d > 0]
+                best[i] = both[np.argsort(d, kind="stable")[:k]]
+        for i, q in enumerate(asked):
+            if len(best[i]):
+                d = ((best[i] - q) ** 2).sum(axis=1)
+                yield pd.DataFrame({"query": i, "d": d, "leaves": list(forest.value.leaves_of(best[i]).astype(np.int32))})
+
+    found = classes.select("v").mapInPandas(near, "query int, d double, leaves array<int>")
+    place = F.row_number().over(Window.partitionBy("query").orderBy("d"))
+    found = found.withColumn("place", place).where(F.col("place") <= k).select("query", "leaves").toPandas()
+    needed: list[int] = []
+    for i, of in found.groupby("query"):
+        needed += entries_before(forest.value, queries[i], rows, np.stack(of["leaves"].to_numpy()))
+    # A leaf is opened as long as fewer entries than enough are held before it.
+    return float(np.quantile(needed, recall, method="higher")) + 1 if needed else 0.0
