@@ -81,8 +81,8 @@ _DOC = "document"
 
 def _carried(docs: DataFrame, *needed: str) -> DataFrame:
     """``needed`` as columns, all others in one struct."""
-    others = [F.col(c) for c in docs.columns if c not in needed]
-    return docs.select(*needed, F.struct(*others, F.lit(0).alias("")).alias(_DOC))
+    others = [F.col(c) for c in docs.columns if c not in needed] or [F.lit(0).alias("none")]
+    return docs.select(*needed, F.struct(*others).alias(_DOC))
 
 
 def _restored(result: DataFrame, docs: DataFrame, *needed: str) -> DataFrame:
