@@ -40,6 +40,7 @@ class SortedLists:
         if not len(down) and not len(up):
             yield np.arange(n), np.zeros(n, np.int64), -np.inf
             return
+        of_lists = np.concatenate([anchor[down], anchor[up]])
         seen = np.zeros(n, bool)
         depth, reads = 0, FIRST_READS
         while depth < n:
@@ -49,10 +50,10 @@ class SortedLists:
             met[self.order[depth:upto, up]] = True
             fresh = np.flatnonzero(met & ~seen)
             seen |= met
-            last = anchor[down] @ self.rows[self.order[n - upto, down], down] + anchor[up] @ self.rows[self.order[upto - 1, up], up]
-            # Rounded up: where doubles are not exact, a threshold that is too high only reads on.
-            last += 1e-12 * (np.abs(anchor[down]) @ np.abs(self.rows[self.order[n - upto, down], down]))
-            last += 1e-12 * (np.abs(anchor[up]) @ np.abs(self.rows[self.order[upto - 1, up], up]))
+            ends = np.concatenate([self.rows[self.order[n - upto, down], down], self.rows[self.order[upto - 1, up], up]])
+            with np.errstate(over="ignore", invalid="ignore"):
+                # Rounded up: where doubles are not exact, a threshold that is too high, or none, only reads on.
+                last = of_lists @ ends + 1e-12 * (np.abs(of_lists) @ np.abs(ends))
             yield fresh, inner_products(anchor[None, :], self.rows[fresh])[0], last if upto < n else -np.inf
             depth, reads = upto, 2 * reads
 

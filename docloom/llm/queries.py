@@ -242,6 +242,38 @@ WITH sized AS (
 )
 SELECT doc_id, size, source_size, target, CAST(copies * size AS BIGINT) AS taken, source, CAST(copies AS BIGINT) AS copies
 FROM drawn
+""",
+    "op6_shard": r"""
+WITH steps AS (
+  SELECT list(v ORDER BY b) AS crcs FROM (
+    SELECT b, list_reduce(range(8), lambda x, bit: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END), b) AS v
+    FROM range(256) AS r(b))
+), sized AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size, md5(coalesce(text, '')) AS grp,
+    list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda p: CAST('0x' || p AS BIGINT)) AS bytes
+  FROM documents
+), placed AS (
+  SELECT doc_id, size, grp, xor(4294967295, list_reduce(
+      bytes, lambda crc, byte: xor(crcs[(xor(crc, byte) & 255) + 1], crc >> 8), 4294967295::BIGINT)) AS text_crc32,
+    CAST(coalesce(sum(size) OVER before, 0) AS BIGINT) AS bytes_before, row_number() OVER (ORDER BY grp, doc_id) - 1 AS rows_before,
+    CAST(sum(size) OVER () AS BIGINT) AS total
+  FROM sized, steps
+  WINDOW before AS (ORDER BY grp, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), groups AS (
+  SELECT grp, min(bytes_before) AS s, max(bytes_before + size) AS e, any_value(total) AS total,
+    least(min(bytes_before) * 8 // any_value(total), 7) AS low,
+    least((max(bytes_before + size) - 1) * 8 // any_value(total), 7) AS high
+  FROM placed GROUP BY grp
+), whole AS (
+  SELECT grp, CASE WHEN high * (total / 8) - s >= e - high * (total / 8) THEN low ELSE high END AS shard
+  FROM groups WHERE low < high AND e - s <= 0.01 * (total / 8)
+), cut AS (
+  SELECT p.*, CAST(coalesce(w.shard, least(bytes_before * 8 // p.total, 7)) AS INTEGER) AS shard
+  FROM placed p LEFT JOIN whole w USING (grp)
+)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, rows_before - min(rows_before) OVER (PARTITION BY shard) AS slot,
+  CAST(NULL AS INTEGER) AS grown_shard
+FROM cut
 """,
     "op11_negatives": """
 WITH usable AS (

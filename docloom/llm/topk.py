@@ -35,15 +35,29 @@ def segment_statistics(rows: np.ndarray, segments: int) -> np.ndarray:
     if not len(edges):
         return np.zeros((len(rows), 0))
     length = np.diff(np.append(edges, width))
-    total = np.add.reduceat(rows, edges, axis=1)
-    spread = np.add.reduceat(rows**2, edges, axis=1) - total**2 / length
-    # A difference of nearly equal squares can come out too small; what it can be off by is added.
-    spread = np.maximum(spread, 0.0) + 1e-13 * np.add.reduceat(rows**2, edges, axis=1)
-    return np.hstack([total / np.sqrt(length), np.sqrt(spread)])
+    with np.errstate(over="ignore", invalid="ignore"):
+        total = np.add.reduceat(rows, edges, axis=1)
+        squares = np.add.reduceat(rows**2, edges, axis=1)
+        # A difference of nearly equal squares can come out too small; what it can be off by is added.
+        spread = np.maximum(squares - total**2 / length, 0.0) + 1e-13 * squares
+        return np.hstack([total / np.sqrt(length), np.sqrt(spread)])
 
 
 def norms(rows: np.ndarray) -> np.ndarray:
-    return np.sqrt((rows**2).sum(axis=1))
+    with np.errstate(over="ignore"):
+        return np.sqrt((rows**2).sum(axis=1))
+
+
+def slack(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """By how much bounds are raised, from the norms of both sides."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        return _SLACK * queries[:, None] * rows
+
+
+def bounds(queries: np.ndarray, rows: np.ndarray, slack: np.ndarray) -> np.ndarray:
+    """Inner products of statistics and what they can be off by; what doubles cannot hold is no bound, so infinity."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        return np.nan_to_num(queries @ rows + slack, nan=np.inf, posinf=np.inf, neginf=-np.inf)
 
 
 class Blocks:
@@ -65,8 +79,8 @@ class Blocks:
         """Numbers and row counts of the blocks of the queries' width, and what no row of each can exceed."""
         number, rows, sides, norm = self.of[queries.shape[1]]
         mean, deviation = np.split(segment_statistics(queries, BLOCK_LEVEL), 2, axis=1)
-        best = np.hstack([np.maximum(mean, 0), np.minimum(mean, 0), deviation]) @ sides
-        return number, rows, best + _SLACK * norms(queries)[:, None] * norm
+        asked = np.hstack([np.maximum(mean, 0), np.minimum(mean, 0), deviation])
+        return number, rows, bounds(asked, sides, slack(norms(queries), norm))
 
     def homes(self, best: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
         """For each query, whether a block is among the most promising ones that hold over ``k`` rows."""
@@ -96,9 +110,7 @@ def best_in_block(
         alive = query_ids[:, None] != some_ids[None, :]
         for m, q in zip(levels, asked, strict=True):
             at = np.flatnonzero(alive.any(axis=0))
-            bound = q @ segment_statistics(some[at], m).T
-            bound += _SLACK * reach[:, None] * size[at]
-            alive[:, at] &= bound >= floors[:, None]
+            alive[:, at] &= bounds(q, segment_statistics(some[at], m).T, slack(reach, size[at])) >= floors[:, None]
         at, of = np.flatnonzero(alive.any(axis=0)), np.flatnonzero(alive.any(axis=1))
         if not len(at):
             continue
