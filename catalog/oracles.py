@@ -562,6 +562,19 @@ SELECT doc_id, value, CAST(NULL AS BIGINT) AS expires_epoch FROM stored WHERE do
 UNION ALL SELECT doc_id, value, CAST(NULL AS BIGINT) FROM final WHERE present
 """
 
+# --- cells loaded twice --------------------------------------------------------------------------------
+
+ORACLES["cells_loaded"] = """
+WITH first AS (SELECT url AS k, arg_max(md5(html), page_id) AS v FROM pages WHERE url IS NOT NULL GROUP BY url),
+more AS (
+  SELECT k, arg_max(v, put) AS v FROM (
+    SELECT 'https://' || source AS k, lang AS v, doc_id AS put FROM documents
+    UNION ALL SELECT url, 'seen', page_id FROM pages WHERE html LIKE '%<article%')
+  WHERE k IS NOT NULL AND v IS NOT NULL GROUP BY k)
+SELECT hex(encode(k)) AS row_key, 'd' AS family, 'digest' AS qualifier, hex(encode(v)) AS value
+FROM (SELECT k, coalesce(m.v, f.v) AS v FROM first f FULL OUTER JOIN more m USING (k))
+"""
+
 # --- long key lists ------------------------------------------------------------------------------------
 
 ORACLES["import_long_range"] = f"""

@@ -24,7 +24,7 @@ from docloom.operators.uniform import apply_operation
 from docloom.operators.update import merge_actions, update_documents
 from docloom.operators.views import define_view, sample_view, scan_view, to_cells
 from docloom.plans import jobs
-from docloom.sinks.cells import read_cells
+from docloom.sinks.cells import load_cells, read_cells, read_loaded_cells
 from docloom.sinks.push import push_attempts, push_resumable
 from docloom.sinks.store import current_store, save_actions
 from docloom.sinks.text import kv_lines, page_lines, parse_kv_lines, read_kv_text
@@ -205,6 +205,23 @@ def cells(spark, sf_dir):
     return made.select(F.hex("row_key").alias("row_key"), "family", "qualifier", F.hex("value").alias("value"))
 
 
+@query
+def cells_loaded(spark, sf_dir):
+    """Cells of all pages by host and page, loaded first; then a second load that puts the titles of some hosts anew."""
+    pages = t.load(spark, sf_dir, "pages")
+    root = scratch_dir(spark, "cells")
+    first = pages.select(F.col("url").alias("doc_id"), F.md5("html").alias("value"), F.col("page_id").alias("put"))
+    load_cells(to_cells(first, "d", "digest", order="put"), root, ranges=16)
+    later = t.load(spark, sf_dir, "documents").select(
+        F.concat(F.lit("https://"), "source").alias("doc_id"), F.col("lang").alias("value"), F.col("doc_id").alias("put")
+    )
+    again = pages.select("url", F.lit("seen").alias("value"), F.col("page_id").alias("put")).where("html LIKE '%<article%'")
+    more = later.unionByName(again.withColumnRenamed("url", "doc_id"))
+    load_cells(to_cells(more, "d", "digest", order="put"), root)
+    made = read_loaded_cells(spark, root)
+    return made.select(F.hex("row_key").alias("row_key"), "family", "qualifier", F.hex("value").alias("value"))
+
+
 # --- lines as actions --------------------------------------------------------------------------------
 
 
