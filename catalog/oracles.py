@@ -439,6 +439,12 @@ SELECT doc_id, CAST(sum(stored) AS BIGINT) AS stored, CAST(0 AS BIGINT) AS alrea
 FROM run GROUP BY doc_id
 """
 
+COMPOSED = SEQUENTIAL.replace(
+    "WHEN length(r.value) > 40 THEN s.v ELSE", "WHEN s.kind = 'purchase' THEN 'p' || r.value || '|' || s.v ELSE"
+).replace("WHEN length(r.value) > 40 THEN NULL ELSE", f"WHEN s.kind = 'purchase' THEN {AS_OF} + 90 ELSE")
+ORACLES["update_in_one_pass"] = ORACLES["update_sequential"].replace(SEQUENTIAL, COMPOSED)
+ORACLES["update_in_one_pass_summary"] = ORACLES["update_summary"].replace(SEQUENTIAL, COMPOSED)
+
 ORACLES["lookup_merge"] = """
 SELECT CAST(l.doc_id * 2 AS VARCHAR) AS doc_id, l.doc_id AS seq,
        CASE WHEN d.doc_id IS NULL THEN 'NONE' WHEN l.toxic = 1 THEN 'DELETE' ELSE 'REPLACE' END AS op,

@@ -15,6 +15,7 @@ from docloom.functions.jsonkeys import is_json_sql
 from docloom.functions.keyspec import split_key_spec
 from docloom.operators import metrics
 from docloom.operators.apply import ApplyResult, apply_actions, apply_to, live_documents
+from docloom.operators.composing import update_composed
 from docloom.operators.existence import existence_counts, existing_keys, key_existence, missing_keys
 from docloom.operators.gate import failed_share
 from docloom.operators.keys import expand_keys, plan_keys
@@ -425,6 +426,33 @@ def update_python_merge(spark, sf_dir):
     return t.store_rows(update_in_order(profiles, source, _in_order_by_hand, t.AS_OF, order_by="event_id").store)
 
 
+def _composed(spark, sf_dir):
+    def merge(payload, existing):
+        text = F.concat(F.lit("v"), payload["event_id"], F.lit(";"))
+        kind = payload["event_type"]
+        return (
+            F.when(existing.isNull() & (kind == "error"), A.none())
+            .when(existing.isNull(), A.add(text, 60))
+            .when(kind == "error", A.delete())
+            .when(kind == "purchase", A.replace(F.concat(F.lit("p"), existing, F.lit("|"), text), 90))
+            .otherwise(A.append(text))
+        )
+
+    source = t.load(spark, sf_dir, "events").select(F.expr(t.USER_KEY).alias("doc_id"), "event_id", "event_type")
+    return update_composed(t.profile_store(spark, sf_dir), source, merge, t.AS_OF, order_by="event_id", max_group_rows=16)
+
+
+@query
+def update_in_one_pass(spark, sf_dir):
+    """Events merged in order by a merge that can be composed, in segments of 16 rows."""
+    return t.store_rows(_composed(spark, sf_dir).store)
+
+
+@query
+def update_in_one_pass_summary(spark, sf_dir):
+    return _composed(spark, sf_dir).summary
+
+
 @query
 def update_summary(spark, sf_dir):
     return _sequential(spark, sf_dir).summary

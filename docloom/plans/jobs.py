@@ -6,11 +6,16 @@ import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.operators.keys import key_intervals, place_by_chunk, plan_keys
-from docloom.operators.metrics import attempt_counters, outcome_counters, reject_counters, update_counters
+from docloom.operators.metrics import (
+    LINES_WITH_WRONG_COLUMNS_COUNT,
+    attempt_counters,
+    outcome_counters,
+    update_counters,
+)
 from docloom.operators.paging import page_rows
 from docloom.operators.uniform import apply_operation
 from docloom.operators.update import Merge, update_documents
@@ -24,12 +29,13 @@ from docloom.operators.views import (
     to_cells,
     within,
 )
+from docloom.schemas import METRICS
 from docloom.sinks.cells import write_cells
 from docloom.sinks.push import StoreClient, push_resumable
 from docloom.sinks.store import change_store
 from docloom.sinks.text import write_kv_text, write_pages
 from docloom.sources.buckets import documents_by_id
-from docloom.sources.lines import parse_action_lines, read_lines
+from docloom.sources.lines import ParsedLines, parse_action_lines, read_lines
 from docloom.sources.outside import FETCHED, ReadClient, call_counters, fetch_documents, with_existing
 from docloom.sources.tables import materialize, stored_whole
 
@@ -167,16 +173,21 @@ def export_lines(
 ) -> ExportReport:
     """Apply a delimited file with one operation to the store under ``root``; saves the next version.
 
-    The lines are parsed once, into the shared scratch folder; what follows reads the columns it needs from there.
+    The lines are read and parsed once, into the shared scratch folder; what follows reads the columns it needs from there.
+    Rejects are counted on the way, by an observation of that job (a stage that Spark runs again may count some twice;
+    ``reject_counters(report.rejects)`` counts them from the lines).
     """
+    seen = Observation("lines")
     lines = parse_action_lines(
         read_lines(spark, path), op, expiry, delimiter=delimiter, literal=literal, escaped=escaped
     )
-    actions = materialize(lines.actions, "export-actions")
+    rejected = F.count_if(F.col("reject_reason").isNotNull()).alias("rejected")
+    actions = materialize(ParsedLines(lines.parsed.observe(seen, rejected)).actions, "export-actions")
     version, result = change_store(
         spark, root, actions, lambda store: apply_operation(store, actions, op, as_of, expiry=expiry, unique_seq=True)
     )
-    counters = outcome_counters(result.outcomes).union(reject_counters(lines.rejects))
+    rejects = spark.createDataFrame([(LINES_WITH_WRONG_COLUMNS_COUNT, seen.get["rejected"])], METRICS)
+    counters = outcome_counters(result.outcomes).union(rejects)
     return ExportReport(version, result.outcomes, lines.rejects, counters)
 
 

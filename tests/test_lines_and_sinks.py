@@ -201,3 +201,14 @@ def test_gate(spark):
     assert require_failed_share(shares.where("false")) == 0.0
     with pytest.raises(ValueError):
         require_failed_share(shares, unit="task")
+
+
+def test_an_export_counts_rejects_while_it_reads_the_lines(spark, tmp_path):
+    lines, root = str(tmp_path / "lines"), str(tmp_path / "store")
+    spark.createDataFrame([(x,) for x in (*LINES, "m\tn", "nothing")], "value string").repartition(3).write.text(lines)
+    report = export_lines(spark, lines, root, AS_OF, op="SET")
+    counters = {r["counter"]: r["value"] for r in report.counters.collect()}
+    assert counters["LINES_WITH_WRONG_COLUMNS_COUNT"] == report.rejects.count() == 4
+    # The counters come from what the one reading of the lines left, not from the text files.
+    plan = report.counters._jdf.queryExecution().toString()
+    assert "FileScan text" not in plan and "Scan text" not in plan
