@@ -616,3 +616,5 @@ ORACLES["followed_view_scan"] = f"""
 SELECT key_ord, doc_id, emitted FROM ({_AFTER_FEED})
 JOIN (VALUES (0, '0'), (1, '1'), (2, '2'), (3, '3'), (4, '5'), (5, '5'), (6, '9')) AS listed(key_ord, k0) USING (k0)
 """
+
+ORACLES["job_import_page_files"] = ORACLES["job_import_paged"]

@@ -640,6 +640,16 @@ def job_import_paged(spark, sf_dir):
     return lines.groupBy("page").agg(F.count(F.lit(1)).alias("n_lines"), F.max("value").alias("last_line"))
 
 
+@query
+def job_import_page_files(spark, sf_dir):
+    """The same pages as one file each, in one folder."""
+    path = scratch_dir(spark, "paged")
+    view, store = t.text_view(spark, sf_dir), t.text_store(spark, sf_dir)
+    jobs.import_view_paged(view, TEXT_SPEC, path, store, page_size=50, flat=True)
+    lines = spark.read.text(path).select(F.regexp_extract(F.input_file_name(), "[^/]+$", 0).alias("page"), "value")
+    return lines.groupBy("page").agg(F.count(F.lit(1)).alias("n_lines"), F.max("value").alias("last_line"))
+
+
 @query
 def job_export(spark, sf_dir):
     """Lines written to files, exported into a stored document store, and the new store read back."""

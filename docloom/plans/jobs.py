@@ -33,7 +33,7 @@ from docloom.schemas import METRICS
 from docloom.sinks.cells import write_cells
 from docloom.sinks.push import StoreClient, push_resumable
 from docloom.sinks.store import change_store
-from docloom.sinks.text import write_kv_text, write_pages
+from docloom.sinks.text import write_kv_text, write_page_files, write_pages
 from docloom.sources.buckets import documents_by_id
 from docloom.sources.lines import ParsedLines, parse_action_lines, read_lines
 from docloom.sources.outside import FETCHED, ReadClient, call_counters, fetch_documents, with_existing
@@ -135,9 +135,12 @@ def import_view_paged(
     num_chunks: int | None = None,
     separator: str = "\t",
     escape: bool = True,
+    flat: bool = False,
 ) -> ImportReport:
     """Write the documents of the listed keys as numbered pages, numbered over all keys.
 
+    Each page is a folder with a file in it, or with ``flat`` a file ``part-NNNNN`` (:func:`write_page_files`).
+
     Index rows are paged before the documents are looked up, so paging moves narrow rows. A row without
     document keeps its place in the page but writes no line.
     """
@@ -146,8 +149,10 @@ def import_view_paged(
     if store is not None:
         documents = _documents_for(store, rows)
         paged = paged.join(documents, "doc_id", "left")
-    present = paged.where(paged["value"].isNotNull())
-    write_pages(present, path, separator=separator, escape=escape)
+    if flat:
+        write_page_files(paged, path, separator=separator, escape=escape)
+    else:
+        write_pages(paged.where(paged["value"].isNotNull()), path, separator=separator, escape=escape)
     return ImportReport(paged, missing_documents(paged))
 
 

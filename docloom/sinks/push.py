@@ -6,7 +6,6 @@ what has been acknowledged and does not send it again. For exact results apply a
 
 from __future__ import annotations
 
-import re
 import time
 import uuid
 from collections.abc import Callable, Iterator
@@ -23,6 +22,7 @@ from pyspark.sql import functions as F
 from docloom.functions import actions as A
 from docloom.operators.metrics import TEMPORARY_FAILURE, TIMED_OUT
 from docloom.schemas import ACTIONS, ATTEMPTS
+from docloom.sources.files import arrow_path
 from docloom.sources.tables import exists, stored_whole
 
 
@@ -189,8 +189,7 @@ class _PartitionLog:
     """Log files of one partition, written where Spark reads them."""
 
     def __init__(self, folder: str):
-        local = re.fullmatch(r"(?:file:(?://)?)?(/.*)", folder)
-        self.fs, self.folder = (pa.fs.LocalFileSystem(), local.group(1)) if local else pa.fs.FileSystem.from_uri(folder)
+        self.fs, self.folder = arrow_path(folder)
         self.rows: list[tuple] = []
 
     def done(self) -> set[tuple]:

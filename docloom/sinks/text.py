@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.functions.text import escape_text, unescape_text
+from docloom.sources.files import arrow_path, write_whole
 
 PAGE_NAME = "part-%05d"  # fixed value: page file naming
 
@@ -84,3 +88,45 @@ def write_pages(
     # The order starts with the folder column, so the writer keeps it.
     placed = lines.repartition("page").sortWithinPartitions("page", "doc_id")
     placed.select("page", "value").write.mode(mode).partitionBy("page").text(path)
+
+
+def write_page_files(
+    pages: DataFrame, path: str, *, separator: str = "\t", escape: bool = True
+) -> tuple[int, int]:
+    """One file for each page, ``path/part-NNNNN``, lines in ID order; how many files and lines there are.
+
+    Rows without document write no line, but their page has its file. A page is bounded by the page size: it is brought
+    into one task and written from there, under another name first, so that a task that runs again leaves no second file
+    and no half one. ``_SUCCESS`` is written last. The folder must be new, and one that executors can write through Arrow's
+    file systems.
+    """
+    fs, folder = arrow_path(path.rstrip("/"))
+    if fs.get_file_info(folder).type.name != "NotFound":
+        raise FileExistsError(path)
+    fs.create_dir(folder, recursive=True)
+    line = kv_line(F.col("doc_id"), F.col("value"), separator=separator, escape=escape)
+    lines = pages.select(F.format_string(PAGE_NAME, F.col("page_no")).alias("page"), "doc_id", line.alias("line"))
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, folder = arrow_path(path.rstrip("/"))
+        page, held = None, []
+
+        def done() -> pd.DataFrame:
+            write_whole(fs, f"{folder}/{page}", "".join(f"{x}\n" for x in held).encode())
+            return pd.DataFrame({"page": [page], "n_lines": [len(held)]})
+
+        for batch in batches:
+            for of, line in zip(batch["page"], batch["line"], strict=True):
+                if of != page:
+                    if page is not None:
+                        yield done()
+                    page, held = of, []
+                if line is not None:
+                    held.append(line)
+        if page is not None:
+            yield done()
+
+    placed = lines.repartition("page").sortWithinPartitions("page", "doc_id")
+    found = placed.mapInPandas(write, "page string, n_lines bigint").agg(F.count("*"), F.sum("n_lines")).first()
+    write_whole(fs, f"{folder}/_SUCCESS", b"")
+    return found[0], found[1] or 0

@@ -14,7 +14,7 @@ from docloom.plans.jobs import export_lines, update_job
 from docloom.schemas import ACTIONS, STORE, conform
 from docloom.sinks.push import push_actions, push_attempts
 from docloom.sinks.store import current_store, save_actions
-from docloom.sinks.text import kv_lines, parse_kv_lines
+from docloom.sinks.text import kv_lines, parse_kv_lines, write_page_files
 from docloom.sources.lines import parse_action_lines, read_lines
 from docloom.sources.tables import read_snapshot, snapshot_versions, write_snapshot
 
@@ -212,3 +212,19 @@ def test_an_export_counts_rejects_while_it_reads_the_lines(spark, tmp_path):
     # The counters come from what the one reading of the lines left, not from the text files.
     plan = report.counters._jdf.queryExecution().toString()
     assert "FileScan text" not in plan and "Scan text" not in plan
+
+
+def test_page_files_are_flat_and_whole(spark, tmp_path):
+    path = str(tmp_path / "pages")
+    rows = [(i // 10, f"d{i:03d}", None if 40 <= i < 50 or i == 3 else f"text\n{i}") for i in range(95)]
+    pages = spark.createDataFrame(rows, "page_no int, doc_id string, value string").repartition(5)
+    assert write_page_files(pages, path) == (10, 84)
+    names = sorted(n for n in os.listdir(path) if not n.startswith((".", "_")))
+    assert names == [f"part-{i:05d}" for i in range(10)] and "_SUCCESS" in os.listdir(path)
+    assert not [n for n in os.listdir(path) if n.startswith(".") and not n.endswith(".crc")]
+    lines = open(f"{path}/part-00000").read().split("\n")
+    assert lines == [f"d{i:03d}\ttext\\n{i}" for i in range(10) if i != 3] + [""]
+    assert open(f"{path}/part-00004").read() == ""
+    with pytest.raises(FileExistsError):
+        write_page_files(pages, path)
+    assert write_page_files(pages.limit(0), str(tmp_path / "none")) == (0, 0)
