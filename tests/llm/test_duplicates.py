@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import time
 
 import numpy as np
 import pytest
@@ -264,3 +265,42 @@ def test_queries_over_a_table(spark, sf_dir):
     assert all(found <= set(marked[i]) for i, found in leaks.items())
     got = op7_lines(spark, sf_dir).agg(F.count("*").alias("n"), F.sum("deleted_lines").alias("d")).first()
     assert got.n == len(docs) and got.d > 0
+
+
+def test_short_items_are_found_whole(spark):
+    texts = {1: "so one two three four it is", 2: "one two three five", 3: "Three! two", 4: None, 5: "one two three four"}
+    items = [(10, "One two, three four"), (11, "three two"), (12, ""), (13, None), (14, "two three five six")]
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = decontaminate.mark(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {r.doc_id: (r.item_ids, r.overlap_words) for r in found} == {
+        1: ([10], 4), 2: ([], 0), 3: ([11], 2), 4: ([], 0), 5: ([10], 4),
+    }
+
+
+@pytest.mark.parametrize("period", [1, 2, 3])
+def test_repeated_words_take_time_by_their_number(period):
+    said, item = (" ".join(f"w{i % period}" for i in range(n)) for n in (20_000, 400))
+    seeds = decontaminate.build_seeds([(1, item)], 13, 8, 0.8)
+    start = time.process_time()
+    assert decontaminate.search([said], seeds, WordHashes(), 13) == [{0: 400}]
+    assert time.process_time() - start < 5
+
+
+def test_shifts_are_the_same_both_ways(monkeypatch, rng):  # noqa: F811
+    texts = [" ".join(rng.choice("abc") for _ in range(n)) for n in (300, 0, 40, 500)]
+    items = [(i, " ".join(rng.choice("abc") for _ in range(n))) for i, n in enumerate((30, 60, 9))]
+    seeds = decontaminate.build_seeds(items, 13, 8, 0.8)
+    found = []
+    for many in (0, 10, 10**9):
+        monkeypatch.setattr(decontaminate, "_MANY", many)
+        found.append(decontaminate.search(texts, seeds, WordHashes(), 13))
+    assert found[0] == found[1] == found[2] and any(found[0])
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Cluster:
+        conf = {}
+        sparkContext = type("Context", (), {"master": "spark://host:7077"})
+
+    with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
+        common.shared_dir(Cluster)

@@ -125,3 +125,16 @@ def test_query_rows(spark, sf_dir):
     for r in got:
         raw = (docs[r.doc_id] or "").encode()
         assert (r["size"], r.text_crc32, r.law) == (len(raw) + 1, zlib.crc32(raw), "bytes")
+
+
+def test_words_taken_miss_a_target_by_less_than_the_longest_document(spark, rng):  # noqa: F811
+    """In order of size, the copies of a stretch are off by less than one, so the words are by less than the largest size."""
+    rows = [(i, f"s{i % 7}", rng.choice([0, 1, 3, 20, 400, 5000])) for i in range(600)]
+    mixed = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, size long"), [5.0, 2.0, 1.0]).collect()
+    taken, longest, target = defaultdict(int), defaultdict(int), {}
+    for r in mixed:
+        taken[r.source] += r.copies * r["size"]
+        longest[r.source] = max(longest[r.source], r["size"])
+        target[r.source] = r.target
+    for s in target:
+        assert abs(taken[s] - target[s]) <= longest[s] + 1

@@ -44,8 +44,37 @@ def test_exact_when_all_leaves_are_opened(spark):
     rows += [(1000 + i, copy, 1) for i in range(300)]  # one vector many times, two queries among them
     rows += [(1, None, 0), (5000, [], 0), (5100, [0.0] * 8, 0), (5200, [float("nan")] * 8, 0), (5300, [None] * 8, 0)]
     rows += [(5400, [float("inf")] + [1.0] * 7, 0), (5500, [1.0, 2.0], 0), (None, copy, 0), (7, rows[7][1], 0)]
-    got = result(neighbours.nearest(spark.createDataFrame(rows, FORM), share=99, leaf_rows=16, block_rows=20))
-    same(got, by_hand([r for r in rows if r[0] != 1 or r[1]]))
+    want = by_hand([r for r in rows if r[0] != 1 or r[1]])
+    for sizes in ({}, {"slice_rows": 2}):
+        same(result(neighbours.nearest(spark.createDataFrame(rows, FORM), share=99, leaf_rows=16, block_rows=20, **sizes)), want)
+
+
+def test_cells_are_bounded_in_questions_and_entries(spark, monkeypatch):
+    """Ten thousand questions to a thousand vectors: no cell holds more than a block and about a slice."""
+    rows = [(i * 100, v, 0) for i, v, _ in vectors(10_000)] + [(i * 100 + 1, v, 0) for i, v, _ in vectors(1000, seed=2)]
+    table = spark.createDataFrame(rows, FORM)
+    found = neighbours.nearest(table, share=0.02, slice_rows=500, trees=2, k=2)
+    assert found.groupBy("query_id").count().where("count = 2").count() == 10_000
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "leaf" in plan and "slice" in plan
+
+
+def test_clustered_vectors_open_few_entries(spark, monkeypatch):
+    needed = []
+    measure = neighbours._entries_for
+    monkeypatch.setattr(neighbours, "_entries_for", lambda *a: needed.append(measure(*a)) or needed[-1])
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(100, 16))
+    rows = [(i, [float(x) for x in centres[i % 100] + 0.05 * rng.normal(size=16)], 0) for i in range(6000)]
+    got = result(neighbours.nearest(spark.createDataFrame([(i, [float(x) for x in np.float32(v)], l) for i, v, l in rows], FORM)))
+    assert 0 < needed[0] < 0.3 * 6000
+    v = np.array([r[1] for r in rows], np.float32).astype(float)
+    hit = 0
+    for q in range(0, 6000, 100):
+        d = ((v - v[q]) ** 2).sum(axis=1)
+        d[q] = np.inf
+        hit += len(set(np.argsort(d, kind="stable")[:10].tolist()) & {g[2] for g in got if g[0] == q})
+    assert hit / 600 >= 0.9
 
 
 def test_few_rows(spark):
@@ -104,6 +133,16 @@ def test_pipeline_of_odd_rows(spark, odd_documents, tmp_path):
         f"{folder}/benchmark.parquet"
     )
     for docs in (odd_documents, odd_documents.limit(0)):
-        for _, stage in p.STAGES:
+        extra = [c for c in docs.columns if c not in ("doc_id", "text", "lang", "source", "n_chars")]
+        for name, stage in p.STAGES:
+            before = docs
             docs = p.stored(stage(spark, docs, folder), "odd")
-        assert {"shard", "slot", "doc_id", "key"} <= set(docs.columns)
+            rows = docs.collect()
+            if name != "sharding":
+                assert docs.dtypes == before.dtypes
+            else:
+                assert set(docs.columns) == set(before.columns) | {"shard", "slot"}
+            # What an operator calls its own columns is left alone where the documents have a column of that name.
+            kept = [c for c in extra if name != "sharding" or c not in ("shard", "slot")]
+            assert all(r[c] == "mine" for r in rows for c in kept)
+        assert bool(rows) == (before.count() > 0)

@@ -3,7 +3,9 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+import time
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -246,3 +248,94 @@ def test_languages_of_long_texts_only_are_learned(spark, rng):
     assert 0 < len(learned["xx"]) <= 1 << 14
     asked = spark.createDataFrame([(1, "skog kjempe skog skog kjempe kjempe skog")], "doc_id long, text string")
     assert languages.identify(asked, learned).first().lang_pred == "xx"
+
+
+# --- what stands around and between, and deep pages -----------------------------------------------------
+
+LONG = "Some words of a sentence that go on for a while, with commas, and more, so that it scores. " * 4
+
+
+def test_what_stands_between_parts_of_the_text_stays():
+    between = (
+        "<h2>Second</h2><h3>Third</h3><ul><li>one</li></ul><table><tr><td>cell</td></tr></table>"
+        "<blockquote>said</blockquote><div>short close</div>"
+    )
+    half = f"<div><p>{LONG}</p><p>{LONG}</p></div>"
+    page = f"<div class=menu><a href=x>Home</a></div><div>{half}{between}{half}</div><div class=footer>foot</div>"
+    one = LONG.strip()
+    assert pages.main_text(page).split("\n") == [one, one, "Second", "Third", "one", "cell", "said", "short close", one, one]
+
+
+def test_several_short_articles_all_stay():
+    articles = "".join(f"<article><h2>T{i}</h2><p>Short text {i}, with a comma.</p></article>" for i in range(3))
+    want = [x for i in range(3) for x in (f"T{i}", f"Short text {i}, with a comma.")]
+    for page in (f"<nav>menu</nav><main>{articles}</main>", f"<nav>menu</nav><div>{articles}</div><footer>foot</footer>"):
+        assert pages.main_text(page).split("\n") == want
+
+
+def test_names_of_asides_may_name_text_within_an_article():
+    page = f"""<article><p>{LONG}</p><div class="social-history"><p>{LONG}</p></div><div class="comments"><p>{LONG}</p></div>
+        <div class="share-box">Share this <a href=x>here</a></div><div class="related"><a href=y>{LONG}</a></div></article>"""
+    assert pages.main_text(page) == f"{LONG.strip()}\n{LONG.strip()}"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<b>" * 100_000 + "x" + "</i>" * 100_000,
+        "<p>" + "<div>" * 100_000 + "x",
+        "<ul>" + "<li><b>x" * 50_000,
+        "<p><button>" + "<div>" * 100_000 + "</button>x",
+        "<header>" * 100_000 + "x",
+        "<table><tr><td>" * 30_000 + "x" + "</b>" * 30_000,
+    ],
+)
+def test_deep_pages_take_time_by_their_length(page):
+    def seconds(text):
+        start = time.process_time()
+        pages.main_text(text)
+        return time.process_time() - start
+
+    half = seconds(page[: len(page) // 2])
+    assert seconds(page) < 4 * half + 1
+
+
+def test_only_letters_are_letters(spark):
+    docs = spark.createDataFrame([(1, "½ ² Ⅷ"), (2, "½a"), (3, "ß ﬁ")], "doc_id long, text string")
+    assert [languages.letters(t).decode() for t in ("½ ² Ⅷ", "½a b_c 3d", "É é")] == ["", "a b c d", "é é"]
+    found = languages.identify(docs, {"en": b"a b c", "de": b"\xc3\x9f"})
+    assert {r.doc_id: r.lang_pred == "und" for r in found.collect()} == {1: True, 2: False, 3: False}
+
+
+def test_the_sample_of_a_language_is_ranked_in_bounded_groups(spark, rng):  # noqa: F811
+    docs = spark.createDataFrame([(i, sentence(rng, 5), "en") for i in range(3000)], "doc_id long, text string, lang string")
+    found = languages.learn_dictionaries(docs.repartition(50), F.lit(True), sample_rows=20)
+    marks = sorted((r.m, r.text) for r in docs.select(F.xxhash64("text").alias("m"), "text").distinct().collect())[:20]
+    assert found["en"] == b"".join(languages.letters(t) + b" " for _, t in marks)
+
+
+def test_languages_equal_a_plain_loop(spark, sf_dir):
+    """All rows of a table: the smallest sum of compressed pieces, computed one by one."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    dictionaries = languages.learn_dictionaries(docs, ~held_out())
+    by_language = languages.compressors(dictionaries)
+    got = {r.doc_id: r.lang_pred for r in op10_language(spark, sf_dir).collect()}
+    for r in docs.collect():
+        data = "".join(c if c.isalpha() else " " for c in (r.text or "").lower())
+        data = " ".join(data.split()).encode()
+        sizes = [sum(len(c.compress(data[i : i + 16384])) for i in range(0, len(data), 16384)) for _, c in by_language]
+        want = by_language[sizes.index(min(sizes))][0] if data else "und"
+        assert got[r.doc_id] == want
+
+
+def test_moments_are_sums_over_all_rows(spark, sf_dir):
+    """The fit equals one from plain sums over all features, however many partitions there are."""
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    one, many = (quality.learn(d, labels, ~held_out()) for d in (docs.coalesce(1), docs.repartition(100)))
+    assert np.allclose(one.weights, many.weights, rtol=1e-6, atol=1e-9) and abs(one.prior - many.prior) < 1e-9
+    kept = {r.doc_id for r in docs.where(~held_out()).select("doc_id").collect()}
+    good = {r.doc_id for r in labels.where(~held_out() & (F.col("quality") == 1)).collect()}
+    x = {r.doc_id: quality.features(r.text).astype(np.float32).astype(float) for r in docs.collect() if r.doc_id in kept}
+    p, u = np.stack([v for i, v in x.items() if i in good]), np.stack(list(x.values()))
+    weights = quality.least_risk(one.prior, p.mean(0), p.T @ p / len(p), u.mean(0), u.T @ u / len(u), 1e-4)
+    assert np.allclose(one.weights, weights, rtol=1e-5, atol=1e-7)
