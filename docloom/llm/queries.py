@@ -126,7 +126,7 @@ def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # From its a-th word on, one text in ten says its next p words over and over.
     words = docs.withColumn("w", F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))))
-    cut = words.withColumn("n", F.size("w")).withColumn("a", F.expr("h DIV 10 % n"))
+    cut = words.withColumn("n", F.size("w")).withColumn("a", F.expr("h DIV 10 % nullif(n, 0)"))
     cut = cut.withColumn("p", F.expr("1 + (n - a) DIV (3 + h DIV 10 % 8)"))
     periodic_text = "array_join(transform(sequence(0, n - 1), i -> w[int(if(i < a, i, a + (i - a) % p))]), ' ')"
     said = cut.select("doc_id", F.expr(f"if(n > 0, {periodic_text}, text)").alias("text"))

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+import zlib
+
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from odd import odd_documents, rng, sentence  # noqa: F401
 
 from docloom.llm import periodic
+from docloom.llm.queries import op12_runs
 
 
 def by_hand(words, least):
@@ -105,3 +110,30 @@ def test_with_runs_of_odd_rows(spark, odd_documents, rng):  # noqa: F811
     assert periodic.with_runs(docs.limit(0), docs.text).count() == 0
 
 
+
+
+def test_the_query_says_words_over_as_the_contract_does(spark, tmp_path, rng):  # noqa: F811
+    """All rules of the contract by plain loops, on texts of every kind under ids that are and are not rewritten."""
+    rewritten = [i for i in range(400) if zlib.crc32(str(i).encode()) % 10 == 0]
+    others = [i for i in range(400) if zlib.crc32(str(i).encode()) % 10]
+    texts = [None, "", " \n\t ", "one", "a b a b a b a b a b a b a b", "\x0bx\x0c y\u00a0z \u2003 w ", sentence(rng, 300), sentence(rng, 40), "w " * 50]
+    rows = [(i, t) for ids in (rewritten, others) for i, t in zip(ids, texts * 3)] + [(None, texts[4]), (rewritten[0], texts[6])]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = []
+    for i, text in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        h, n = (0 if i is None else zlib.crc32(str(i).encode())), len(words)
+        if i is not None and h % 10 == 0 and n:
+            g = h // 10
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[k] if k < a else words[a + (k - a) % p] for k in range(n)]
+        runs = by_hand(words, 12)
+        best = min(runs, key=lambda r: (-r[1], r[0], r[2]), default=None)
+        listed = "".join(f"{s},{m},{q}\n" for s, m, q in runs)
+        figures = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+        digests = [hashlib.sha256(x.encode()).hexdigest() for x in (listed, collapsed(words, runs))]
+        want.append((i, len(runs), *figures, *digests))
+    columns = "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256".split()
+    got = [tuple(r) for r in op12_runs(spark, str(tmp_path)).select(*columns).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr) and any(w[1] for w in want)

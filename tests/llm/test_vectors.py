@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from docloom.llm import negatives, topk
+from docloom.llm.queries import op11_negatives, op13_topk
 from docloom.llm.vectors import LARGEST, inner_products
 
 FORM = "vec_id long, embedding array<double>, label int, score string, width string, block string, slice string, id string, v string"
@@ -150,3 +151,11 @@ def test_inner_products_are_exact():
     a, b = np.array([[2.0**40, 3.0, -(2.0**61)]]), np.array([[2.0**13, 5.0, 1.0], [2.0**40, 1.0, 0.0]])
     assert inner_products(a, b).tolist() == [[2**53 + 15 - 2**61, LARGEST]]
     assert inner_products(np.zeros((0, 3)), b).shape == (0, 2)
+
+
+def test_the_queries_follow_their_contracts(spark, tmp_path):
+    rows = odd(vectors(250))
+    table(spark, rows).select("vec_id", "embedding", "label").write.parquet(f"{tmp_path}/embeddings.parquet")
+    moved = [(i, v, (label + 1) % 10 if i is not None and label is not None and i % 7 == 0 else label) for i, v, label in rows]
+    assert got(op11_negatives(spark, str(tmp_path))) == sorted(negatives_by_hand(moved, 100))
+    assert got(op13_topk(spark, str(tmp_path))) == sorted(topk_by_hand(rows, 20, 20))
