@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -19,6 +19,7 @@ from docloom.operators.metrics import (
 from docloom.operators.paging import page_rows
 from docloom.operators.uniform import apply_operation
 from docloom.operators.update import Merge, update_documents
+from docloom.operators.view_changes import Define
 from docloom.operators.views import (
     MAX_LITERAL_KEYS,
     asked_for,
@@ -175,9 +176,12 @@ def export_lines(
     delimiter: str = "\t",
     literal: bool = False,
     escaped: bool = False,
+    views: Mapping[str, Define] | None = None,
 ) -> ExportReport:
     """Apply a delimited file with one operation to the store under ``root``; saves the next version.
 
+    ``views`` that follow the store are brought up to date (see ``change_store``).
+
     The lines are read and parsed once, into the shared scratch folder; what follows reads the columns it needs from there.
     Rejects are counted on the way, by an observation of that job (a stage that Spark runs again may count some twice;
     ``reject_counters(report.rejects)`` counts them from the lines).
@@ -189,7 +193,11 @@ def export_lines(
     rejected = F.count_if(F.col("reject_reason").isNotNull()).alias("rejected")
     actions = materialize(ParsedLines(lines.parsed.observe(seen, rejected)).actions, "export-actions")
     version, result = change_store(
-        spark, root, actions, lambda store: apply_operation(store, actions, op, as_of, expiry=expiry, unique_seq=True)
+        spark,
+        root,
+        actions,
+        lambda store: apply_operation(store, actions, op, as_of, expiry=expiry, unique_seq=True),
+        views,
     )
     rejects = spark.createDataFrame([(LINES_WITH_WRONG_COLUMNS_COUNT, seen.get["rejected"])], METRICS)
     counters = outcome_counters(result.outcomes).union(rejects)
@@ -212,14 +220,16 @@ def update_job(
     transform: Callable[[DataFrame], DataFrame] | None = None,
     order_by: str | None = None,
     reduce: Sequence[Column] | None = None,
+    views: Mapping[str, Define] | None = None,
 ) -> UpdateReport:
-    """Update the store under ``root`` from ``source``; saves the next version."""
+    """Update the store under ``root`` from ``source``; saves the next version, and ``views`` follow it."""
     rows = transform(source) if transform else source
     version, result = change_store(
         source.sparkSession,
         root,
         rows,
         lambda store: update_documents(store, rows, merge, as_of, order_by=order_by, reduce=reduce),
+        views,
     )
     return UpdateReport(version, result.summary, update_counters(result.summary))
 

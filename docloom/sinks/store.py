@@ -35,30 +35,35 @@ def current_store(spark: SparkSession, root: str) -> DataFrame:
 
 
 def change_store(
-    spark: SparkSession, root: str, keys: DataFrame, compute: Callable[[DataFrame], Result]
+    spark: SparkSession,
+    root: str,
+    keys: DataFrame,
+    compute: Callable[[DataFrame], Result],
+    views: Mapping[str, Define] | None = None,
 ) -> tuple[int, Result]:
     """Bring the store under ``root`` to ``compute(store).store``; number of the new version, and the result.
 
     A bucketed store is read and rewritten only in the buckets of ``keys(doc_id)``, all keys that ``compute`` may change;
-    another store gets its next whole snapshot.
+    another store gets its next whole snapshot. ``views`` names views kept by :func:`create_view` and what they index; they
+    follow a bucketed store.
     """
-    if is_bucketed(spark, root):
-        return change_buckets(spark, root, keys, compute)
-    result = compute(current_store(spark, root))
-    return write_snapshot(result.store, root), result
+    if not is_bucketed(spark, root):
+        if views:
+            raise ValueError(f"views can only follow a store in buckets, which {root} is not")
+        result = compute(current_store(spark, root))
+        return write_snapshot(result.store, root), result
+    version, result = change_buckets(spark, root, keys, compute)
+    for view_root, define in (views or {}).items():
+        follow(spark, view_root, root, define)
+    return version, result
 
 
 def save_actions(
     actions: DataFrame, root: str, as_of: dt.datetime | str, *, views: Mapping[str, Define] | None = None, **options
 ) -> SavedActions:
-    """Apply ``actions`` to the newest version of the store under ``root`` and save the next one.
-
-    ``views`` names views kept by :func:`create_view` and what they index; they follow a bucketed store.
-    """
+    """Apply ``actions`` to the newest version of the store under ``root`` and save the next one (see ``change_store``)."""
     spark = actions.sparkSession
-    version, result = change_store(spark, root, actions, lambda store: apply_actions(store, actions, as_of, **options))
-    for view_root, define in (views or {}).items():
-        follow(spark, view_root, root, define)
+    version, result = change_store(spark, root, actions, lambda store: apply_actions(store, actions, as_of, **options), views)
     return SavedActions(version, result.outcomes)
 
 

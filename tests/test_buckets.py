@@ -6,17 +6,19 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import AS_OF, AS_OF_TIME
+from docloom.functions import actions as A
 from docloom.operators.apply import apply_actions
 from docloom.operators.keys import plan_keys
 from docloom.operators.view_changes import changed_by, index_changes
 from docloom.operators.views import define_view, scan_view
-from docloom.plans.jobs import import_view
+from docloom.plans.jobs import export_lines, import_view, update_job
 from docloom.schemas import ACTIONS, STORE
 from docloom.sinks.store import current_store, save_actions
 from docloom.sinks.text import read_kv_text
 from docloom.sources import buckets as B
 from docloom.sources import versions as V
 from docloom.sources import view_store as S
+from docloom.sources.tables import write_snapshot
 from replay import replay
 from test_apply import expected_store, frames, random_case, stored
 
@@ -241,6 +243,23 @@ def test_layers_are_folded(spark, tmp_path, monkeypatch):
     assert S.read_followed(spark, view, 2).count() == 299
 
 
+def test_jobs_keep_views_up_to_date(spark, tmp_path):
+    root, view, lines = (str(tmp_path / n) for n in ("store", "view", "lines"))
+    B.create_buckets(numbered(spark, 60), root, 8)
+    S.create_view(spark, view, root, by_length)
+    spark.createDataFrame([("d1\tlonger text than before",), ("d70\tnew",)], "value string").write.text(lines)
+    export_lines(spark, lines, root, AS_OF, op="SET", views={view: by_length})
+    assert view_rows(S.read_followed(spark, view)) == view_rows(by_length(B.read_buckets(spark, root)))
+    source = spark.createDataFrame([("d2", 1), ("d80", 2)], "doc_id string, n int")
+    update_job(source, root, lambda p, old: A.set_(F.concat(F.lit("n"), p["n"])), AS_OF, views={view: by_length})
+    want = by_length(B.read_buckets(spark, root))
+    assert view_rows(S.read_followed(spark, view)) == view_rows(want) and want.where("doc_id = 'd80'").count() == 1
+    plain = str(tmp_path / "plain")
+    write_snapshot(numbered(spark, 5), plain)
+    with pytest.raises(ValueError, match="in buckets"):
+        save_actions(deletes(spark, ["d1"]), plain, AS_OF, views={view: by_length})
+
+
 def test_a_view_of_nothing(spark, tmp_path):
     root, view = str(tmp_path / "store"), str(tmp_path / "view")
     B.create_buckets(spark.createDataFrame([], STORE), root, 2)
