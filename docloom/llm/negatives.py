@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docloom.llm.common import block, in_order, row_in_block, stored
+from docloom.llm.common import in_order, stored, with_row_number
 from docloom.llm.vectors import LARGEST, grid, inner_products, matrix, slices, whole_vectors
 
 #: Blocks are made larger rather than more than this many; their labels are sent to every task.
@@ -141,8 +141,9 @@ def hard_negatives(
         )
     parts = slices(asking, slice_rows)
     size = max(block_rows, -(-rows // MAX_BLOCKS))
-    placed = in_order(whole, ["width", "label", "id"], "negatives-blocks")
-    placed = placed.withColumn("block", F.shiftleft(block(), 32) + F.floor(row_in_block() / size)).drop("at")
+    # Blocks are cut along the whole order, so they are as few as their size allows, however it is partitioned.
+    placed = with_row_number(in_order(whole, ["width", "label", "id"], "negatives-blocks"), "place")
+    placed = placed.withColumn("block", F.floor(F.col("place") / size)).drop("at", "place")
     held = placed.groupBy("width", "block").agg(F.min("label").alias("first"), F.max("label").alias("last"))
     # In the order of labels: a block holds those from its first to its last, and no others.
     labels = spark.sparkContext.broadcast(

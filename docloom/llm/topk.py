@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docloom.llm.common import block, in_order, row_in_block, stored
+from docloom.llm.common import in_order, stored, with_row_number
 from docloom.llm.vectors import LARGEST, grid, inner_products, matrix, slices, whole_vectors
 
 #: Segments of a vector at each resolution, and those that blocks of rows are summed up by.
@@ -168,9 +168,10 @@ def search(
     if not rows:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     parts = slices(asking, slice_rows)
-    place = F.floor(row_in_block() / max(block_rows, -(-rows // MAX_BLOCKS)))
-    placed = in_order(_coarse(whole), ["width", "code", "mean"], "topk-blocks")
-    placed = placed.select("id", "width", "v", (F.shiftleft(block(), 32) + place).alias("block"))
+    # Blocks are cut along the whole order, so they are as few as their size allows, however it is partitioned.
+    placed = with_row_number(in_order(_coarse(whole), ["width", "code", "mean"], "topk-blocks"), "place")
+    size = max(block_rows, -(-rows // MAX_BLOCKS))
+    placed = placed.select("id", "width", "v", F.floor(F.col("place") / size).alias("block"))
 
     ranges = placed.mapInArrow(_summed, "width int, block long, segment int, low double, high double, deviation double, norm double, rows long")
     ranges = ranges.groupBy("width", "block", "segment").agg(
