@@ -123,7 +123,7 @@ class _Application:
         self.actions = normalise(actions)
         self.as_of = as_of
         self.rows = self.actions.where(_EFFECTIVE)
-        self.profile = profile_groups(self.rows, "doc_id", "seq", max_group_rows=max_group_rows)
+        self.profile = profile_groups(self.rows, "doc_id", "seq", max_group_rows=max_group_rows, streamed=True)
         self.small = fits_broadcast(self.rows, broadcast_bytes, self.profile.rows)
         self.split = broadcast_bytes > 0
 

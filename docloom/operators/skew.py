@@ -53,18 +53,27 @@ def fits_broadcast(df: DataFrame, limit: int, rows: int | None = None) -> bool:
 
 
 def profile_groups(
-    df: DataFrame, group: str, order: str | None = None, *, max_group_rows: int = MAX_GROUP_ROWS
+    df: DataFrame,
+    group: str,
+    order: str | None = None,
+    *,
+    max_group_rows: int = MAX_GROUP_ROWS,
+    streamed: bool = False,
 ) -> GroupProfile:
     """Measure a table before choosing how to process it (runs one or two narrow aggregations).
 
     A group is oversized beyond ``max_group_rows`` rows, whatever the size of the table, so what one task gets
     does not grow with it. There are at most ``2 * rows / max_group_rows`` such groups. Detection counts a sample: a fixed one by hash where ``order``
     tells the rows of a group apart, else a random one, since copies of one row share their hash. A table
-    with no more rows than ``max_group_rows`` needs no second pass.
+    with no more rows than the limit needs no second pass.
+
+    The groups and their segments are tables on the driver. Where tasks only stream and sort the rows of a group
+    (``streamed``), the limit is therefore never below ``4 * rows / MAX_BROADCAST_ROWS``: groups and segments are then at
+    most ``MAX_BROADCAST_ROWS``, however many small groups a low ``max_group_rows`` calls oversized.
     """
     rows = df.count()
-    limit = max_group_rows
-    if rows <= max_group_rows:
+    limit = max(max_group_rows, 4 * rows // MAX_BROADCAST_ROWS) if streamed else max_group_rows
+    if rows <= limit:
         return GroupProfile(rows, limit)
     every = max(1, limit // 1000)
     if order is None:
@@ -164,7 +173,7 @@ def number_rows(
     Ordinary groups use a window. If the profile finds oversized groups, rows are numbered within
     ``(group, segment)`` and shifted by the counts of the earlier segments.
     """
-    profile = profile_groups(df.select(group, order), group, order, max_group_rows=max_group_rows)
+    profile = profile_groups(df.select(group, order), group, order, max_group_rows=max_group_rows, streamed=True)
     if not profile.hot:
         in_group = Window.partitionBy(group).orderBy(order)
         return df.withColumn(name, (F.row_number().over(in_group) - 1).cast("bigint"))

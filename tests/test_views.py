@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docloom.functions.expiry import epoch_yyyymmdd, second_of_minute
+from docloom.operators import skew
 from docloom.operators.keys import plan_keys
 from docloom.operators.metrics import import_profile
 from docloom.operators.paging import assign_batches, page_rows
@@ -244,3 +245,23 @@ def test_a_null_group_is_cut_too(spark):
     rows = spark.range(900).selectExpr("if(id % 9 < 8, null, id) AS g", "id")
     numbered = number_rows(rows, "g", "id", max_group_rows=50).where("g IS NULL").orderBy("id").collect()
     assert [r["row_no"] for r in numbered] == list(range(800))
+
+
+def test_segments_of_many_small_groups_stay_few(spark, monkeypatch):
+    """A low limit calls every group oversized; the driver's table must not grow with them."""
+    monkeypatch.setattr(skew, "MAX_BROADCAST_ROWS", 40)
+    rows = spark.range(4000).selectExpr("if(id % 2 = 0, -1, id % 401) AS g", "id AS o")
+    profile = profile_groups(rows, "g", "o", max_group_rows=4, streamed=True)
+    assert set(profile.hot) == {-1} and profile.group_limit == 400
+    bounds = skew.segment_bounds(rows, "g", "o", profile).collect()
+    assert 4 < sum(len(r["_fine"]) + 1 for r in bounds) <= 40
+    assert len(profile_groups(rows, "g", "o", max_group_rows=4).hot) == 402
+    found = number_rows(rows, "g", "o", max_group_rows=4)
+    assert found.groupBy("g").agg(F.expr("min_by(row_no, o) = 0 AND max(row_no) = count(*) - 1 AND count(DISTINCT row_no) = count(*) AS ok")).where("ok").count() == 402
+
+
+def test_numbering_many_small_groups_collects_none(spark, monkeypatch):
+    monkeypatch.setattr(skew, "MAX_BROADCAST_ROWS", 40)
+    monkeypatch.setattr(skew, "local_table", lambda *a: pytest.fail("a table of groups was collected"))
+    rows = spark.range(4000).selectExpr("id % 401 AS g", "id AS o")
+    assert number_rows(rows, "g", "o", max_group_rows=4).where("row_no = o div 401").count() == 4000
