@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docloom.functions.expiry import as_of_sql, epoch_yyyymmdd, expires_sql, second_of_minute
+from docloom.operators.skew import spread
 from docloom.operators.views import define_view
 
 AS_OF = "2024-01-01T00:00:00"
@@ -158,7 +159,8 @@ def large_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 def line_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as values for the documents of their orders, several per document; ``seq`` is unique."""
     place = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-    return load(spark, sf_dir, "lineitem").select(
+    lines = load(spark, sf_dir, "lineitem")
+    return spread(lines, lines.count(), "l_orderkey").select(
         F.concat(F.lit("o"), F.col("l_orderkey")).alias("doc_id"),
         F.row_number().over(place).cast("bigint").alias("seq"),
         F.concat(F.lit("q"), F.col("l_quantity").cast("bigint")).alias("value"),

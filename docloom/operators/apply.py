@@ -30,6 +30,7 @@ from docloom.operators.skew import (
     profile_groups,
     segment_bounds,
     segment_number,
+    spread,
 )
 from docloom.sources.tables import materialize
 
@@ -149,7 +150,10 @@ class _Application:
         if self.small:
             # Few keys are asked for: keep only their states before the join.
             state = state.join(F.broadcast(rows.select("doc_id").distinct()), "doc_id", "left_semi")
-        return annotate(rows.join(state, "doc_id", "left"), "doc_id", "live")
+        else:
+            rows = spread(rows, self.profile.rows + self.store.count(), "doc_id")
+        # Marks first: the join then finds the rows in the order of their keys, and nothing is sorted twice.
+        return succeeding(with_marks(rows, "doc_id").join(state, "doc_id", "left"), "live")
 
     @property
     def cold_marked(self) -> DataFrame:
@@ -189,7 +193,7 @@ class _Application:
         schema = "doc_id STRING, segment INT, _carry BOOLEAN, live BOOLEAN"
         rows = rows.join(local_table(spark, carried, schema), ["doc_id", "segment"])
         # Three readers follow (resets, outcomes, fold); each reads its columns of the written rows.
-        annotated = materialize(annotate(rows, "doc_id, segment", "_carry").drop("_carry", "segment"), "hot-actions")
+        annotated = materialize(succeeding(with_marks(rows, "doc_id, segment"), "_carry").drop("_carry", "segment"), "hot-actions")
         lasts = annotated.groupBy("doc_id").agg(F.expr(f"{_LAST_RESET} AS r"), F.expr(f"{_LAST_EXPIRY} AS e")).collect()
         lasts = local_table(spark, [tuple(r) for r in lasts], "doc_id STRING, reset_seq BIGINT, expiry_seq BIGINT")
         return annotated.join(lasts, "doc_id", "left")
@@ -200,17 +204,21 @@ def store_state(store: DataFrame, as_of: str) -> DataFrame:
     return store.selectExpr("doc_id", f"{live_sql('expires_at', as_of)} AS live")
 
 
-def annotate(rows: DataFrame, partition: str, initial: str) -> DataFrame:
-    """Add ``ok``: whether each action succeeds, given the presence before the partition's first action."""
+def with_marks(rows: DataFrame, partition: str) -> DataFrame:
+    """Add ``_mark``, the presence that the earlier actions of the partition leave (null: none tells), and ``_previous`` seq."""
     window = f"PARTITION BY {partition} ORDER BY seq"
     return rows.selectExpr(
         "*",
-        f"""coalesce(
-              last({_MARK}, true) OVER ({window} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
-              {initial}, false) AS _present""",
+        f"last({_MARK}, true) OVER ({window} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _mark",
         f"lag(seq) OVER ({window}) AS _previous",
-    ).selectExpr(
-        *rows.columns,
+    )
+
+
+def succeeding(marked: DataFrame, initial: str) -> DataFrame:
+    """Add ``ok`` to rows :func:`with_marks`: whether each action succeeds, given the presence before the partition's first."""
+    rows = [c for c in marked.columns if c not in ("_mark", "_previous")]
+    return marked.selectExpr("*", f"coalesce(_mark, {initial}, false) AS _present").selectExpr(
+        *rows,
         """CASE WHEN seq IS NULL THEN raise_error(concat('an action of key ', doc_id, ' has no seq'))
                 WHEN _previous = seq
                 THEN raise_error(concat('two actions of key ', doc_id, ' have the same seq'))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_GROUP_ROWS = 2_000_000  # rows of one group that one task may sort
+PARTITION_ROWS = 500_000  # rows that one task of a large shuffle gets
 MAX_BROADCAST_ROWS = 10_000  # rows of a driver-side table that is broadcast; a longer one is joined by shuffle
 _SAMPLES_PER_SEGMENT = 16
 _FINE = 64
@@ -165,6 +166,16 @@ def segment_number(order: str) -> Column:
     return F.coalesce(coarse * _FINE + F.size(F.filter(near, lambda b: b < value)), F.lit(0))
 
 
+def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """Shuffle ``df`` by ``keys`` into tasks of about ``PARTITION_ROWS`` rows, given the rows that meet there.
+
+    Narrow rows compress well, and shuffles that Spark cuts by bytes then put millions of them into one task. Tables that
+    give no more than ``PARTITION_ROWS`` to each core are left to Spark.
+    """
+    tasks = -(-rows // PARTITION_ROWS)
+    return df.repartition(tasks, *keys) if tasks > df.sparkSession.sparkContext.defaultParallelism else df
+
+
 def number_rows(
     df: DataFrame, group: str, order: str, *, name: str = "row_no", max_group_rows: int = MAX_GROUP_ROWS
 ) -> DataFrame:

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import AS_OF, AS_OF_TIME
+from docloom.operators import skew
 from docloom.operators.apply import apply_actions, apply_to, live_documents
 from docloom.operators.uniform import apply_operation
 from docloom.schemas import ACTIONS, STORE
@@ -186,3 +187,17 @@ def test_documents_that_no_action_names_are_not_shuffled(spark):
     actions = spark.createDataFrame([(f"k{i}", i, "SET", "w", 0) for i in range(20)], ACTIONS)
     plan = apply_actions(store, actions, AS_OF, broadcast_bytes=1).store._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftAnti" in plan and "Union" in plan
+
+
+def test_a_large_feed_is_spread_by_rows(spark, monkeypatch):
+    """Whatever the bytes of a shuffle, no task meets more than about PARTITION_ROWS rows of feed and store."""
+    monkeypatch.setattr(skew, "PARTITION_ROWS", 20)
+    store = spark.range(300).selectExpr("concat('k', id) AS doc_id", "'x' AS value", "cast(null AS timestamp) AS expires_at")
+    feed = spark.range(900).selectExpr(
+        "concat('k', id % 450) AS doc_id", "id AS seq", "if(id < 450, 'APPEND', 'ADD') AS op", "concat(id, ';') AS value", "0 AS expiry"
+    )
+    result = apply_actions(store, feed, AS_OF, broadcast_bytes=0)
+    met = result.outcomes.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert met <= 60
+    want = {f"k{i}": f"x{i};" if i < 300 else f"{i + 450};" for i in range(450)}
+    assert {r["doc_id"]: r["value"] for r in result.store.collect()} == want
