@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import AS_OF
 from docloom.functions import actions as A
+from docloom.operators import skew
 from docloom.operators.composing import update_composed
 from docloom.operators.update import update_documents
 from test_apply import frames, random_case, stored
@@ -80,3 +81,17 @@ def test_no_rows(spark):
     store, rows = cases(spark, 1, 30, 30)
     got = update_composed(store, rows.limit(0), merge, AS_OF, order_by="n")
     assert stored(got.store) == stored(store) and got.summary.count() == 0
+
+
+def test_many_small_keys_over_the_limit_stay_off_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(skew, "MAX_BROADCAST_ROWS", 40)
+    monkeypatch.setattr(skew, "local_table", lambda *a: pytest.fail("a table of keys was collected"))
+    store = frames(spark, {"k1": ("x", None)}, [("k", 1, "SET", "v", 0)])[0]
+    rows = spark.range(1000).selectExpr("concat('k', id % 200) AS doc_id", "id AS n")
+
+    def alternating(payload, existing):
+        return F.when(existing.isNull(), A.add(payload["n"].cast("string"))).otherwise(A.delete())
+
+    got = update_composed(store, rows, alternating, AS_OF, order_by="n", max_group_rows=2)
+    assert got.summary.where("stored = 5 AND already_exists + missing + ignored = 0").count() == 200
+    assert stored(got.store) == {f"k{i}": (str(i + 800), None) for i in range(200) if i != 1}
