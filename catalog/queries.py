@@ -444,7 +444,7 @@ def _composed(spark, sf_dir):
 
 @query
 def update_in_one_pass(spark, sf_dir):
-    """Events merged in order by a merge that can be composed, in segments of 16 rows."""
+    """Events merged in order by a merge that can be composed, oversized keys in segments."""
     return t.store_rows(_composed(spark, sf_dir).store)
 
 

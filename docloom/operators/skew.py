@@ -177,14 +177,21 @@ def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
 
 
 def number_rows(
-    df: DataFrame, group: str, order: str, *, name: str = "row_no", max_group_rows: int = MAX_GROUP_ROWS
+    df: DataFrame,
+    group: str,
+    order: str,
+    *,
+    name: str = "row_no",
+    max_group_rows: int = MAX_GROUP_ROWS,
+    profile: GroupProfile | None = None,
 ) -> DataFrame:
     """Add the 0-based row number within ``group`` by ascending ``order`` (unique within the group).
 
     Ordinary groups use a window. If the profile finds oversized groups, rows are numbered within
-    ``(group, segment)`` and shifted by the counts of the earlier segments.
+    ``(group, segment)`` and shifted by the counts of the earlier segments. A known ``profile`` is not taken again.
     """
-    profile = profile_groups(df.select(group, order), group, order, max_group_rows=max_group_rows, streamed=True)
+    if profile is None:
+        profile = profile_groups(df.select(group, order), group, order, max_group_rows=max_group_rows, streamed=True)
     if not profile.hot:
         in_group = Window.partitionBy(group).orderBy(order)
         return df.withColumn(name, (F.row_number().over(in_group) - 1).cast("bigint"))

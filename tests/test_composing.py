@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import AS_OF
 from docloom.functions import actions as A
-from docloom.operators import skew
+from docloom.operators import composing, skew
 from docloom.operators.composing import update_composed
 from docloom.operators.update import update_documents
 from test_apply import frames, random_case, stored
@@ -95,3 +95,42 @@ def test_many_small_keys_over_the_limit_stay_off_the_driver(spark, monkeypatch):
     got = update_composed(store, rows, alternating, AS_OF, order_by="n", max_group_rows=2)
     assert got.summary.where("stored = 5 AND already_exists + missing + ignored = 0").count() == 200
     assert stored(got.store) == {f"k{i}": (str(i + 800), None) for i in range(200) if i != 1}
+
+
+def test_the_summary_takes_one_shuffle_of_the_rows_and_applies_nothing(spark, monkeypatch):
+    store, rows = cases(spark, 2, 300, 30)
+    want = update_documents(store, rows, merge, AS_OF, order_by="n").summary
+    written, write = {}, composing.materialize
+
+    def noting(df, name, **options):
+        written[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name, **options)
+
+    monkeypatch.setattr(composing, "materialize", noting)
+    monkeypatch.setattr(composing, "apply_actions", lambda *a, **k: pytest.fail("a summary needs no store"))
+    got = update_composed(store, rows, merge, AS_OF, order_by="n")
+    assert sorted(map(tuple, got.summary.collect())) == sorted(map(tuple, want.collect()))
+    assert list(written) == ["composed-actions"]  # not the rows before, too
+    plan = written["composed-actions"]
+    # Of the rows and of the documents.
+    assert plan.count("Exchange hashpartitioning(doc_id") == 2 and plan.count("Sort [") == 2, plan
+
+
+def test_only_oversized_keys_are_cut(spark, monkeypatch):
+    store, rows = cases(spark, 1, 300, 30)
+    written, write = {}, composing.materialize
+    monkeypatch.setattr(composing, "materialize", lambda df, name: written.setdefault(name, write(df, name)))
+    got = update_composed(store, rows, merge, AS_OF, order_by="n", max_group_rows=60)
+    assert got.summary.count() == rows.where("doc_id != ''").select("doc_id").distinct().count()
+    assert {r["doc_id"] for r in written["composed-rows"].select("doc_id").distinct().collect()} == {"k4"}
+    assert written["composed-rows"].agg(F.max("_segment")).first()[0] == (rows.where("doc_id = 'k4'").count() - 1) // 60
+
+
+def test_a_store_larger_than_the_feed_is_asked_only_for_named_documents(spark):
+    state = {f"k{i}": (f"t{i}", None) for i in range(40)} | {"bare": (None, None)}
+    store = frames(spark, state, [("k", 1, "SET", "v", 0)])[0]
+    rows = spark.createDataFrame([("k1", 3), ("k1", 0), ("new", 6), ("new", 9)], "doc_id string, n long")
+    want = update_documents(store, rows, merge, AS_OF, order_by="n")
+    got = update_composed(store, rows, merge, AS_OF, order_by="n")
+    assert stored(got.store) == stored(want.store)
+    assert sorted(map(tuple, got.summary.collect())) == sorted(map(tuple, want.summary.collect()))
